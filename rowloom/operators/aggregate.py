@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.operators.skew import MAX_GROUP_ROWS, attach
+from rowloom.operators.joins import join_back
+from rowloom.operators.skew import MAX_GROUP_ROWS, attach, find_hot
 from rowloom.operators.windows import running_total
 
 
@@ -58,14 +59,14 @@ def contingency(df: DataFrame, rows: str, columns: str) -> DataFrame:
             .groupBy("row_value", "col_value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str] | None = None) -> DataFrame:
     """Wide counts, first column ``rows_columns``, empty cells 0.
 
     Built from the long form, so the wide step handles cells and not raw rows.
     """
     return (contingency(df, rows, columns)
             .groupBy(F.col("row_value").alias(f"{rows}_{columns}"))
-            .pivot("col_value", list(values)).agg(F.sum("n")).fillna(0))
+            .pivot("col_value", list(values) if values else None).agg(F.sum("n")).fillna(0))
 
 
 def label_collisions(df: DataFrame, column: str) -> DataFrame:
@@ -81,53 +82,63 @@ def cramers_v(df: DataFrame, rows: str, columns: str, name: str = "cramers_v") -
     """Association of two categorical columns, without continuity correction.
 
     chi2 = n * (sum(o^2 / (r * c)) - 1) needs only the cells that occur, so the
-    full matrix is never built.  One level on either side gives null.
+    full matrix is never built.  The data is read once; margins and level
+    counts come from the cells.  One level on either side gives null.
     """
-    cells = contingency(df, rows, columns)
-    by_row = cells.groupBy("row_value").agg(F.sum("n").alias("r"))
-    by_col = cells.groupBy("col_value").agg(F.sum("n").alias("c"))
-    part = cells.join(by_row, "row_value").join(by_col, "col_value")
-    sums = part.agg(F.sum(F.col("n") * F.col("n") / (F.col("r").cast("double") * F.col("c"))).alias("ratio"))
-    smaller = F.least(by_row.agg(F.count(F.lit(1))).scalar(), by_col.agg(F.count(F.lit(1))).scalar()) - 1
+    by_row = Window.partitionBy("row_value")
+    by_col = Window.partitionBy("col_value")
+    cells = contingency(df, rows, columns).select(
+        "n", F.sum("n").over(by_row).cast("double").alias("r"), F.sum("n").over(by_col).cast("double").alias("c"),
+        (F.row_number().over(by_row.orderBy("col_value")) == 1).alias("new_row"),
+        (F.row_number().over(by_col.orderBy("row_value")) == 1).alias("new_col"))
+    sums = cells.agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("ratio"),
+                     F.least(F.count_if("new_row"), F.count_if("new_col")).alias("levels"))
     # The identity can fall below zero by rounding when nothing is associated.
-    return sums.select(F.sqrt(F.try_divide(F.greatest(F.col("ratio") - 1, F.lit(0.0)), smaller)).alias(name))
+    per_level = F.try_divide(F.greatest(F.col("ratio") - 1, F.lit(0.0)), F.col("levels") - 1)
+    return sums.select(F.sqrt(per_level).alias(name))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: Mapping[str, float],
-                    max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                    max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Quantiles that are elements of the data, exact, one named column each.
 
-    Rows are first counted per value (partial aggregation); the running count
-    over those values then finds the element at ceil(p * n).  Hot keys are cut
-    into slices, so neither a key nor the whole table has to fit in a task.
+    Small groups use Spark's ``percentile_disc``, which holds a group's distinct
+    values in memory.  If a group (or, without keys, the table) is hot, values
+    are counted first and a running count over them, in slices, finds the
+    element at ceil(p * n).
     """
-    cumulative, totals = _value_counts(df, keys, column, max_rows)
-    placed = attach(cumulative, totals, keys, ["_n"])
-    return placed.groupBy(*keys).agg(*[
+    known = df.filter(F.col(column).isNotNull())
+    if find_hot(known, keys, max_rows) is None:
+        return known.groupBy(*keys).agg(*[
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)").alias(name)
+            for name, p in probabilities.items()])
+    return _placed_values(known, keys, column, max_rows).groupBy(*keys).agg(*[
         F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.lit(p) * F.col("_n")), F.lit(1)),
                      F.col(column))).alias(name)
         for name, p in probabilities.items()])
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median",
-                 max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Median per key, the mean of the middle two for an even count; see G17."""
-    cumulative, totals = _value_counts(df, keys, column, max_rows)
-    placed = attach(cumulative, totals, keys, ["_n"])
-    lower = F.floor((F.col("_n") + 1) / 2)
-    upper = F.floor((F.col("_n") + 2) / 2)
+                 max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Median per key, the mean of the middle two for an even count; see G17 for hot groups."""
+    known = df.filter(F.col(column).isNotNull())
+    if find_hot(known, keys, max_rows) is None:
+        return known.groupBy(*keys).agg(F.median(column).alias(name))
+    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
 
     def element(place: Column) -> Column:
         return F.min(F.when(F.col("_upto") >= place, F.col(column)))
 
-    return placed.groupBy(*keys).agg(((element(lower) + element(upper)) / 2.0).alias(name))
+    return (_placed_values(known, keys, column, max_rows).groupBy(*keys)
+            .agg(((element(lower) + element(upper)) / 2.0).alias(name)))
 
 
-def _value_counts(df: DataFrame, keys: Sequence[str], column: str, max_rows: int):
-    counts = (df.filter(F.col(column).isNotNull()).groupBy(*keys, column)
-              .agg(F.count(F.lit(1)).alias("_rows")))
+def _placed_values(df: DataFrame, keys: Sequence[str], column: str, max_rows: int | None) -> DataFrame:
+    """Distinct values per key with ``_upto``, the rows up to the value, and ``_n``, all rows."""
+    counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_rows"))
     totals = counts.groupBy(*keys).agg(F.sum("_rows").alias("_n"))
-    return running_total(counts, keys, column, None, "_rows", "_upto", max_rows), totals
+    return running_total(join_back(counts, totals, keys, ["_n"], max_rows), keys, column, None,
+                         "_rows", "_upto", max_rows)
 
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: Mapping[str, float],
@@ -138,7 +149,7 @@ def approx_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilit
 
 
 def quantile_error(df: DataFrame, column: str, p: float, accuracy: int,
-                   max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                   max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """(exact - estimate) / exact for one quantile."""
     exact = exact_quantiles(df, [], column, {"exact": p}, max_rows)
     estimate = approx_quantiles(df, [], column, {"estimate": p}, accuracy)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.operators.skew import MAX_GROUP_ROWS, attach, find_hot, same_keys, spread_by_hash
 
@@ -22,23 +22,27 @@ def shuffle_hash_join(left: DataFrame, right: DataFrame, on: Sequence[str], how:
     return left.join(right.hint("shuffle_hash"), list(on), how)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
+             filtered: bool = False) -> bool:
     """Measure whether a frame is small enough to broadcast.
 
-    One job that stops at ``max_rows + 1`` rows, so asking about a huge table
-    costs a bounded read.
+    A frame that Spark already estimates far above the limit (for files, their
+    size) is not read at all; any other is counted in one job, combined per
+    task.  ``filtered`` counts in any case, for few rows out of a large table.
     """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate > 16 * max_bytes and not filtered:
+        return False
     as_text = F.length(F.to_json(F.struct("*")))
-    found = (df.limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(as_text), F.lit(0)).alias("size"))
-             .first())
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(as_text), F.lit(0)).alias("size")).first()
     return found["n"] <= max_rows and found["size"] <= max_bytes
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                   max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                   max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
+                   filtered: bool = False) -> DataFrame:
     """Broadcast the right side if it measures small, else a skew-safe join."""
-    if is_small(right, max_rows, max_bytes):
+    if is_small(right, max_rows, max_bytes, filtered):
         return left.join(F.broadcast(right), list(on), how)
     return skew_join(left, right, on, how)
 
@@ -81,7 +85,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-              max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+              max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """J13 with the hot keys found from the data, each with its own salt count.
 
     The hot-key table has at most ``MAX_HOT_GROUPS`` rows and is broadcast to
@@ -127,19 +131,23 @@ def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot: Sequence, h
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
     hot_left, hot_right = left.filter(is_hot), right.filter(F.col(key).isin(list(hot)))
     cold = left.filter(~is_hot).join(right.hint("merge"), [key], how)
-    return broadcast_join(hot_left, hot_right, [key], how).unionByName(cold)
+    return broadcast_join(hot_left, hot_right, [key], how, filtered=True).unionByName(cold)
 
 
 def join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str],
-              max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Put per-key values on every row of the key; null keys count as a key.
+              max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Put per-key values of ``table`` on every row of the key; null keys count as a key.
 
     Hot keys are split over several tasks with the hash salt of ``skew_join``.
     """
+    return _join_back(df, table, keys, values, find_hot(df, keys, max_rows) if keys else None)
+
+
+def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str],
+               hot: DataFrame | None) -> DataFrame:
     if not keys:
         return attach(df, table, keys, values)
-    right, on, hot = table.select(*keys, *values), list(keys), find_hot(df, keys, max_rows)
-    left = df
+    left, right, on = df, table.select(*keys, *values), list(keys)
     if hot is not None:
         left, right = salt_sides(df, right, keys, hot)
         on.append("_salt")
@@ -147,16 +155,20 @@ def join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequ
             .select(*[F.col(f"l.`{c}`") for c in df.columns], *[F.col(f"r.`{v}`") for v in values]))
 
 
-def group_values(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column],
-                 max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Aggregate, then join back; what a window without order would give.
+def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column],
+                 max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Aggregates of the row's group on every row.
 
-    Partial aggregation makes the totals skew-proof, and the join back splits
-    hot keys, so no task sees a whole hot group as a window would.
+    Without hot groups this is a window, one shuffle.  With hot groups it is
+    aggregate and join back: partial aggregation makes the totals skew-proof
+    and the join back splits hot keys, where a window would gather them.
     """
-    table = df.groupBy(*keys).agg(*aggregates)
-    values = [c for c in table.columns if c not in keys]
-    return join_back(df, table, keys, values, max_rows)
+    hot = find_hot(df, keys, max_rows)
+    if hot is None:
+        window = Window.partitionBy(*keys)
+        return df.select("*", *[agg.over(window).alias(name) for name, agg in aggregates.items()])
+    table = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggregates.items()])
+    return _join_back(df, table, keys, list(aggregates), hot)
 
 
 def all_combinations(left: DataFrame, right: DataFrame, blocks: int = 8) -> DataFrame:
@@ -206,7 +218,10 @@ def constant_key_join(left: DataFrame, right: DataFrame, key: str, value,
     """Give every left row the right rows of one fixed key.
 
     All left rows share the key, so a plain shuffle would send the whole table
-    to one task; the salt keeps it spread.
+    to one task.  The right rows are broadcast if they measure small; else the
+    salt keeps the shuffle spread.
     """
-    return salted_join(left.withColumn(key, F.lit(value)), right.filter(F.col(key) == F.lit(value)),
-                       [key], salts, "left")
+    matches = right.filter(F.col(key) == F.lit(value))
+    if is_small(matches, filtered=True):
+        matches = F.broadcast(matches)
+    return salted_join(left.withColumn(key, F.lit(value)), matches, [key], salts, "left")

@@ -59,7 +59,7 @@ def group_mean(df: DataFrame, keys: Sequence[str], column: str, name: str) -> Da
 def mean_over_group(df: DataFrame, keys: Sequence[str], column: str, name: str,
                     max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """The group's mean on every row; native aggregate, hot keys split."""
-    return group_values(df, keys, [F.mean(column).alias(name)], max_rows)
+    return group_values(df, keys, {name: F.mean(column)}, max_rows)
 
 
 def pct_deviation(df: DataFrame, keys: Sequence[str], column: str, name: str,

@@ -15,6 +15,7 @@ from rowloom.operators.skew import attach
 from rowloom.operators.windows import ranked
 
 PREFIX_DIGITS = 4  # 65,536 hash buckets
+SKETCH_ACCURACY = 10_000
 
 
 def hash_order(key: str | Column, seed: int) -> Column:
@@ -44,21 +45,23 @@ def _smallest_hashes(df: DataFrame, strata: Sequence[str], key: str, seed: int,
 
     Rows are counted per stratum and hash prefix.  Prefixes wholly below the
     cut are kept as they are; only the one prefix on the cut is ranked, and it
-    holds about 1/65,536 of the stratum whatever the requested size.
+    holds about 1/65,536 of the stratum whatever the requested size.  The strata
+    are those the caller listed, so their tables are small enough to broadcast.
     """
     hashed = (df.withColumn("_hash", hash_order(key, seed))
               .withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS)))
     counts = hashed.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (attach(counts, sizes, strata, ["_size"])
+    cut = (attach(counts, sizes, strata, ["_size"], bounded=True)
            .withColumn("_left", F.col("_size") - F.coalesce(F.sum("_n").over(before), F.lit(0)))
            .filter(F.col("_left") < F.col("_n")))
     # One row per stratum: the first prefix not kept whole and how many of its rows to take.
     edge = cut.groupBy(*strata).agg(F.min("_prefix").alias("_edge"),
                                     F.min_by("_left", "_prefix").alias("_take"))
-    edge = attach(counts.groupBy(*strata).agg(F.sum("_n").alias("_all")), edge, strata, ["_edge", "_take"])
-    edge = attach(edge, sizes, strata, ["_size"])
-    placed = attach(hashed, edge, strata, ["_all", "_edge", "_take", "_size"])
+    edge = attach(counts.groupBy(*strata).agg(F.sum("_n").alias("_all")), edge, strata, ["_edge", "_take"],
+                  bounded=True)
+    edge = attach(edge, sizes, strata, ["_size"], bounded=True)
+    placed = attach(hashed, edge, strata, ["_all", "_edge", "_take", "_size"], bounded=True)
     inside = placed.filter((F.col("_size") >= F.col("_all")) | (F.col("_prefix") < F.col("_edge")))
     window = Window.partitionBy(*strata, "_prefix").orderBy("_hash")
     on_edge = (placed.filter((F.col("_size") < F.col("_all")) & (F.col("_prefix") == F.col("_edge")))
@@ -102,6 +105,13 @@ def weighted_sample(df: DataFrame, key: str, weight: str, size: int, seed: int)
     """
     draws = (df.filter(F.col(weight) > 0)
              .withColumn("_draw", -F.log(hash_uniform(key, seed)) / F.col(weight)))
+    n = draws.count()
+    # A sketch gives a draw that is surely above the size-th smallest one: its
+    # rank error is at most n / SKETCH_ACCURACY.  Only rows below it are sorted.
+    enough = (size + 1) / max(n, 1) + 2 / SKETCH_ACCURACY
+    if enough < 1:
+        upper = draws.agg(F.percentile_approx("_draw", enough, SKETCH_ACCURACY)).scalar()
+        draws = draws.filter(F.col("_draw") <= upper)
     return (ranked(draws, [], "_draw", key, descending=False)
             .filter(F.col("row_number") <= size).select(*df.columns))
 

@@ -6,14 +6,17 @@ goes through this module:
 
 * ``find_hot`` counts rows per key (partial aggregation, so skew-proof) and
   keeps the keys above a limit.  The limit is never below 1/10,000 of the
-  table, hence at most 10,000 hot keys and 20,000 parts: a proven bound, which
+  table, hence at most 10,000 hot keys and 30,000 parts: a proven bound, which
   is why that table may be fetched once, looked at, and broadcast.
 * ``range_slices`` cuts hot groups along an order column, so that an ordered
   window runs per (key, slice) and only a small per-slice summary has to be
   combined per key.
 
 The count is one job when the operator is applied.  Without hot keys, the usual
-case, nothing else is added and the plan is the plain window or join.
+case, nothing else is added and the plan is the plain window or join.  Where the
+rows come from a long computation, write them out first (``sources.tables.staged``)
+or pass ``max_rows=None`` if their groups are known to be small, as the groups of
+an aggregated table are: then there is no count at all.
 """
 
 from __future__ import annotations
@@ -61,6 +64,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROW
 
     ``extra`` aggregates (for example the range of an order column) ride along
     in the same pass.  At most ``MAX_HOT_GROUPS`` rows come back, see above.
+    ``_parts`` aims at half the limit, so that uneven parts still stay below it.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
     if keys:
@@ -70,17 +74,19 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROW
     limit = F.greatest(F.lit(max_rows), F.ceil(total / MAX_HOT_GROUPS))
     return (counts.withColumn("_limit", limit)
             .filter(F.col("_n") > F.col("_limit"))
-            .withColumn("_parts", F.ceil(F.col("_n") / F.col("_limit")).cast("int"))
+            .withColumn("_parts", F.ceil(2 * F.col("_n") / F.col("_limit")).cast("int"))
             .drop("_limit"))
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS,
+def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROUP_ROWS,
              extra: Sequence[Column] = ()) -> DataFrame | None:
     """``hot_groups`` as a small local table, or None if there are none.
 
     Fetched once, so the counts are not computed again by each use and all uses
     see the same hot keys.
     """
+    if max_rows is None:
+        return None
     hot = hot_groups(df, keys, max_rows, extra)
     rows = hot.collect()  # at most MAX_HOT_GROUPS
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
@@ -144,7 +150,7 @@ def _cell(df: DataFrame, column: str, tag: str, use: Column, descending: bool) -
 
 
 def range_slices(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str | None,
-                 descending: bool = False, max_rows: int = MAX_GROUP_ROWS) -> tuple[DataFrame, list[str]]:
+                 descending: bool = False, max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, list[str]]:
     """Cut hot groups into slices that follow the sort order; names of the slice columns.
 
     A round cuts each hot group along its order column or, where that has a

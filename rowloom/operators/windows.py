@@ -1,8 +1,9 @@
 """Window operators that survive a hot partition.
 
-Windows without an order are aggregate-and-join-back (``group_values``).
-Ordered windows run per (key, slice), see ``rowloom.operators.skew``; what a
-slice needs from its neighbours comes from a bounded per-slice summary.
+Hot groups are found by a count (see ``rowloom.operators.skew``); without any,
+each operator is the plain window.  With hot groups, windows without an order
+become aggregate and join back, and ordered windows run per (key, slice) and take
+what they need from other slices from a bounded per-slice summary.
 """
 
 from __future__ import annotations
@@ -18,15 +19,15 @@ from rowloom.operators.skew import (MAX_GROUP_ROWS, attach, earlier_slices, hot_
 
 def partition_totals(df: DataFrame, keys: Sequence[str], column: str, *, total: str | None = None,
                      mean: str | None = None, highest: str | None = None, rows: str | None = None,
-                     max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                     max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Sum, mean, maximum or row count of the partition on every row."""
     wanted = [(total, F.sum(column)), (mean, F.mean(column)), (highest, F.max(column)),
               (rows, F.count(F.lit(1)))]
-    return group_values(df, keys, [agg.alias(name) for name, agg in wanted if name], max_rows)
+    return group_values(df, keys, {name: agg for name, agg in wanted if name}, max_rows)
 
 
 def partition_share(df: DataFrame, keys: Sequence[str], column: str, name: str,
-                    digits: int | None = 2, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                    digits: int | None = 2, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """The row's percentage of its partition's total."""
     share = F.try_divide(F.col(column) * 100.0, F.col("_total"))
     if digits is not None:
@@ -44,7 +45,7 @@ def _ordering(order_by: str, tie_break: str | None, descending: bool) -> list[Co
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
-           descending: bool = True, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+           descending: bool = True, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """``row_number``, ``rank`` and ``dense_rank`` of every row.
 
     ``keys=[]`` numbers the whole table without a single-task window, once it
@@ -85,7 +86,7 @@ def ranked(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
 
 
 def global_row_number(df: DataFrame, order_by: str, tie_break: str, name: str = "row_number",
-                      descending: bool = False, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                      descending: bool = False, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """1..n over the whole table: numbers per slice plus the slice's offset."""
     return (ranked(df, [], order_by, tie_break, descending, max_rows)
             .drop("rank", "dense_rank").withColumnRenamed("row_number", name))
@@ -120,7 +121,7 @@ def top_ranked(df: DataFrame, keys: Sequence[str], order_by: str, k: int, name:
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str | None,
-                  column: str, name: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  column: str, name: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Sum of ``column`` over the rows up to and including this one."""
     sliced, slices = range_slices(df, keys, order_by, tie_break, False, max_rows)
     window = (Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, False))
@@ -137,7 +138,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order_by: str, tie_break:
 
 def lag_lead(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str, column: str,
              lag_name: str | None = None, lead_name: str | None = None, default=None,
-             max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+             max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """The value one row before (lag) and after (lead); ``default`` at the ends.
 
     The first row of a slice takes the last value of the slice before it.
@@ -170,7 +171,7 @@ def lag_lead(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
 
 def fill_gaps(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str | None,
               column: str, forward: str | None = None, backward: str | None = None,
-              max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+              max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Carry the last known value forward and the next known value backward."""
     sliced, slices = range_slices(df, keys, order_by, tie_break, False, max_rows)
     base = Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, False))
@@ -198,7 +199,7 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str
 
 
 def interpolate(df: DataFrame, keys: Sequence[str], order_by: str, value: str, name: str = "filled",
-                flag: str = "imputed", max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                flag: str = "imputed", max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Straight line in time between the known neighbours of each null.
 
     One row per (keys, period) is expected; aggregate duplicates first.  Gaps

@@ -157,6 +157,8 @@ def join_split_hot(t: Tables) -> DataFrame:
 @query("""SELECT o_orderkey, o_custkey, o_totalprice, round(sum(o_totalprice) OVER (PARTITION BY o_custkey), 2)
                  / count(*) OVER (PARTITION BY o_custkey) AS mean_price, count(*) OVER (PARTITION BY o_custkey) AS n_orders FROM orders""")
 def agg_join_back(t: Tables) -> DataFrame:
+    """The explicit form; ``window_total`` chooses between this and a window."""
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return joins.group_values(orders, ["o_custkey"], [
-        mean_amount("o_totalprice").alias("mean_price"), F.count(F.lit(1)).alias("n_orders")])
+    table = orders.groupBy("o_custkey").agg(mean_amount("o_totalprice").alias("mean_price"),
+                                            F.count(F.lit(1)).alias("n_orders"))
+    return joins.join_back(orders, table, ["o_custkey"], ["mean_price", "n_orders"])

@@ -38,7 +38,7 @@ def window_total(t: Tables) -> DataFrame:
 @query(f"""SELECT *, CAST(round(CAST(n * 100.0 / sum(n) OVER (PARTITION BY order_year) AS DECIMAL(28, 10)), 2)
                           AS DOUBLE) AS pct FROM {YEARLY_SQL}""")
 def window_share(t: Tables) -> DataFrame:
-    return windows.partition_share(yearly(t), ["order_year"], "n", "pct")
+    return windows.partition_share(yearly(t), ["order_year"], "n", "pct", max_rows=None)
 
 
 @query("""SELECT o_orderkey, o_orderpriority, o_totalprice,
@@ -81,15 +81,14 @@ def global_row_number(t: Tables) -> DataFrame:
 @query(f"""SELECT *, lag(n) OVER w AS n_before, lead(n) OVER w AS n_after FROM {DAILY_SQL}
            WINDOW w AS (PARTITION BY event_type ORDER BY on_day)""")
 def window_lag_lead(t: Tables) -> DataFrame:
-    return windows.lag_lead(daily(t), ["event_type"], "on_day", "on_day", "n", "n_before", "n_after")
+    return windows.lag_lead(daily(t), ["event_type"], "on_day", "on_day", "n", "n_before", "n_after", max_rows=None)
 
 
 @query("""SELECT event_id, user_id, value, lag(value, 1, 0.0) OVER (PARTITION BY user_id ORDER BY ts, event_id)
                  AS value_before FROM events""")
 def window_lag_default(t: Tables) -> DataFrame:
     """Raw events per user, 0 before a user's first one."""
-    return (windows.lag_lead(t.events, ["user_id"], "ts", "event_id", "value", "value_before", default=0.0,
-                             max_rows=50)
+    return (windows.lag_lead(t.events, ["user_id"], "ts", "event_id", "value", "value_before", default=0.0)
             .select("event_id", "user_id", "value", "value_before"))
 
 
@@ -101,7 +100,7 @@ def window_lag_default(t: Tables) -> DataFrame:
 def lag_dense(t: Tables) -> DataFrame:
     """Missing days count 0, so lag means the day before and not the row before."""
     grid = joins.densify(daily(t).filter(F.col("n") % 4 != 0), ["event_type"], ["on_day"], ["n"])
-    return windows.lag_lead(grid, ["event_type"], "on_day", "on_day", "n", "n_before")
+    return windows.lag_lead(grid, ["event_type"], "on_day", "on_day", "n", "n_before", max_rows=None)
 
 
 @query("""SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(n AS INTEGER) AS place FROM (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -68,26 +67,29 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def avro_available(spark: SparkSession) -> bool:
-    """Whether the separate Avro module is on the class path."""
+    """Whether the separate Avro module is on the class path.
+
+    Reading no files gets as far as the missing schema only if the format is known.
+    """
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-        return True
-    except Py4JJavaError:
-        return False
+        spark.read.format("avro").load()
+    except AnalysisException as error:
+        return error.getCondition() == "UNABLE_TO_INFER_SCHEMA"
+    return True
+
+
+def _need_avro(spark: SparkSession) -> None:
+    if not avro_available(spark):
+        raise RuntimeError("Avro needs the spark-avro module on the class path")
 
 
 def read_avro(spark: SparkSession, path: str) -> DataFrame:
     """Needs the Avro module; says so if it is missing."""
-    try:
-        return spark.read.format("avro").load(path)
-    except AnalysisException as error:
-        if not avro_available(spark):
-            raise RuntimeError("Avro needs the spark-avro module on the class path") from error
-        raise
+    _need_avro(spark)
+    return spark.read.format("avro").load(path)
 
 
 def write_avro(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Needs the Avro module; says so if it is missing."""
-    if not avro_available(df.sparkSession):
-        raise RuntimeError("Avro needs the spark-avro module on the class path")
+    _need_avro(df.sparkSession)
     df.write.mode(mode).format("avro").save(path)
