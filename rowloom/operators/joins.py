@@ -191,7 +191,8 @@ def densify(df: DataFrame, row_keys: Sequence[str], col_keys: Sequence[str],
             measures: Sequence[str], fill=0) -> DataFrame:
     """One row per combination of the keys that occur; missing measures are filled.
 
-    ``df`` holds one row per combination already, i.e. it is aggregated first.
+    ``df`` holds one row per combination already, i.e. it is aggregated first,
+    and is read three times, so stage it if computing it is long.
     """
     grid = all_combinations(df.select(*row_keys).distinct(), df.select(*col_keys).distinct())
     keys = [*row_keys, *col_keys]

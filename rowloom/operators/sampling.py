@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.operators.skew import attach
 from rowloom.operators.windows import ranked
 
 PREFIX_DIGITS = 4  # 65,536 hash buckets
@@ -40,46 +39,54 @@ def sample_by(df: DataFrame, column: str, fractions: Mapping, seed: int) -> Data
     return df.sampleBy(column, dict(fractions), seed)
 
 
-def _smallest_hashes(df: DataFrame, strata: Sequence[str], key: str, seed: int, sizes: DataFrame) -> DataFrame:
-    """The ``_size`` smallest hashes per stratum, without sorting the table.
+def _hash_cuts(df: DataFrame, stratum: Column, key: str, seed: int, size: Column) -> dict:
+    """Per stratum the hash up to which rows are taken; strata taken whole are left out.
 
-    Rows are counted per stratum and hash prefix.  Prefixes wholly below the
-    cut are kept as they are; only the one prefix on the cut is ranked, and it
-    holds about 1/65,536 of the stratum whatever the requested size.  The strata
-    are those the caller listed, so their tables are small enough to broadcast.
+    ``size`` may use the stratum ``_s`` and its row count ``_all``.  Two small
+    jobs: rows are counted per stratum and hash prefix, which shows the prefix
+    the cut lies in; then only that prefix, about 1/65,536 of a stratum, is
+    ordered.  One row per stratum comes back, and callers list their strata.
     """
-    hashed = (df.withColumn("_hash", hash_order(key, seed))
-              .withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS)))
-    counts = hashed.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*strata).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (attach(counts, sizes, strata, ["_size"], bounded=True)
-           .withColumn("_left", F.col("_size") - F.coalesce(F.sum("_n").over(before), F.lit(0)))
-           .filter(F.col("_left") < F.col("_n")))
-    # One row per stratum: the first prefix not kept whole and how many of its rows to take.
-    edge = cut.groupBy(*strata).agg(F.min("_prefix").alias("_edge"),
-                                    F.min_by("_left", "_prefix").alias("_take"))
-    edge = attach(counts.groupBy(*strata).agg(F.sum("_n").alias("_all")), edge, strata, ["_edge", "_take"],
-                  bounded=True)
-    edge = attach(edge, sizes, strata, ["_size"], bounded=True)
-    placed = attach(hashed, edge, strata, ["_all", "_edge", "_take", "_size"], bounded=True)
-    inside = placed.filter((F.col("_size") >= F.col("_all")) | (F.col("_prefix") < F.col("_edge")))
-    window = Window.partitionBy(*strata, "_prefix").orderBy("_hash")
-    on_edge = (placed.filter((F.col("_size") < F.col("_all")) & (F.col("_prefix") == F.col("_edge")))
-               .withColumn("_place", F.row_number().over(window))
-               .filter(F.col("_place") <= F.col("_take")))
-    return inside.select(*df.columns).union(on_edge.select(*df.columns))
+    hashed = df.select(stratum.alias("_s"), hash_order(key, seed).alias("_hash")).withColumn(
+        "_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
+    counts = hashed.groupBy("_s", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_s")
+    before = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    edges = (counts.withColumn("_all", F.sum("_n").over(whole))
+             .withColumn("_left", size - F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .filter(F.col("_left") < F.col("_n"))
+             .groupBy("_s").agg(F.min("_prefix").alias("edge"), F.min_by("_left", "_prefix").alias("take"))
+             .collect())
+    # A bare prefix sorts before all hashes that begin with it: nothing of it is taken.
+    cuts = {row["_s"]: row["edge"] for row in edges}
+    partly = {row["_s"]: row for row in edges if row["take"] > 0}
+    if partly:
+        edge = _literal_map({s: row["edge"] for s, row in partly.items()})
+        take = _literal_map({s: row["take"] for s, row in partly.items()})
+        place = F.row_number().over(whole.orderBy("_hash"))
+        last = (hashed.filter(F.col("_prefix") == F.try_element_at(edge, F.col("_s")))
+                .withColumn("_place", place)
+                .filter(F.col("_place") <= F.try_element_at(take, F.col("_s")))
+                .groupBy("_s").agg(F.max("_hash").alias("hash")).collect())
+        cuts.update({row["_s"]: row["hash"] for row in last})
+    return cuts
+
+
+def _literal_map(mapping: Mapping) -> Column:
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
 
 
 def exact_sample(df: DataFrame, key: str, seed: int, fraction: float | None = None,
                  size: int | None = None) -> DataFrame:
-    """Exactly ``size`` rows, or round(count * fraction) rows."""
+    """Exactly ``size`` rows, or round(count * fraction) rows.
+
+    The result is a narrow filter on the hash; nothing is sorted or moved.
+    """
     if (fraction is None) == (size is None):
         raise ValueError("give either a fraction or a size")
-    if size is not None:
-        sizes = df.agg(F.least(F.count(F.lit(1)), F.lit(size)).alias("_size"))
-    else:
-        sizes = df.agg(F.round(F.count(F.lit(1)) * F.lit(fraction)).cast("long").alias("_size"))
-    return _smallest_hashes(df, [], key, seed, sizes)
+    wanted = F.lit(size) if size is not None else F.round(F.col("_all") * fraction).cast("long")
+    cuts = _hash_cuts(df, F.lit(0), key, seed, wanted)
+    return df.filter(hash_order(key, seed) <= cuts[0]) if cuts else df
 
 
 def exact_stratified_sample(df: DataFrame, column: str, sizes: Mapping[str, int], key: str, seed: int,
@@ -89,12 +96,14 @@ def exact_stratified_sample(df: DataFrame, column: str, sizes: Mapping[str, int]
     Values that are not listed go into the ``other`` stratum if that has a size.
     """
     listed = F.col(column).isin([s for s in sizes if s != other])
-    named = df.withColumn(stratum, F.when(F.coalesce(listed, F.lit(False)), F.col(column)).otherwise(other))
-    lookup = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
-    wanted = (named.select(stratum).distinct()
-              .withColumn("_size", F.coalesce(F.try_element_at(lookup, F.col(stratum)), F.lit(0)).cast("long"))
-              .filter(F.col("_size") > 0))
-    return _smallest_hashes(named.filter(F.col(stratum).isin(list(sizes))), [stratum], key, seed, wanted)
+    named = (df.withColumn(stratum, F.when(F.coalesce(listed, F.lit(False)), F.col(column)).otherwise(other))
+             .filter(F.col(stratum).isin(list(sizes))))
+    wanted = F.try_element_at(_literal_map(sizes), F.col("_s"))
+    cuts = _hash_cuts(named, F.col(stratum), key, seed, wanted)
+    if not cuts:
+        return named
+    cut = F.try_element_at(_literal_map(cuts), F.col(stratum))
+    return named.filter(cut.isNull() | (hash_order(key, seed) <= cut))
 
 
 def weighted_sample(df: DataFrame, key: str, weight: str, size: int, seed: int) -> DataFrame:
@@ -146,7 +155,7 @@ def sample_distribution(df: DataFrame, sample: DataFrame, keys: Sequence[str]) -
 
 def expected_rows(df: DataFrame, sample: DataFrame, column: str, fractions: Mapping[str, float]) -> DataFrame:
     """Per stratum the expected (count * fraction) and the sampled number of rows."""
-    lookup = F.create_map(*[F.lit(x) for pair in fractions.items() for x in pair])
+    lookup = _literal_map(fractions)
     expected = (df.groupBy(column).agg(F.count(F.lit(1)).alias("n_all"))
                 .withColumn("fraction", F.try_element_at(lookup, F.col(column)))
                 .filter(F.col("fraction").isNotNull())

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from rowloom.operators import joins, windows
 from rowloom.plans.aggregates import with_year
 from rowloom.plans.registry import Tables, query
-from rowloom.sources.tables import sql_over
+from rowloom.sources.tables import sql_over, staged
 
 DAILY_SQL = """(SELECT event_type, CAST(ts AS DATE) AS on_day, count(*) AS n FROM events GROUP BY ALL)"""
 # Every third day of the month is treated as not reported.
@@ -99,7 +99,8 @@ def window_lag_default(t: Tables) -> DataFrame:
            LEFT JOIN thin USING (event_type, on_day)""")
 def lag_dense(t: Tables) -> DataFrame:
     """Missing days count 0, so lag means the day before and not the row before."""
-    grid = joins.densify(daily(t).filter(F.col("n") % 4 != 0), ["event_type"], ["on_day"], ["n"])
+    present = staged(daily(t).filter(F.col("n") % 4 != 0), "daily")
+    grid = joins.densify(present, ["event_type"], ["on_day"], ["n"])
     return windows.lag_lead(grid, ["event_type"], "on_day", "on_day", "n", "n_before", max_rows=None)
 
 

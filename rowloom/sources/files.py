@@ -30,11 +30,15 @@ def write_single_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
                   partition_by: Sequence[str] = ()) -> None:
-    """Parquet, optionally one folder per value of the partition columns."""
-    writer = df.write.mode(mode)
+    """Parquet, optionally one folder per value of the partition columns.
+
+    Rows of a folder are brought together before the write; the rebalance hint
+    lets Spark split large folders and merge small ones by their real size.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

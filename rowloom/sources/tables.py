@@ -9,8 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rowloom.operators.skew import attach, find_hot, spread_by_hash
 from rowloom.session import scratch_path
 
 
@@ -22,13 +23,11 @@ def fresh_name(prefix: str) -> str:
 def save_table(df: DataFrame, name: str, path: str, *, mode: str = "errorifexists",
                partition_by: Sequence[str] = (), buckets: int = 0, bucket_by: Sequence[str] = (),
                sort_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table, optionally partitioned and bucketed, and read it back.
-
-    Rows are brought together by bucket before the write, so each bucket gets
-    one file instead of one per task.
-    """
+    """Write a table, optionally partitioned and bucketed, and read it back."""
     if buckets:
-        df = df.repartition(buckets, *bucket_by)
+        df = _by_bucket(df, buckets, bucket_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -40,6 +39,20 @@ def save_table(df: DataFrame, name: str, path: str, *, mode: str = "errorifexist
     return df.sparkSession.table(name)
 
 
+def _by_bucket(df: DataFrame, buckets: int, bucket_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by bucket, so that a bucket gets one file and not one per task.
+
+    Rows of a hot key are spread over several tasks and files of their bucket.
+    """
+    bucket, hot = F.pmod(F.hash(*bucket_by), F.lit(buckets)), find_hot(df, bucket_by)
+    if hot is None:
+        return df.repartition(buckets, bucket)
+    salt = F.coalesce(spread_by_hash(df.columns, F.col("_parts")), F.lit(0))
+    parts = buckets + hot.agg(F.sum("_parts")).first()[0]
+    return (attach(df, hot, bucket_by, ["_parts"], bounded=True)
+            .repartition(parts, bucket, salt).drop("_parts"))
+
+
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write the frame and go on from the written table; its plan starts at a scan."""
     table = fresh_name(name)
@@ -59,6 +72,8 @@ def insert_positional(df: DataFrame, table: str, overwrite: bool = True) -> None
         raise ValueError(f"columns {sorted(df.columns)} do not match table {sorted(columns)}")
     ordered = df.select(*columns)
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        ordered = ordered.hint("rebalance", *parts)
     if overwrite and parts:
         view = fresh_name("incoming")
         ordered.createOrReplaceTempView(view)

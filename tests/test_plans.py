@@ -81,6 +81,11 @@ def test_salted_join_spreads_the_hot_key(tables):
     assert largest[0] < largest[1] / 5
 
 
+def test_exact_sample_is_a_narrow_filter(spark):
+    for name in ("sample_exact", "sample_exact_stratified"):
+        assert "Exchange" not in plan(QUERIES[name](spark, SMALL))
+
+
 def test_pivot_values_need_no_extra_job(spark, tables):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("pivot", "pivot")

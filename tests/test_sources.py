@@ -128,6 +128,21 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tables):
     assert joined.count() == tables.lineitem.count()
 
 
+def test_hot_bucket_key_is_written_by_several_tasks(spark, monkeypatch):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    real = catalog.find_hot
+    monkeypatch.setattr(catalog, "find_hot", lambda frame, keys: real(frame, keys, 500))
+    name, path = catalog.fresh_name("hot"), session.scratch_path(spark, "hot")
+    table = catalog.save_table(df, name, path, buckets=4, bucket_by=["k"])
+    assert setops.frames_equal(table, df)
+    files_of_key = table.filter("k = 7").select(F.input_file_name()).distinct().count()
+    assert files_of_key > 3
+    cold = catalog.fresh_name("cold")
+    monkeypatch.setattr(catalog, "find_hot", real)
+    catalog.save_table(df, cold, session.scratch_path(spark, cold), buckets=4, bucket_by=["k"])
+    assert spark.table(cold).select(F.input_file_name()).distinct().count() == 4
+
+
 def test_pandas_cogroup_with_hot_key(spark):
     left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k long, v long")
     right = spark.range(0, 300, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
