@@ -17,7 +17,10 @@ def partition_profile(df: DataFrame) -> DataFrame:
 
 
 def shrink_partitions(df: DataFrame, fraction: float) -> DataFrame:
-    """After keeping a fraction of the rows, merge partitions in proportion."""
+    """After keeping a fraction of the rows, merge partitions in proportion.
+
+    For frames read from files; asking a shuffled frame for its partitions runs it.
+    """
     before = df.rdd.getNumPartitions()
     return df.coalesce(max(1, round(before * fraction)))
 

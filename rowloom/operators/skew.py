@@ -21,6 +21,7 @@ an aggregated table are: then there is no count at all.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -102,14 +103,15 @@ def spread_by_hash(columns: Sequence[str], parts: Column | int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), parts.cast("long")).cast("int")
 
 
-def position(df: DataFrame, column: str) -> Column:
+def position(df: DataFrame, column: str) -> Column | None:
     """A double that never decreases when the column's value increases.
 
     Only used to choose a slice; sorting always uses the value itself, so lost
     precision (long ids, long strings) affects balance but not the result.
+    None for types that have no such number.
     """
     kind, col = df.schema[column].dataType, F.col(f"`{column}`")
-    if isinstance(kind, T.NumericType):
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
         return col.cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double")
@@ -119,17 +121,46 @@ def position(df: DataFrame, column: str) -> Column:
         return (F.unix_date(col.cast("date")) * 86400.0 + F.hour(col) * 3600.0
                 + F.minute(col) * 60.0 + F.date_part(F.lit("SECOND"), col).cast("double"))
     if isinstance(kind, T.StringType):
-        head = F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot slice along {column}: {kind.simpleString()}")
+        return _text_position(col)
+    return None
+
+
+def _text_position(col: Column, skip: Column | None = None) -> Column:
+    """The six bytes after the first ``skip`` characters, as a number."""
+    text = col if skip is None else col.substr(skip + 1, F.lit(6))
+    head = F.hex(F.substring(F.encode(text, "UTF-8"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
+def _after_common_prefix(hot: DataFrame, tag: str) -> DataFrame:
+    """For texts: measure each hot group behind the prefix that all its values share.
+
+    That is the common prefix of its first and last value; ``hot`` is the small
+    local table.
+    """
+    rows = [{**row.asDict(), f"_skip{tag}": len(os.path.commonprefix(
+        [row[f"_first{tag}"] or "", row[f"_last{tag}"] or ""]))} for row in hot.collect()]
+    schema = T.StructType([*hot.schema.fields, T.StructField(f"_skip{tag}", T.IntegerType())])
+    skip = F.col(f"_skip{tag}")
+    return hot.sparkSession.createDataFrame(rows, schema).withColumns({
+        f"_lo{tag}": _text_position(F.col(f"_first{tag}"), skip),
+        f"_hi{tag}": _text_position(F.col(f"_last{tag}"), skip)})
+
+
+def _finite(df: DataFrame, column: str) -> Column:
+    place = position(df, column)
+    return F.when(F.abs(place) < float("inf"), place)
 
 
 def _spread_of(df: DataFrame, column: str, tag: str) -> list[Column]:
     """Range and number of known values of a column, for cutting along it."""
-    place = position(df, column)
-    return [F.min(place).alias(f"_lo{tag}"), F.max(place).alias(f"_hi{tag}"),
-            F.count(place).alias(f"_known{tag}"),
-            F.min(f"`{column}`").alias(f"_first{tag}"), F.max(f"`{column}`").alias(f"_last{tag}")]
+    col = F.col(f"`{column}`")
+    return [F.min(_finite(df, column)).alias(f"_lo{tag}"), F.max(_finite(df, column)).alias(f"_hi{tag}"),
+            F.count(col).alias(f"_known{tag}"), F.min(col).alias(f"_first{tag}"), F.max(col).alias(f"_last{tag}")]
 
 
 def _varies(tag: str) -> Column:
@@ -138,14 +169,20 @@ def _varies(tag: str) -> Column:
 
 
 def _cell(df: DataFrame, column: str, tag: str, use: Column, descending: bool) -> Column:
-    """0 where the group is not cut, else 1..parts along the column; nulls lie outside.
+    """0 where the group is not cut, else a number that follows the sort order.
 
-    Nulls sort first ascending and last descending: -1, or +1 once negated.
+    Finite values get 2..parts+1; minus infinity 1; infinity and NaN parts+2;
+    nulls, lowest of all, -1.  Negated for a descending order.
     """
-    width = F.nullif(F.col(f"_hi{tag}") - F.col(f"_lo{tag}"), F.lit(0.0))
-    inside = F.coalesce((position(df, column) - F.col(f"_lo{tag}")) / width, F.lit(0.0))
-    cell = F.least(F.floor(inside * F.col("_parts")), F.col("_parts") - 1) + 1
-    cell = F.when(F.col(f"`{column}`").isNull(), -1).otherwise(cell)
+    low, parts = F.col(f"_lo{tag}"), F.col("_parts")
+    value = (_text_position(F.col(f"`{column}`"), F.col(f"_skip{tag}")) if _is_text(df, column)
+             else _finite(df, column))
+    inside = F.coalesce(F.try_divide(value - low, F.col(f"_hi{tag}") - low), F.lit(0.0))
+    cell = (F.when(F.col(f"`{column}`").isNull(), -1)
+            .when(value.isNotNull(), F.least(F.floor(inside * parts), parts - 1) + 2)
+            .when(position(df, column) < 0, 1)
+            .otherwise(parts + 2))
+    # Nulls sort last descending: +1 is above all negated cells.
     return F.when(use, -cell if descending else cell).otherwise(0).cast("int")
 
 
@@ -157,19 +194,26 @@ def range_slices(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: s
     single value, along the tie-break.  Slices that are still hot, because the
     values are clumped, are cut again.  Each round adds two columns: the cell
     along the order column and the cell along the tie-break.  No hot group, no
-    columns.
+    columns; neither for an order column without a ``position``.
     """
     names: list[str] = []
+    if position(df, order_by) is None or (tie_break and position(df, tie_break) is None):
+        return df, names
     for step in range(MAX_ROUNDS):
         extra = _spread_of(df, order_by, "_o") + (_spread_of(df, tie_break, "_t") if tie_break else [])
         hot = find_hot(df, [*keys, *names], max_rows, extra)
         if hot is None:
             break
-        values = ["_parts", "_lo_o", "_hi_o", "_by_order"]
+        values = ["_parts"]
+        for column, tag in ((order_by, "_o"), (tie_break, "_t")):
+            if column and _is_text(df, column):
+                hot = _after_common_prefix(hot, tag)
+                values.append(f"_skip{tag}")
         hot = hot.withColumn("_by_order", _varies("_o"))
+        values += ["_lo_o", "_hi_o", "_by_order"]
         if tie_break:
-            values += ["_lo_t", "_hi_t", "_by_tie"]
             hot = hot.withColumn("_by_tie", ~F.col("_by_order") & _varies("_t"))
+            values += ["_lo_t", "_hi_t", "_by_tie"]
         placed = attach(df, hot, [*keys, *names], values, bounded=True)
         order_cell = _cell(df, order_by, "_o", F.col("_by_order"), descending)
         tie_cell = _cell(df, tie_break, "_t", F.col("_by_tie"), False) if tie_break else F.lit(0)

@@ -206,6 +206,8 @@ def interpolate(df: DataFrame, keys: Sequence[str], order_by: str, value: str, n
     before the first or after the last known value stay null.
     """
     place = position(df, order_by)
+    if place is None:
+        raise TypeError(f"{order_by} is not a number, date or timestamp")
     marked = (df.withColumn("_at", place)
               .withColumn("_known", F.when(F.col(value).isNotNull(),
                                            F.struct(F.col(value).cast("double").alias("y"),

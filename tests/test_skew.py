@@ -145,6 +145,32 @@ def test_strings_and_dates_can_be_sliced(spark):
         assert rows(got, "id", "row_number") == rows(want)
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_infinities_nan_and_null_keep_their_place(spark, descending):
+    odd = [float("nan"), float("inf"), float("-inf"), None, 0.0, -0.0]
+    data = [(odd[i % 12] if i % 12 < 6 else float(i % 50 - 25), i) for i in range(400)]
+    df = spark.createDataFrame(data, "o double, id long")
+    first = F.col("o").desc_nulls_last() if descending else F.col("o").asc_nulls_first()
+    want = df.select("id", F.row_number().over(Window.orderBy(first, "id")), F.rank().over(Window.orderBy(first)))
+    got = windows.ranked(df, [], "o", "id", descending, max_rows=10)
+    assert rows(got, "id", "row_number", "rank") == rows(want)
+
+
+def test_order_without_a_position_is_a_plain_window(spark):
+    df = spark.range(50).select(F.array("id").alias("o"), "id")
+    got = windows.ranked(df, [], "o", "id", descending=False, max_rows=5)
+    assert rows(got, "id", "row_number") == [(i, i + 1) for i in range(50)]
+
+
+def test_texts_with_a_long_common_prefix_are_cut(spark):
+    data = [(f"Customer#{i % 230:09d}" if i % 9 else "Customer#", i) for i in range(600)]
+    df = spark.createDataFrame(data, "s string, id long")
+    sliced, names = skew.range_slices(df, [], "s", "id", max_rows=30)
+    assert sliced.groupBy(*names).count().agg(F.max("count")).first()[0] <= 30
+    want = df.select("id", F.row_number().over(Window.orderBy("s", "id")))
+    assert rows(windows.global_row_number(df, "s", "id", max_rows=30), "id", "row_number") == rows(want)
+
+
 def test_copies_survive_collapse_and_expand(spark):
     df = spark.createDataFrame([("a", 1)] * 25 + [("b", None)] * 3 + [("c", 2)], "k string, v int")
     packed = setops.collapse_copies(df)
