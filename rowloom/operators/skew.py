@@ -5,8 +5,8 @@ third of the table that task never ends, so every operator that groups raw rows
 goes through this module:
 
 * ``find_hot`` counts rows per key (partial aggregation, so skew-proof) and
-  keeps the keys above a limit.  The limit is never below 1/10,000 of the
-  table, hence at most 10,000 hot keys and 30,000 parts: a proven bound, which
+  keeps the keys above a limit: at most the 10,000 largest, cut into at most
+  30,000 parts.  No other key holds more than 1/10,000 of the table.  The bound
   is why that table may be fetched once, looked at, and broadcast.
 * ``range_slices`` cuts hot groups along an order column, so that an ordered
   window runs per (key, slice) and only a small per-slice summary has to be
@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_GROUP_ROWS = 1_000_000
@@ -63,17 +64,17 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROW
                extra: Sequence[Column] = ()) -> DataFrame:
     """Keys holding more than ``max_rows`` rows: key columns, ``_n``, ``_parts``.
 
+    Of these the ``MAX_HOT_GROUPS`` largest, and only those above that fraction
+    of them all; any other group holds less than that fraction of the table.
     ``extra`` aggregates (for example the range of an order column) ride along
-    in the same pass.  At most ``MAX_HOT_GROUPS`` rows come back, see above.
-    ``_parts`` aims at half the limit, so that uneven parts still stay below it.
+    in the same pass.  ``_parts`` aims at half the limit, so that uneven parts
+    still stay below it.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
-    if keys:
-        total = counts.agg(F.sum("_n")).scalar()
-    else:
-        total = F.col("_n")
-    limit = F.greatest(F.lit(max_rows), F.ceil(total / MAX_HOT_GROUPS))
-    return (counts.withColumn("_limit", limit)
+    largest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
+               .filter(F.col("_n") > max_rows)
+               .orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS))
+    share = F.ceil(F.sum("_n").over(Window.partitionBy()) / MAX_HOT_GROUPS)
+    return (largest.withColumn("_limit", F.greatest(F.lit(max_rows), share))
             .filter(F.col("_n") > F.col("_limit"))
             .withColumn("_parts", F.ceil(2 * F.col("_n") / F.col("_limit")).cast("int"))
             .drop("_limit"))
@@ -89,8 +90,8 @@ def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROU
     if max_rows is None:
         return None
     hot = hot_groups(df, keys, max_rows, extra)
-    rows = hot.collect()  # at most MAX_HOT_GROUPS
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    rows = hot.toArrow()  # at most MAX_HOT_GROUPS
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows.num_rows else None
 
 
 def spread_by_hash(columns: Sequence[str], parts: Column | int) -> Column:
@@ -142,11 +143,12 @@ def _after_common_prefix(hot: DataFrame, tag: str) -> DataFrame:
     That is the common prefix of its first and last value; ``hot`` is the small
     local table.
     """
-    rows = [{**row.asDict(), f"_skip{tag}": len(os.path.commonprefix(
-        [row[f"_first{tag}"] or "", row[f"_last{tag}"] or ""]))} for row in hot.collect()]
+    rows = hot.toArrow()
+    ends = zip(rows[f"_first{tag}"].to_pylist(), rows[f"_last{tag}"].to_pylist())
+    shared = pa.array([len(os.path.commonprefix([first or "", last or ""])) for first, last in ends], pa.int32())
     schema = T.StructType([*hot.schema.fields, T.StructField(f"_skip{tag}", T.IntegerType())])
     skip = F.col(f"_skip{tag}")
-    return hot.sparkSession.createDataFrame(rows, schema).withColumns({
+    return hot.sparkSession.createDataFrame(rows.append_column(f"_skip{tag}", shared), schema).withColumns({
         f"_lo{tag}": _text_position(F.col(f"_first{tag}"), skip),
         f"_hi{tag}": _text_position(F.col(f"_last{tag}"), skip)})
 
