@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.operators import aggregate, shape
+from rowloom.operators import aggregate
 from rowloom.operators.ordering import top_n
 from rowloom.operators.windows import partition_totals
 from rowloom.plans.joining import mean_amount
@@ -166,14 +166,14 @@ QUARTERS = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 @query("""SELECT quantile_disc(o_totalprice, 0.25) AS q1, quantile_disc(o_totalprice, 0.5) AS q2,
                  quantile_disc(o_totalprice, 0.75) AS q3 FROM orders""")
 def quantiles(t: Tables) -> DataFrame:
-    """The low limit makes the table hot at test size too."""
-    return aggregate.exact_quantiles(t.orders, [], "o_totalprice", QUARTERS, max_rows=5_000)
+    return aggregate.exact_quantiles(t.orders, [], "o_totalprice", QUARTERS)
 
 
 @query("""SELECT c_nationkey, quantile_disc(c_acctbal, 0.25) AS q1, quantile_disc(c_acctbal, 0.5) AS q2,
                  quantile_disc(c_acctbal, 0.75) AS q3 FROM customer GROUP BY c_nationkey""")
 def group_quantiles(t: Tables) -> DataFrame:
-    return aggregate.exact_quantiles(t.customer, ["c_nationkey"], "c_acctbal", QUARTERS)
+    """The low limit makes nations hot at test size too."""
+    return aggregate.exact_quantiles(t.customer, ["c_nationkey"], "c_acctbal", QUARTERS, max_rows=50)
 
 
 @query()

@@ -75,7 +75,7 @@ def window_rank_compare(t: Tables) -> DataFrame:
                  row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_number FROM orders""")
 def global_row_number(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
-    return windows.global_row_number(orders, "order_day", "o_orderkey", max_rows=2_000)
+    return windows.global_row_number(orders, "order_day", "o_orderkey", max_rows=5_000)
 
 
 @query(f"""SELECT *, lag(n) OVER w AS n_before, lead(n) OVER w AS n_after FROM {DAILY_SQL}
@@ -127,7 +127,7 @@ def fill_forward_backward(t: Tables) -> DataFrame:
                         CAST(first_value(n IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS y2
                  FROM (SELECT *, epoch(on_day) AS x FROM {THINNED_SQL}) WINDOW w AS (PARTITION BY event_type ORDER BY on_day))""")
 def interpolate_linear(t: Tables) -> DataFrame:
-    filled = windows.interpolate(thinned(t), ["event_type"], "on_day", "n", max_rows=10)
+    filled = windows.interpolate(thinned(t), ["event_type"], "on_day", "n", max_rows=None)
     return filled.withColumn("filled", F.round("filled", 6))
 
 
