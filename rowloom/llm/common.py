@@ -45,7 +45,7 @@ class Memo(dict):
     def learn(self, keys: Iterable) -> None:
         """Afterwards all ``keys`` are there."""
         keys = set(keys)
-        missing = keys.difference(self)
+        missing = [k for k in keys if k not in self]
         if len(self) + len(missing) > self.limit:
             self.old = dict(self)
             self.clear()

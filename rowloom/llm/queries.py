@@ -5,20 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import token_files
+from rowloom.llm import decontaminate, licenses, neighbours, packing, token_files
 from rowloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    embeddings = table(spark, folder, "embeddings")
+    index, shards = neighbours.build_index(embeddings)
+    return neighbours.nearest(index, shards, embeddings.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in windows of 2048 ids."""
+    return packing.digests(packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=1), TOKENIZER, end_id=1)
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document inside windows of benchmark items."""
+    return decontaminate.report(decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as ids in files, read back."""
     return token_files.read_token_files(
         *token_files.write_token_files(table(spark, folder, "documents"), TOKENIZER, end_id=2))
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 
 import numpy as np
 
@@ -11,6 +12,13 @@ from rowloom.llm.common import Memo
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: How byte-level tokenizers write bytes: printable ones as they are, the others as characters from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+#: Ends of words that are no letters and stay together.
+MARKS = b".,;:!?"
+PROBES = ["the", "Rerethin", "thonst.", "eaux?!", "éireeau", "größe,", "x", "niño;", "MIXEDcase:"]
+
 
 class WordTokenizer:
     """Ids of whole texts for a tokenizer that drops white space and never joins across it.
@@ -19,19 +27,48 @@ class WordTokenizer:
     different word is encoded once and remembered.  Splitting at ASCII white
     space only is enough; other white space stays inside a word and is left to
     the tokenizer.  ``kind`` is the narrowest unsigned type that holds all ids.
+
+    Words of letters, perhaps with punctuation behind, go to the tokenizer's
+    model directly if that gives the same as the whole tokenizer for some probes:
+    such a word needs no normalization but lower case and is one piece.
     """
 
     def __init__(self, path: str, extra_id: int = 0):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         largest = max(self._tokenizer.get_vocab_size(with_added_tokens=True) - 1, extra_id)
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
+        self._marks: dict[bytes, list[int]] = {b"": []}
+        self._direct = all(self._letters(p.encode()) == self._plain([p.encode()])[0] for p in PROBES)
         self._known = Memo(self._encode)
 
+    def _plain(self, words: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words],
+                                                                 add_special_tokens=False)]
+
+    def _letters(self, word: bytes) -> list[int] | None:
+        """Ids of letters and marks; None for any other word."""
+        letters = word.rstrip(MARKS)
+        marks = word[len(letters):]
+        if marks not in self._marks:
+            if len(self._marks) > 10_000:
+                return None
+            self._marks[marks] = self._plain([marks])[0]
+        if letters.isalpha():  # of bytes: ASCII letters only
+            return [t.id for t in self._model.tokenize(letters.lower().decode())] + self._marks[marks]
+        text = letters.decode("utf-8", "replace")
+        if not (text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text)):
+            return None
+        spelled = letters.decode("latin-1").translate(BYTE_CHARACTERS)
+        return [t.id for t in self._model.tokenize(spelled)] + self._marks[marks]
+
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words],
-                                                    add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in encoded]
+        found = [self._letters(w) if self._direct else None for w in words]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(others, self._plain([words[i] for i in others])):
+            found[i] = ids
+        return [np.array(ids, self.kind).tobytes() for ids in found]
 
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian numbers of ``kind``."""
