@@ -1,10 +1,66 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences: toxicity, language, near copies, benchmark leaks, packing.
+
+Each stage gets the documents that the stage before it kept and returns those
+that it keeps, with the same columns; the last one returns the pieces of packed
+sequences.  Between stages the documents are written and read again.  Rows that
+share a doc_id, null included, stay or go together.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from rowloom.llm import decontaminate, language, near_copies, packing, toxicity
+from rowloom.llm.common import stored, table
+from rowloom.llm.queries import TOKENIZER
+
+#: Texts whose language is less sure than this go.
+LEAST_SCORE = 0.5
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids of ``rejected``."""
+    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_rejected")), "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that the classifier chain finds toxic; it learns from the labels of this corpus."""
+    chain = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, toxicity.score(docs, chain).filter("rejected"))
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that have no letter or whose language isn't clear."""
+    found = language.identify(docs)
+    return _without(docs, found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE)))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, five words a shingle, four fifths in common: the smallest doc_id."""
+    groups = near_copies.group_copies(docs, width=5, share=80)
+    return _without(docs, groups.filter(F.col("doc_id") != F.col("component_id")))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold ten words of a benchmark item in a row, or a whole shorter one."""
+    return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All ids of the documents in windows."""
+    return packing.digests(packing.pack(docs, TOKENIZER, end_id=1), TOKENIZER, end_id=1)
+
+
+STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near_copies", drop_copies),
+          ("decontamination", drop_leaks), ("packing", pack)]
+#: No stage but the benchmark's can be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is written to the shared folder and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

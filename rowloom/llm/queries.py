@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import decontaminate, licenses, neighbours, packing, token_files
+from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, shards, suffix_tree,
+                         token_files, toxicity)
 from rowloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -16,8 +17,13 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest rows of every row whose vec_id is divisible by 20."""
     embeddings = table(spark, folder, "embeddings")
-    index, shards = neighbours.build_index(embeddings)
-    return neighbours.nearest(index, shards, embeddings.filter(F.col("vec_id") % 20 == 0), k=20)
+    index, n = neighbours.build_index(embeddings)
+    return neighbours.nearest(index, n, embeddings.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learned from the documents that aren't held out."""
+    return language.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,11 +31,28 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=1), TOKENIZER, end_id=1)
 
 
+def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and suffix-tree scores of every text."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return suffix_tree.score(table(spark, folder, "documents"), held_out)
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document inside windows of benchmark items."""
     return decontaminate.report(decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of the categories for every document, learned from the labelled ones."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels"))).withColumnRenamed("rejected", "toxic")
+
+
+def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards, equal texts together."""
+    return shards.place(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as ids in files, read back."""
     return token_files.read_token_files(
@@ -41,6 +64,11 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op10_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 85 of 100 four-word shingles."""
+    return near_copies.group_copies(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

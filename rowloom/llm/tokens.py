@@ -73,11 +73,11 @@ class WordTokenizer:
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian numbers of ``kind``."""
         words = text.split()
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
-            self._known.learn(words)
-            return b"".join(map(self._known.__getitem__, words))
+        found = list(map(self._known.get, words))
+        if None in found:
+            self._known.learn({w for w, ids in zip(words, found) if ids is None})
+            found = [self._known[w] if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
 
 
 @functools.lru_cache(maxsize=2)
