@@ -1,16 +1,16 @@
 """Documents dealt into shards of equal row counts, equal texts together: balanced label propagation.
 
 Documents with the same text are linked.  A group of them has a hub, so a group of
-n has n links and not n^2 pairs; a group larger than a part of a shard gets
+n has n links and not n^2 pairs; a group larger than half a shard gets
 several hubs.  Linked documents start in the shard of their own hash.  In every
 round each hub points to the shard where most of its documents are, and documents
 elsewhere ask to move there.  The requests from shard i to shard j, in bins by a
 hash of the hub, are counted; as many as i and j can exchange, and then as many as
-j has room for, are granted bin by bin.  So no shard ever grows beyond its quota,
-and what moves is decided from counts of a fixed size.
+j has room for, are granted bin by bin.  So no shard grows beyond its quota and
+a little slack, and what moves is decided from counts of a fixed size.
 
-Documents without links have no neighbours to move to.  They, and linked ones that
-a shard has no room for, fill the shards up to their quotas, which are at most one
+Documents without links have no neighbours to move to.  They, and linked ones
+beyond a shard's quota, whole groups as far as possible, fill the shards up to their quotas, which are at most one
 row apart.
 """
 
@@ -22,8 +22,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rowloom.llm.common import stored
 
 SHARDS = 40
-ROUNDS = 5
+ROUNDS = 12
+#: Part by which a shard may be too large between rounds; the end puts that right.
+SLACK = 0.1
 BINS = 32
+#: Rows of a hub; fewer if that is half a shard.
+MOST_ROWS = 20_000
 #: Rows that one task numbers at a time, about.
 RANKED_ROWS = 5_000
 
@@ -84,7 +88,9 @@ def propagate(linked: DataFrame, quota: list[int], rounds: int = ROUNDS, bins: i
                 flow[r["shard"], r["_to"], r["_bin"]] += r["n"]
         if not flow.any():
             return linked
-        may = granted(flow, load, np.array(quota, np.int64))
+        may = granted(flow, load, np.ceil(np.array(quota) * (1 + SLACK)).astype(np.int64))
+        if not may.any():
+            return linked
         moves = spark.createDataFrame([(i, j, int(may[i, j])) for i in range(shards) for j in range(shards)],
                                       "shard int, _to int, _may int")
         linked = (asking.join(F.broadcast(moves), ["shard", "_to"])  # shards^2 rows
@@ -124,7 +130,7 @@ def place(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
         F.when(text.isNotNull(), F.xxhash64(text, F.octet_length(text))).alias("group")), "shard-rows")
     rows = base.count()
     quota = quotas(rows, shards)
-    room = max(1, min(quota[-1] // 8, 20_000))
+    room = max(1, min(max(quota[-1] // 2, min(quota[-1], 64)), MOST_ROWS))
     buckets = max(64, rows // RANKED_ROWS)
     same = (base.filter(F.col("group").isNotNull()).groupBy("group").agg(F.count(F.lit(1)).alias("_size"))
             .filter("_size > 1"))
