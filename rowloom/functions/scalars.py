@@ -12,6 +12,17 @@ def parse_date(column: str, pattern: str) -> Column:
     return F.try_to_timestamp(F.col(column), F.lit(pattern)).cast("date")
 
 
+def parse_timestamp(column: str, pattern: str) -> Column:
+    """timestamp without zone from text by its full pattern; text that does not match gives null."""
+    return F.try_to_timestamp(F.col(column), F.lit(pattern)).cast("timestamp_ntz")
+
+
+def text_epoch_seconds(column: str, pattern: str) -> Column:
+    """seconds since 1970-01-01 of text by its pattern, counted as it reads; null where it does not match."""
+    at = parse_timestamp(column, pattern)
+    return F.unix_date(at.cast("date")).cast("long") * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+
+
 def epoch_seconds(df: DataFrame, column: str) -> Column:
     """seconds since 1970-01-01.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.operators.joins import join_back
-from rowloom.operators.skew import MAX_GROUP_ROWS, attach, find_hot
+from rowloom.operators.skew import MAX_GROUP_ROWS, attach
 from rowloom.operators.windows import running_total
 
 
@@ -45,17 +45,30 @@ def pivot_count(df: DataFrame, keys: Sequence[str], column: str, values: Sequenc
     return df.groupBy(*keys).pivot(column, list(values) if values else None).count()
 
 
+def _only_listed(column: str, values: Sequence) -> Column:
+    """The column; at run time an error for any value that is not listed."""
+    col = F.col(f"`{column}`")
+    listed = F.coalesce(col.isin([v for v in values if v is not None]), F.lit(None in values))
+    return F.when(listed, col).otherwise(F.raise_error(F.concat(
+        F.lit(f"{column} has a value that is not listed: "), F.coalesce(col.cast("string"), F.lit("null")))))
+
+
 def pivot_agg(df: DataFrame, keys: Sequence[str], column: str, values: Sequence,
-              aggregates: Sequence[Column], fill=None) -> DataFrame:
-    """Fixed pivot values (no extra job to find them), any aggregates, optional fill."""
+              aggregates: Sequence[Column], fill=None, others: bool = False) -> DataFrame:
+    """Fixed pivot values (no extra job to find them), any aggregates, optional fill.
+
+    A value that is not listed is an error, so that no row vanishes; with
+    ``others`` such rows are left out on purpose.
+    """
+    if not others:
+        df = df.withColumn(column, _only_listed(column, values))
     wide = df.groupBy(*keys).pivot(column, list(values)).agg(*aggregates)
     return wide if fill is None else wide.fillna(fill)
 
 
 def contingency(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Long contingency table ``(row_value, col_value, n)``; nulls are a level of their own."""
-    return (df.select(F.coalesce(F.col(rows).cast("string"), F.lit("null")).alias("row_value"),
-                      F.coalesce(F.col(columns).cast("string"), F.lit("null")).alias("col_value"))
+    """Long contingency table ``(row_value, col_value, n)``; null is a level of its own and stays null."""
+    return (df.select(F.col(rows).cast("string").alias("row_value"), F.col(columns).cast("string").alias("col_value"))
             .groupBy("row_value", "col_value").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -63,9 +76,12 @@ def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str] | Non
     """Wide counts, first column ``rows_columns``, empty cells 0.
 
     Built from the long form, so the wide step handles cells and not raw rows.
+    The row of nulls has a null name; listed values must be all there are.
     """
-    return (contingency(df, rows, columns)
-            .groupBy(F.col("row_value").alias(f"{rows}_{columns}"))
+    cells = contingency(df, rows, columns)
+    if values:
+        cells = cells.withColumn("col_value", _only_listed("col_value", values))
+    return (cells.groupBy(F.col("row_value").alias(f"{rows}_{columns}"))
             .pivot("col_value", list(values) if values else None).agg(F.sum("n")).fillna(0))
 
 
@@ -82,17 +98,15 @@ def cramers_v(df: DataFrame, rows: str, columns: str, name: str = "cramers_v") -
     """Association of two categorical columns, without continuity correction.
 
     chi2 = n * (sum(o^2 / (r * c)) - 1) needs only the cells that occur, so the
-    full matrix is never built.  The data is read once; margins and level
-    counts come from the cells.  One level on either side gives null.
+    full matrix is never built.  Margins and level counts come from the cells.  One level on either side gives null.
     """
-    by_row = Window.partitionBy("row_value")
-    by_col = Window.partitionBy("col_value")
-    cells = contingency(df, rows, columns).select(
-        "n", F.sum("n").over(by_row).cast("double").alias("r"), F.sum("n").over(by_col).cast("double").alias("c"),
-        (F.row_number().over(by_row.orderBy("col_value")) == 1).alias("new_row"),
-        (F.row_number().over(by_col.orderBy("row_value")) == 1).alias("new_col"))
-    sums = cells.agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("ratio"),
-                     F.least(F.count_if("new_row"), F.count_if("new_col")).alias("levels"))
+    cells = contingency(df, rows, columns)
+    by_row = cells.groupBy("row_value").agg(F.sum("n").cast("double").alias("r"))
+    by_col = cells.groupBy("col_value").agg(F.sum("n").cast("double").alias("c"))
+    levels = F.least(by_row.agg(F.count(F.lit(1))).scalar(), by_col.agg(F.count(F.lit(1))).scalar())
+    known = attach(attach(cells, by_row, ["row_value"], ["r"]), by_col, ["col_value"], ["c"])
+    sums = (known.agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("ratio"))
+            .withColumn("levels", levels))
     # The identity can fall below zero by rounding when nothing is associated.
     per_level = F.try_divide(F.greatest(F.col("ratio") - 1, F.lit(0.0)), F.col("levels") - 1)
     return sums.select(F.sqrt(per_level).alias(name))
@@ -102,16 +116,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabiliti
                     max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Quantiles that are elements of the data, exact, one named column each.
 
-    Small groups use Spark's ``percentile_disc``, which holds a group's distinct
-    values in memory.  If a group (or, without keys, the table) is hot, values
-    are counted first and a running count over them, in slices, finds the
-    element at ceil(p * n).
+    Values are counted first, and a running count over them, in slices where a
+    group has very many, finds the element at ceil(p * n).
     """
     known = df.filter(F.col(column).isNotNull())
-    if find_hot(known, keys, max_rows) is None:
-        return known.groupBy(*keys).agg(*[
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)").alias(name)
-            for name, p in probabilities.items()])
     return _placed_values(known, keys, column, max_rows).groupBy(*keys).agg(*[
         F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.lit(p) * F.col("_n")), F.lit(1)),
                      F.col(column))).alias(name)
@@ -120,10 +128,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabiliti
 
 def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median",
                  max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Median per key, the mean of the middle two for an even count; see G17 for hot groups."""
+    """Median per key, the mean of the middle two for an even count; found as G17."""
     known = df.filter(F.col(column).isNotNull())
-    if find_hot(known, keys, max_rows) is None:
-        return known.groupBy(*keys).agg(F.median(column).alias(name))
     lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
 
     def element(place: Column) -> Column:

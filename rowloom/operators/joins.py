@@ -1,4 +1,4 @@
-"""Joins: strategy hints, checked broadcasts, salting, hot-key splits, grids."""
+"""Joins: strategy hints, checked broadcasts, salting, hot-key splits, calendars."""
 
 from __future__ import annotations
 
@@ -22,29 +22,23 @@ def shuffle_hash_join(left: DataFrame, right: DataFrame, on: Sequence[str], how:
     return left.join(right.hint("shuffle_hash"), list(on), how)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
-             filtered: bool = False) -> bool:
-    """Measure whether a frame is small enough to broadcast.
-
-    A frame that Spark already estimates far above the limit (for files, their
-    size) is not read at all; any other is counted in one job, combined per
-    task.  ``filtered`` counts in any case, for few rows out of a large table.
-    """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate > 16 * max_bytes and not filtered:
-        return False
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure whether a frame is small enough to broadcast, reading at most ``max_rows`` + 1 of its rows."""
     as_text = F.length(F.to_json(F.struct("*")))
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(as_text), F.lit(0)).alias("size")).first()
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(as_text), F.lit(0)).alias("size")).first()
     return found["n"] <= max_rows and found["size"] <= max_bytes
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                   max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
-                   filtered: bool = False) -> DataFrame:
-    """Broadcast the right side if it measures small, else a skew-safe join."""
-    if is_small(right, max_rows, max_bytes, filtered):
+                   max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast the right side if it measures small.
+
+    Else the rows are the same by another way: a skew-safe join for inner and left
+    joins, Spark's own choice for the other kinds.
+    """
+    if is_small(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), list(on), how)
-    return skew_join(left, right, on, how)
+    return skew_join(left, right, on, how) if how in ("inner", "left") else left.join(right, list(on), how)
 
 
 def lookup_case(df: DataFrame, column: str, mapping: Mapping, name: str, default=None) -> DataFrame:
@@ -88,33 +82,24 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
               max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """J13 with the hot keys found from the data, each with its own salt count.
 
-    The hot-key table has at most ``MAX_HOT_GROUPS`` rows and is broadcast to
-    both sides; keys that are not hot keep one salt and are not repeated.
-    Null keys match nothing, so a left join keeps them aside from the shuffle.
+    Keys that are not hot keep one salt and are not repeated.  Null keys match
+    nothing; where they are hot, their rows are spread over many salts.
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join repeats right rows, so it is inner or left")
-    present = F.lit(True)
-    for key in on:
-        present = present & F.col(f"`{key}`").isNotNull()
-    known = left.filter(present)
-    hot = find_hot(known, on, max_rows)
+    hot = find_hot(left, on, max_rows)
     if hot is None:
-        joined = known.join(right, list(on), how)
-    else:
-        salted_left, salted_right = salt_sides(known, right, on, hot)
-        joined = salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-    if how == "inner":
-        return joined
-    return joined.unionByName(left.filter(~present), allowMissingColumns=True)
+        return left.join(right, list(on), how)
+    salted_left, salted_right = salt_sides(left, right, on, hot)
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def salt_sides(left: DataFrame, right: DataFrame, keys: Sequence[str],
                hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_salt``: left rows of hot keys spread, right rows repeated per part."""
-    spread = attach(left, hot, keys, ["_parts"], bounded=True)
+    spread = attach(left, hot, keys, ["_parts"])
     salt = F.coalesce(spread_by_hash(left.columns, F.col("_parts")), F.lit(0))
-    repeated = attach(right, hot, keys, ["_parts"], bounded=True)
+    repeated = attach(right, hot, keys, ["_parts"])
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     return (spread.withColumn("_salt", salt).drop("_parts"),
             repeated.withColumn("_salt", F.explode(salts)).drop("_parts"))
@@ -124,14 +109,14 @@ def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot: Sequence, h
     """Hot keys meet their few right rows by broadcast, the rest by merge.
 
     The right rows of the listed keys are measured before they are broadcast;
-    if they are too many the hot part is salted instead.
+    if they are too many the hot part is salted instead, as are keys that turn out hot without being listed.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left")
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
     hot_left, hot_right = left.filter(is_hot), right.filter(F.col(key).isin(list(hot)))
-    cold = left.filter(~is_hot).join(right.hint("merge"), [key], how)
-    return broadcast_join(hot_left, hot_right, [key], how, filtered=True).unionByName(cold)
+    cold = skew_join(left.filter(~is_hot), right, [key], how)
+    return broadcast_join(hot_left, hot_right, [key], how).unionByName(cold)
 
 
 def join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str],
@@ -171,32 +156,20 @@ def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Co
     return _join_back(df, table, keys, list(aggregates), hot)
 
 
-def all_combinations(left: DataFrame, right: DataFrame, blocks: int = 8) -> DataFrame:
-    """Every left row with every right row, as an equi-join on block numbers.
+def densify(df: DataFrame, keys: Sequence[str], period: str, measures: Sequence[str], fill=0,
+            step: Column | int = 1) -> DataFrame:
+    """One row per key and period, from the key's first period to its last; missing measures are filled.
 
-    The result is a ``blocks x blocks`` board: a left row takes one block row
-    and visits all its columns, a right row the reverse.  Each pair meets on
-    exactly one square and each square holds 1/blocks^2 of the result, so no
-    task gets a whole side and Spark may still broadcast a small one.
+    ``df`` holds one row per key and period already, i.e. it is aggregated first.
+    Every key gets a calendar of its own, a sequence of whole numbers, dates or
+    timestamps by ``step``, so the result has no more rows than the keys have
+    periods.  A null period is no period.
     """
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    rows = (left.withColumn("_row", spread_by_hash(left.columns, blocks))
-            .withColumn("_col", F.explode(every)))
-    cols = (right.withColumn("_col", spread_by_hash(right.columns, blocks))
-            .withColumn("_row", F.explode(every)))
-    return rows.join(cols, ["_row", "_col"]).drop("_row", "_col")
-
-
-def densify(df: DataFrame, row_keys: Sequence[str], col_keys: Sequence[str],
-            measures: Sequence[str], fill=0) -> DataFrame:
-    """One row per combination of the keys that occur; missing measures are filled.
-
-    ``df`` holds one row per combination already, i.e. it is aggregated first,
-    and is read three times, so stage it if computing it is long.
-    """
-    grid = all_combinations(df.select(*row_keys).distinct(), df.select(*col_keys).distinct())
-    keys = [*row_keys, *col_keys]
-    return grid.join(df.select(*keys, *measures), keys, "left").fillna(fill, subset=list(measures))
+    known = df.filter(F.col(period).isNotNull())
+    step = F.lit(step) if isinstance(step, int) else step
+    calendar = (known.groupBy(*keys).agg(F.min(period).alias("_from"), F.max(period).alias("_to"))
+                .select(*keys, F.explode(F.sequence("_from", "_to", step)).alias(period)))
+    return attach(calendar, known, [*keys, period], measures).fillna(fill, subset=list(measures))
 
 
 def fanout(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -212,17 +185,3 @@ def assert_join_fanout(left: DataFrame, right: DataFrame, on: Sequence[str], max
     rows = left.count()
     if joined > max_ratio * max(rows, 1):
         raise ValueError(f"join on {list(on)} gives {joined} rows from {rows}: over {max_ratio} per row")
-
-
-def constant_key_join(left: DataFrame, right: DataFrame, key: str, value,
-                      salts: int = 16) -> DataFrame:
-    """Give every left row the right rows of one fixed key.
-
-    All left rows share the key, so a plain shuffle would send the whole table
-    to one task.  The right rows are broadcast if they measure small; else the
-    salt keeps the shuffle spread.
-    """
-    matches = right.filter(F.col(key) == F.lit(value))
-    if is_small(matches, filtered=True):
-        matches = F.broadcast(matches)
-    return salted_join(left.withColumn(key, F.lit(value)), matches, [key], salts, "left")

@@ -25,9 +25,9 @@ def shrink_partitions(df: DataFrame, fraction: float) -> DataFrame:
     return df.coalesce(max(1, round(before * fraction)))
 
 
-def spread_partitions(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """L3: full shuffle into ``n`` partitions, by key if keys are given."""
-    return df.repartition(n, *keys)
+def spread_partitions(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
+    """L3: full shuffle into ``n`` partitions, by key if keys are given; None leaves their number to Spark."""
+    return df.repartition(*([] if n is None else [n]), *keys)
 
 
 @contextmanager

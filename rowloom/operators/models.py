@@ -14,22 +14,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Prefix that puts a category last in alphabetDesc order, and the
 # normal quantile of the 95 % interval.
 REFERENCE_PREFIX = "000_"
+OTHER_PREFIX = "001_"  # for categories that sort before the reference all the same
 Z_95 = 1.96
 
 
 def prepare(df: DataFrame, target: Column, numeric: Sequence[str], categorical: Sequence[str],
             label: str = "label") -> DataFrame:
-    """M1: 0/1 target, numeric predictors as doubles, categories as strings; no nulls."""
-    return df.select(F.when(target, 1.0).otherwise(0.0).alias(label),
+    """M1: 0/1 target, numeric predictors as doubles, categories as strings; rows with a null, target included, go."""
+    return df.select(target.cast("double").alias(label),
                      *[F.col(c).cast("double").alias(c) for c in numeric],
                      *[F.col(c).cast("string").alias(c) for c in categorical]).dropna()
 
 
 def set_reference(df: DataFrame, reference: Mapping[str, str]) -> DataFrame:
-    """M2: prefix each reference category so that encoding drops it."""
-    return df.withColumns({
-        c: F.when(F.col(c) == value, F.lit(REFERENCE_PREFIX + value)).otherwise(F.col(c))
-        for c, value in reference.items()})
+    """M2: prefix each reference category so that it sorts below all others and encoding drops it.
+
+    Other categories get a prefix too if they would sort before it.
+    """
+    def named(c: str, value: str) -> Column:
+        own, other = F.lit(REFERENCE_PREFIX + value), F.col(c)
+        return F.when(other == value, own).when(other <= own, F.concat(F.lit(OTHER_PREFIX), other)).otherwise(other)
+
+    return df.withColumns({c: named(c, value) for c, value in reference.items()})
 
 
 def index_categories(df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc") -> DataFrame:
@@ -44,9 +50,11 @@ def low_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One level makes one-hot encoding fail and the design singular.
     """
-    wide = df.agg(*[F.countDistinct(c).alias(c) for c in columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_levels")) for c in columns])
-    return wide.select(F.inline(rows)).withColumn("usable", F.col("n_levels") >= 2)
+    levels = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"))
+                                         for c in columns])))
+              .groupBy("column", "level").agg(F.lit(1).alias("_one")))  # combined per task: few rows are shuffled
+    return (levels.groupBy("column").agg(F.count("level").alias("n_levels"))
+            .withColumn("usable", F.col("n_levels") >= 2))
 
 
 def design_stages(numeric: Sequence[str], categorical: Sequence[str], order: str = "alphabetDesc") -> list:

@@ -15,6 +15,14 @@ from rowloom.operators.joins import group_values, salt_sides
 from rowloom.operators.skew import MAX_GROUP_ROWS, find_hot
 
 
+@F.pandas_udf(T.DoubleType())
+def scaled(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """A scalar-iterator function: what is set up before the loop serves all batches of a task."""
+    step = 10.0
+    for value, offset in batches:
+        yield (value - offset) / step
+
+
 @F.pandas_udf(T.DoubleType())
 def distance_km(x: pd.Series, y: pd.Series, to_x: pd.Series, to_y: pd.Series) -> pd.Series:
     """Straight-line distance in kilometres between points in metres."""
@@ -81,6 +89,7 @@ def cogroup_unique(left: DataFrame, right: DataFrame, key: str,
     row.  ``function`` gets all rows of its block and must treat left rows
     independently of each other.
     """
+    # Every key is salted by its share of a block, so no call gets much more than a block.
     hot = find_hot(left, [key], max_rows)
     if hot is None:
         a, b = left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0))

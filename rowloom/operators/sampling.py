@@ -11,16 +11,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.operators.windows import ranked
-
-PREFIX_DIGITS = 4  # 65,536 hash buckets
-SKETCH_ACCURACY = 10_000
+#: Hash digits by which a stratum's rows are counted at first; and rows of a bucket that are looked at one by one.
+PREFIX_DIGITS, EDGE_ROWS = 4, 100_000
 
 
 def hash_order(key: str | Column, seed: int) -> Column:
-    """32 hex digits that depend only on the seed and the key."""
+    """32 hex digits that depend only on the seed and the key; a null key has digits of its own."""
     col = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}-"), col.cast("string")))
+    return F.md5(F.coalesce(F.concat(F.lit(f"{seed}-"), col.cast("string")), F.lit(f"{seed} null")))
 
 
 def hash_uniform(key: str | Column, seed: int) -> Column:
@@ -42,33 +40,40 @@ def sample_by(df: DataFrame, column: str, fractions: Mapping, seed: int) -> Data
 def _hash_cuts(df: DataFrame, stratum: Column, key: str, seed: int, size: Column) -> dict:
     """Per stratum the hash up to which rows are taken; strata taken whole are left out.
 
-    ``size`` may use the stratum ``_s`` and its row count ``_all``.  Two small
-    jobs: rows are counted per stratum and hash prefix, which shows the prefix
-    the cut lies in; then only that prefix, about 1/65,536 of a stratum, is
-    ordered.  One row per stratum comes back, and callers list their strata.
+    ``size`` may use the stratum ``_s`` and its row count ``_all``.  Rows are
+    counted per stratum and hash prefix, which shows the prefix that the cut lies
+    in; while that holds too many rows, longer prefixes of it are counted, so no
+    task orders more than EDGE_ROWS hashes of a stratum.  One row per stratum
+    comes back, and callers list their strata.
+
+    Raises an error if the cut falls between rows with one key: then no set of
+    whole keys has that size.
     """
-    hashed = df.select(stratum.alias("_s"), hash_order(key, seed).alias("_hash")).withColumn(
-        "_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
-    counts = hashed.groupBy("_s", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy("_s")
-    before = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    edges = (counts.withColumn("_all", F.sum("_n").over(whole))
-             .withColumn("_left", size - F.coalesce(F.sum("_n").over(before), F.lit(0)))
-             .filter(F.col("_left") < F.col("_n"))
-             .groupBy("_s").agg(F.min("_prefix").alias("edge"), F.min_by("_left", "_prefix").alias("take"))
-             .collect())
-    # A bare prefix sorts before all hashes that begin with it: nothing of it is taken.
-    cuts = {row["_s"]: row["edge"] for row in edges}
-    partly = {row["_s"]: row for row in edges if row["take"] > 0}
-    if partly:
-        edge = _literal_map({s: row["edge"] for s, row in partly.items()})
-        take = _literal_map({s: row["take"] for s, row in partly.items()})
-        place = F.row_number().over(whole.orderBy("_hash"))
-        last = (hashed.filter(F.col("_prefix") == F.try_element_at(edge, F.col("_s")))
-                .withColumn("_place", place)
-                .filter(F.col("_place") <= F.try_element_at(take, F.col("_s")))
-                .groupBy("_s").agg(F.max("_hash").alias("hash")).collect())
-        cuts.update({row["_s"]: row["hash"] for row in last})
+    hashed = df.select(stratum.alias("_s"), hash_order(key, seed).alias("_hash"))
+    counts = hashed.groupBy("_s").agg(F.count(F.lit(1)).alias("_all")).withColumn("_take", size.cast("long"))
+    open_ = {r["_s"]: ("", r["_take"], r["_all"]) for r in counts.filter("_take < _all").collect()}
+    cuts = {s: "" for s, (_, take, _) in open_.items() if take <= 0}
+    open_ = {s: v for s, v in open_.items() if v[1] > 0}
+    digits = 0
+    while open_ and digits < 32:
+        digits = min(32, digits + PREFIX_DIGITS) if max(v[2] for v in open_.values()) > EDGE_ROWS else 32
+        prefix = F.try_element_at(_literal_map({s: v[0] for s, v in open_.items()}), F.col("_s"))
+        left = F.try_element_at(_literal_map({s: v[1] for s, v in open_.items()}), F.col("_s"))
+        upto = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+        parts = (hashed.filter(F.startswith(F.col("_hash"), prefix)).withColumn("_prefix", F.substring("_hash", 1, digits))
+                 .groupBy("_s", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+                 .withColumn("_left", left - F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+                 .filter(F.col("_left") > 0))
+        # The last bucket that anything is taken of.
+        last = parts.groupBy("_s").agg(F.max_by(F.struct("_prefix", "_left", "_n"), "_prefix").alias("_b")).select("_s", "_b.*")
+        found = {r["_s"]: (r["_prefix"], r["_left"], r["_n"]) for r in last.collect()}
+        for s, (edge, take, n) in found.items():
+            if take == n:  # all of it, and nothing behind it
+                cuts[s] = edge.ljust(32, "f")
+            elif digits == 32:
+                raise ValueError(f"{take} of {n} rows with the same {key} would have to be taken: the key must be unique")
+        open_ = {s: v for s, v in found.items() if s not in cuts}
     return cuts
 
 
@@ -114,15 +119,8 @@ def weighted_sample(df: DataFrame, key: str, weight: str, size: int, seed: int)
     """
     draws = (df.filter(F.col(weight) > 0)
              .withColumn("_draw", -F.log(hash_uniform(key, seed)) / F.col(weight)))
-    n = draws.count()
-    # A sketch gives a draw that is surely above the size-th smallest one: its
-    # rank error is at most n / SKETCH_ACCURACY.  Only rows below it are sorted.
-    enough = (size + 1) / max(n, 1) + 2 / SKETCH_ACCURACY
-    if enough < 1:
-        upper = draws.agg(F.percentile_approx("_draw", enough, SKETCH_ACCURACY)).scalar()
-        draws = draws.filter(F.col("_draw") <= upper)
-    return (ranked(draws, [], "_draw", key, descending=False)
-            .filter(F.col("row_number") <= size).select(*df.columns))
+    # Each task keeps its ``size`` smallest draws.
+    return draws.orderBy("_draw", key).limit(size).select(*df.columns)
 
 
 def random_split(df: DataFrame, weights: Mapping[str, float], key: str, seed: int, name: str = "part") -> DataFrame:

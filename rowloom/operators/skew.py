@@ -5,31 +5,29 @@ third of the table that task never ends, so every operator that groups raw rows
 goes through this module:
 
 * ``find_hot`` counts rows per key (partial aggregation, so skew-proof) and
-  keeps the keys above a limit: at most the 10,000 largest, cut into at most
-  30,000 parts.  No other key holds more than 1/10,000 of the table.  The bound
-  is why that table may be fetched once, looked at, and broadcast.
-* ``range_slices`` cuts hot groups along an order column, so that an ordered
-  window runs per (key, slice) and only a small per-slice summary has to be
-  combined per key.
-
-The count is one job when the operator is applied.  Without hot keys, the usual
-case, nothing else is added and the plan is the plain window or join.  Where the
-rows come from a long computation, write them out first (``sources.tables.staged``)
-or pass ``max_rows=None`` if their groups are known to be small, as the groups of
-an aggregated table are: then there is no count at all.
+  keeps the keys above a limit in a written table.  There may be any number of
+  them; the table is joined to what needs it and never comes to the driver, and
+  whether it is broadcast is decided by Spark's own check of its size.
+* ``range_slices`` deals the rows out by Spark's range partitioning over the keys,
+  the order column and the tie-break, and freezes the result in a written table,
+  so that an ordered window runs per (key, slice) and only a small per-slice
+  summary has to be combined per key.  Any type that can be sorted will do.
+
+The count is one job when the operator is applied, so operators with a
+``max_rows`` are not lazy.  Without hot keys, the usual case, nothing else is added
+and the plan is the plain window or join.  ``max_rows=None`` leaves out the count
+where groups are known to be small, as the groups of an aggregated table are.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from rowloom.session import stored
+
 MAX_GROUP_ROWS = 1_000_000
-MAX_HOT_GROUPS = 10_000
-MAX_ROUNDS = 4
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -41,16 +39,12 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return condition
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str],
-           bounded: bool = False) -> DataFrame:
+def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Left-join ``values`` of a frame that is unique per key; null keys match.
 
-    ``bounded`` marks a table whose size has a proven limit and so may be
-    broadcast.  Otherwise Spark picks the strategy from its own size checks.
+    Spark picks the strategy from its own size checks.
     """
     right = table.select(*keys, *values)
-    if bounded:
-        right = F.broadcast(right)
     if not keys:
         # A single row without a key: one scalar subquery, not a join.
         packed = table.select(F.struct(*values)).scalar()
@@ -60,38 +54,25 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], values: Sequenc
         "l.*", *[F.col(f"r.`{v}`") for v in values])
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS,
-               extra: Sequence[Column] = ()) -> DataFrame:
+def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Keys holding more than ``max_rows`` rows: key columns, ``_n``, ``_parts``.
 
-    Of these the ``MAX_HOT_GROUPS`` largest, and only those above that fraction
-    of them all; any other group holds less than that fraction of the table.
-    ``extra`` aggregates (for example the range of an order column) ride along
-    in the same pass.  ``_parts`` aims at half the limit, so that uneven parts
-    still stay below it.
+    ``_parts`` aims at half the limit, so that uneven parts still stay below it.
     """
-    largest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
-               .filter(F.col("_n") > max_rows)
-               .orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS))
-    share = F.ceil(F.sum("_n").over(Window.partitionBy()) / MAX_HOT_GROUPS)
-    return (largest.withColumn("_limit", F.greatest(F.lit(max_rows), share))
-            .filter(F.col("_n") > F.col("_limit"))
-            .withColumn("_parts", F.ceil(2 * F.col("_n") / F.col("_limit")).cast("int"))
-            .drop("_limit"))
-
-
-def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROUP_ROWS,
-             extra: Sequence[Column] = ()) -> DataFrame | None:
-    """``hot_groups`` as a small local table, or None if there are none.
-
-    Fetched once, so the counts are not computed again by each use and all uses
-    see the same hot keys.
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+            .withColumn("_parts", F.ceil(2 * F.col("_n") / max_rows).cast("int")))
+
+
+def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame | None:
+    """``hot_groups`` as a written table, or None if there are none.
+
+    Written, so the counts are not computed again by each use and all uses see
+    the same hot keys.
     """
     if max_rows is None:
         return None
-    hot = hot_groups(df, keys, max_rows, extra)
-    rows = hot.toArrow()  # at most MAX_HOT_GROUPS
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows.num_rows else None
+    hot = stored(hot_groups(df, keys, max_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def spread_by_hash(columns: Sequence[str], parts: Column | int) -> Column:
@@ -105,12 +86,7 @@ def spread_by_hash(columns: Sequence[str], parts: Column | int) -> Column:
 
 
 def position(df: DataFrame, column: str) -> Column | None:
-    """A double that never decreases when the column's value increases.
-
-    Only used to choose a slice; sorting always uses the value itself, so lost
-    precision (long ids, long strings) affects balance but not the result.
-    None for types that have no such number.
-    """
+    """The column as a double: numbers as they are, days and seconds for dates and timestamps; else None."""
     kind, col = df.schema[column].dataType, F.col(f"`{column}`")
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         return col.cast("double")
@@ -121,115 +97,38 @@ def position(df: DataFrame, column: str) -> Column | None:
     if isinstance(kind, T.TimestampNTZType):
         return (F.unix_date(col.cast("date")) * 86400.0 + F.hour(col) * 3600.0
                 + F.minute(col) * 60.0 + F.date_part(F.lit("SECOND"), col).cast("double"))
-    if isinstance(kind, T.StringType):
-        return _text_position(col)
     return None
 
 
-def _text_position(col: Column, skip: Column | None = None) -> Column:
-    """The six bytes after the first ``skip`` characters, as a number."""
-    text = col if skip is None else col.substr(skip + 1, F.lit(6))
-    head = F.hex(F.substring(F.encode(text, "UTF-8"), 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-
-
-def _is_text(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.StringType)
-
-
-def _after_common_prefix(hot: DataFrame, tag: str) -> DataFrame:
-    """For texts: measure each hot group behind the prefix that all its values share.
-
-    That is the common prefix of its first and last value; ``hot`` is the small
-    local table.
-    """
-    rows = hot.toArrow()
-    ends = zip(rows[f"_first{tag}"].to_pylist(), rows[f"_last{tag}"].to_pylist())
-    shared = pa.array([len(os.path.commonprefix([first or "", last or ""])) for first, last in ends], pa.int32())
-    schema = T.StructType([*hot.schema.fields, T.StructField(f"_skip{tag}", T.IntegerType())])
-    skip = F.col(f"_skip{tag}")
-    return hot.sparkSession.createDataFrame(rows.append_column(f"_skip{tag}", shared), schema).withColumns({
-        f"_lo{tag}": _text_position(F.col(f"_first{tag}"), skip),
-        f"_hi{tag}": _text_position(F.col(f"_last{tag}"), skip)})
-
-
-def _finite(df: DataFrame, column: str) -> Column:
-    place = position(df, column)
-    return F.when(F.abs(place) < float("inf"), place)
-
-
-def _spread_of(df: DataFrame, column: str, tag: str) -> list[Column]:
-    """Range and number of known values of a column, for cutting along it."""
-    col = F.col(f"`{column}`")
-    return [F.min(_finite(df, column)).alias(f"_lo{tag}"), F.max(_finite(df, column)).alias(f"_hi{tag}"),
-            F.count(col).alias(f"_known{tag}"), F.min(col).alias(f"_first{tag}"), F.max(col).alias(f"_last{tag}")]
-
-
-def _varies(tag: str) -> Column:
-    some_null = (F.col(f"_known{tag}") > 0) & (F.col(f"_known{tag}") < F.col("_n"))
-    return F.coalesce(F.col(f"_first{tag}") != F.col(f"_last{tag}"), F.lit(False)) | some_null
-
-
-def _cell(df: DataFrame, column: str, tag: str, use: Column, descending: bool) -> Column:
-    """0 where the group is not cut, else a number that follows the sort order.
-
-    Finite values get 2..parts+1; minus infinity 1; infinity and NaN parts+2;
-    nulls, lowest of all, -1.  Negated for a descending order.
-    """
-    low, parts = F.col(f"_lo{tag}"), F.col("_parts")
-    value = (_text_position(F.col(f"`{column}`"), F.col(f"_skip{tag}")) if _is_text(df, column)
-             else _finite(df, column))
-    inside = F.coalesce(F.try_divide(value - low, F.col(f"_hi{tag}") - low), F.lit(0.0))
-    cell = (F.when(F.col(f"`{column}`").isNull(), -1)
-            .when(value.isNotNull(), F.least(F.floor(inside * parts), parts - 1) + 2)
-            .when(position(df, column) < 0, 1)
-            .otherwise(parts + 2))
-    # Nulls sort last descending: +1 is above all negated cells.
-    return F.when(use, -cell if descending else cell).otherwise(0).cast("int")
+def ordering(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:
+    """Nulls lowest, as Spark's windows here have them."""
+    first = F.col(f"`{order_by}`")
+    columns = [first.desc_nulls_last() if descending else first.asc_nulls_first()]
+    if tie_break:
+        columns.append(F.col(f"`{tie_break}`").asc_nulls_first())
+    return columns
 
 
 def range_slices(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str | None,
                  descending: bool = False, max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, list[str]]:
-    """Cut hot groups into slices that follow the sort order; names of the slice columns.
+    """Cut the rows into slices of about ``max_rows`` that follow keys and order; names of the slice column.
 
-    A round cuts each hot group along its order column or, where that has a
-    single value, along the tie-break.  Slices that are still hot, because the
-    values are clumped, are cut again.  Each round adds two columns: the cell
-    along the order column and the cell along the tie-break.  No hot group, no
-    columns; neither for an order column without a ``position``.
+    Only if a group is hot; else the frame itself and no names.  Slices hold
+    rows that sort next to each other, whatever their keys, so small groups share
+    one and a hot group fills many.  Rows equal in key, order and tie-break stay
+    together.
     """
-    names: list[str] = []
-    if position(df, order_by) is None or (tie_break and position(df, tie_break) is None):
-        return df, names
-    for step in range(MAX_ROUNDS):
-        extra = _spread_of(df, order_by, "_o") + (_spread_of(df, tie_break, "_t") if tie_break else [])
-        hot = find_hot(df, [*keys, *names], max_rows, extra)
-        if hot is None:
-            break
-        values = ["_parts"]
-        for column, tag in ((order_by, "_o"), (tie_break, "_t")):
-            if column and _is_text(df, column):
-                hot = _after_common_prefix(hot, tag)
-                values.append(f"_skip{tag}")
-        hot = hot.withColumn("_by_order", _varies("_o"))
-        values += ["_lo_o", "_hi_o", "_by_order"]
-        if tie_break:
-            hot = hot.withColumn("_by_tie", ~F.col("_by_order") & _varies("_t"))
-            values += ["_lo_t", "_hi_t", "_by_tie"]
-        placed = attach(df, hot, [*keys, *names], values, bounded=True)
-        order_cell = _cell(df, order_by, "_o", F.col("_by_order"), descending)
-        tie_cell = _cell(df, tie_break, "_t", F.col("_by_tie"), False) if tie_break else F.lit(0)
-        added = [f"_s{2 * step}", f"_s{2 * step + 1}"]
-        df = placed.withColumns({added[0]: order_cell, added[1]: tie_cell}).drop(*values)
-        names += added
-    return df, names
+    hot = find_hot(df, keys, max_rows)
+    if hot is None:
+        return df, []
+    slices = 1 + 2 * df.count() // max_rows
+    dealt = df.repartitionByRange(slices, *[F.col(f"`{k}`").asc_nulls_first() for k in keys],
+                                  *ordering(order_by, tie_break, descending))
+    return stored(dealt.withColumn("_slice", F.spark_partition_id()), "slices"), ["_slice"]
 
 
 def earlier_slices(keys: Sequence[str], slices: Sequence[str]) -> Window:
-    """Window over per-slice summaries: all slices of the key before this one.
-
-    A key has at most some thousand slices, so this window is small.
-    """
+    """Window over per-slice summaries: all slices of the key before this one."""
     return (Window.partitionBy(*keys).orderBy(*slices)
             .rowsBetween(Window.unboundedPreceding, -1))
 
@@ -237,12 +136,3 @@ def earlier_slices(keys: Sequence[str], slices: Sequence[str]) -> Window:
 def later_slices(keys: Sequence[str], slices: Sequence[str]) -> Window:
     return (Window.partitionBy(*keys).orderBy(*slices)
             .rowsBetween(1, Window.unboundedFollowing))
-
-
-def hot_summary(df: DataFrame, keys: Sequence[str], slices: Sequence[str],
-                aggregates: Sequence[Column]) -> DataFrame:
-    """Aggregates per slice of the groups that were cut (bounded, see above)."""
-    cut = F.lit(False)
-    for name in slices:
-        cut = cut | (F.col(name) != 0)
-    return df.filter(cut).groupBy(*keys, *slices).agg(*aggregates)

@@ -3,7 +3,7 @@
 Hot groups are found by a count (see ``rowloom.operators.skew``); without any,
 each operator is the plain window.  With hot groups, windows without an order
 become aggregate and join back, and ordered windows run per (key, slice) and take
-what they need from other slices from a bounded per-slice summary.
+what they need from other slices from a per-slice summary.
 """
 
 from __future__ import annotations
@@ -13,8 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.operators.joins import group_values, join_back
-from rowloom.operators.skew import (MAX_GROUP_ROWS, attach, earlier_slices, hot_summary,
-                                    later_slices, position, range_slices)
+from rowloom.operators.skew import (MAX_GROUP_ROWS, attach, earlier_slices, later_slices, ordering, position,
+                                    range_slices, spread_by_hash)
+
+#: Up to this many rows a group Spark limits groups before the shuffle; parts of a key beyond.
+GROUP_LIMIT, SALTS = 1_000, 256
 
 
 def partition_totals(df: DataFrame, keys: Sequence[str], column: str, *, total: str | None = None,
@@ -36,14 +39,6 @@ def partition_share(df: DataFrame, keys: Sequence[str], column: str, name: str,
             .withColumn(name, share).drop("_total"))
 
 
-def _ordering(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:
-    first = F.col(f"`{order_by}`")
-    columns = [first.desc_nulls_last() if descending else first.asc_nulls_first()]
-    if tie_break:
-        columns.append(F.col(f"`{tie_break}`").asc_nulls_first())
-    return columns
-
-
 def ranked(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
            descending: bool = True, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """``row_number``, ``rank`` and ``dense_rank`` of every row.
@@ -52,36 +47,36 @@ def ranked(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
     has more rows than ``max_rows``.  The tie-break must be unique within a key for ``row_number`` to be repeatable.
     """
     sliced, slices = range_slices(df, keys, order_by, tie_break, descending, max_rows)
-    window = Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, descending))
-    by_value = Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, None, descending))
+    window = Window.partitionBy(*keys, *slices).orderBy(*ordering(order_by, tie_break, descending))
+    by_value = Window.partitionBy(*keys, *slices).orderBy(*ordering(order_by, None, descending))
     numbered = sliced.select("*", F.row_number().over(window).alias("_rn"),
                              F.rank().over(by_value).alias("_rk"),
                              F.dense_rank().over(by_value).alias("_dr"))
     if not slices:
         return numbered.select(*df.columns, *[F.col(own).cast("long").alias(name) for own, name in
                                               (("_rn", "row_number"), ("_rk", "rank"), ("_dr", "dense_rank"))])
-    summary = hot_summary(sliced, keys, slices, [
-        F.count(F.lit(1)).alias("_rows"),
-        F.countDistinct(F.struct(f"`{order_by}`")).alias("_values")])
-    # Slices along the tie-break share one order value: it counts once, and its
-    # rank starts where the first of them starts.
-    before = earlier_slices(keys, slices)
-    same_value = Window.partitionBy(*keys, *slices[::2])
-    first = F.row_number().over(same_value.orderBy(*slices)) == 1
-    summary = (summary
-               .withColumn("_values", F.when(first, F.col("_values")).otherwise(0))
+    # Per slice its rows and values, and the rank and value at either end.
+    at = F.struct(F.col(f"`{order_by}`").alias("v"))
+    summary = numbered.groupBy(*keys, *slices).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("_dr").alias("_values"), F.max("_rk").alias("_last_rank"),
+        F.min_by(at, "_rn").alias("_first"), F.max_by(at, "_rn").alias("_last"))
+    before, order = earlier_slices(keys, slices), Window.partitionBy(*keys).orderBy(*slices)
+    # A value that goes on from the slice before counts once, and its rank is where it began.
+    goes_on = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(order)), F.lit(False))
+    summary = (summary.withColumn("_goes_on", goes_on)
                .withColumn("_row_off", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-               .withColumn("_dense_off", F.coalesce(F.sum("_values").over(before), F.lit(0)))
-               .withColumn("_rank_off", F.min("_row_off").over(same_value))
-               .withColumn("_dense_off", F.min("_dense_off").over(same_value)))
-    offsets = attach(numbered, summary, [*keys, *slices], ["_row_off", "_rank_off", "_dense_off"],
-                     bounded=True)
+               .withColumn("_dense_off", F.coalesce(F.sum("_values").over(before), F.lit(0))
+                           - F.sum(F.col("_goes_on").cast("long")).over(order))
+               .withColumn("_begins", F.when(~F.col("_goes_on") | (F.col("_values") > 1), F.col("_row_off") + F.col("_last_rank")))
+               .withColumn("_began", F.last("_begins", ignorenulls=True).over(before)))
+    offsets = attach(numbered, summary, [*keys, *slices], ["_row_off", "_dense_off", "_goes_on", "_began"])
+    rank = F.when(F.col("_goes_on") & (F.col("_dr") == 1), F.col("_began")).otherwise(F.col("_rk") + F.col("_row_off"))
 
     def plus(own: str, offset: str) -> Column:
         return F.col(own).cast("long") + F.coalesce(F.col(offset), F.lit(0))
 
     return offsets.select(*df.columns, plus("_rn", "_row_off").alias("row_number"),
-                          plus("_rk", "_rank_off").alias("rank"),
+                          rank.cast("long").alias("rank"),
                           plus("_dr", "_dense_off").alias("dense_rank"))
 
 
@@ -97,9 +92,15 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     """First ``k`` rows per key; ``order_by`` ends in a unique column.
 
     Catalyst turns the filter into a group limit that also runs before the
-    shuffle, so a hot key sends at most ``k`` rows per task.
+    shuffle, so a hot key sends at most ``k`` rows per task.  It does so for small
+    ``k`` only; beyond that, rows are first limited within salted parts of each
+    key, of which a key then has at most ``k`` rows each.
     """
     window = Window.partitionBy(*keys).orderBy(*order_by)
+    if k > GROUP_LIMIT:
+        parts = Window.partitionBy(*keys, "_part").orderBy(*order_by)
+        df = (df.withColumn("_part", spread_by_hash(df.columns, SALTS))
+              .withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= k).drop("_place", "_part"))
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
 
 
@@ -124,14 +125,14 @@ def running_total(df: DataFrame, keys: Sequence[str], order_by: str, tie_break:
                   column: str, name: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Sum of ``column`` over the rows up to and including this one."""
     sliced, slices = range_slices(df, keys, order_by, tie_break, False, max_rows)
-    window = (Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, False))
+    window = (Window.partitionBy(*keys, *slices).orderBy(*ordering(order_by, tie_break, False))
               .rowsBetween(Window.unboundedPreceding, 0))
     own = sliced.withColumn("_own", F.sum(column).over(window))
     if not slices:
         return own.select(*df.columns, F.col("_own").alias(name))
-    summary = hot_summary(sliced, keys, slices, [F.sum(column).alias("_sum")])
+    summary = sliced.groupBy(*keys, *slices).agg(F.sum(column).alias("_sum"))
     summary = summary.withColumn("_before", F.sum("_sum").over(earlier_slices(keys, slices)))
-    return (attach(own, summary, [*keys, *slices], ["_before"], bounded=True)
+    return (attach(own, summary, [*keys, *slices], ["_before"])
             .withColumn(name, F.col("_own") + F.coalesce(F.col("_before"), F.lit(0)))
             .select(*df.columns, name))
 
@@ -144,18 +145,17 @@ def lag_lead(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str,
     The first row of a slice takes the last value of the slice before it.
     """
     sliced, slices = range_slices(df, keys, order_by, tie_break, False, max_rows)
-    window = Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, False))
+    window = Window.partitionBy(*keys, *slices).orderBy(*ordering(order_by, tie_break, False))
     boxed = F.struct(F.col(column).alias("v"))  # a null value is not a missing row
     own = sliced.select("*", F.lag(boxed).over(window).alias("_prev"),
                         F.lead(boxed).over(window).alias("_next"))
     if slices:
         at = F.struct(F.col(f"`{order_by}`"), F.col(f"`{tie_break}`"))
-        summary = hot_summary(sliced, keys, slices, [F.min_by(boxed, at).alias("_first"),
-                                                     F.max_by(boxed, at).alias("_last")])
+        summary = sliced.groupBy(*keys, *slices).agg(F.min_by(boxed, at).alias("_first"), F.max_by(boxed, at).alias("_last"))
         neighbour = Window.partitionBy(*keys).orderBy(*slices)
         summary = (summary.withColumn("_before", F.lag("_last").over(neighbour))
                    .withColumn("_after", F.lead("_first").over(neighbour)))
-        own = attach(own, summary, [*keys, *slices], ["_before", "_after"], bounded=True)
+        own = attach(own, summary, [*keys, *slices], ["_before", "_after"])
 
     def value(own_name: str, carried: str) -> Column:
         found = F.coalesce(F.col(own_name), F.col(carried)) if slices else F.col(own_name)
@@ -174,7 +174,7 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str
               max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Carry the last known value forward and the next known value backward."""
     sliced, slices = range_slices(df, keys, order_by, tie_break, False, max_rows)
-    base = Window.partitionBy(*keys, *slices).orderBy(*_ordering(order_by, tie_break, False))
+    base = Window.partitionBy(*keys, *slices).orderBy(*ordering(order_by, tie_break, False))
     to_here = base.rowsBetween(Window.unboundedPreceding, 0)
     from_here = base.rowsBetween(0, Window.unboundedFollowing)
     own = sliced.select("*", F.last(column, ignorenulls=True).over(to_here).alias("_ff"),
@@ -183,12 +183,12 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str
     if slices:
         tie = F.col(f"`{tie_break}`") if tie_break else F.lit(0)
         known = F.when(F.col(column).isNotNull(), F.struct(F.col(f"`{order_by}`"), tie))
-        summary = hot_summary(sliced, keys, slices, [
-            F.max_by(F.col(column), known).alias("_last"), F.min_by(F.col(column), known).alias("_first")])
+        summary = sliced.groupBy(*keys, *slices).agg(
+            F.max_by(F.col(column), known).alias("_last"), F.min_by(F.col(column), known).alias("_first"))
         earlier, later = earlier_slices(keys, slices), later_slices(keys, slices)
         summary = (summary.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier))
                    .withColumn("_after", F.first("_first", ignorenulls=True).over(later)))
-        own = attach(own, summary, [*keys, *slices], ["_before", "_after"], bounded=True)
+        own = attach(own, summary, [*keys, *slices], ["_before", "_after"])
         ahead, behind = F.coalesce("_ff", "_before"), F.coalesce("_bf", "_after")
     columns = [F.col(f"`{c}`") for c in df.columns]
     if forward:

@@ -6,7 +6,7 @@ from rowloom.operators import aggregate
 from rowloom.operators.ordering import top_n
 from rowloom.operators.windows import partition_totals
 from rowloom.plans.joining import mean_amount
-from rowloom.plans.projections import CUSTOMERS_1995_SQL, customers_1995
+from rowloom.plans.projections import CUSTOMER_ORDERS_SQL, customer_orders
 from rowloom.plans.registry import Tables, query
 
 YEARS = list(range(1995, 2002))
@@ -30,10 +30,9 @@ def group_mean_topn(t: Tables) -> DataFrame:
 
 @query("""SELECT l_returnflag, l_linestatus, min(l_extendedprice) AS lowest, round(avg(l_extendedprice), 4) AS average,
                  max(l_extendedprice) AS highest, count(*) AS n FROM lineitem
-          WHERE l_returnflag IN ('A', 'R') GROUP BY ALL""")
+          GROUP BY ALL""")
 def group_summary(t: Tables) -> DataFrame:
-    listed = t.lineitem.filter(F.col("l_returnflag").isin("A", "R"))
-    return (aggregate.group_summary(listed, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return (aggregate.group_summary(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice")
             .withColumn("average", F.round("average", 4)))
 
 
@@ -65,9 +64,9 @@ def distinct_count(t: Tables) -> DataFrame:
                   count(*) FILTER (WHERE c_mktsegment IS NULL) AS c_mktsegment,
                   count(*) FILTER (WHERE o_orderkey IS NULL) AS o_orderkey,
                   count(*) FILTER (WHERE o_totalprice IS NULL) AS o_totalprice,
-                  count(*) FILTER (WHERE o_orderpriority IS NULL) AS o_orderpriority FROM {CUSTOMERS_1995_SQL}""")
+                  count(*) FILTER (WHERE o_orderpriority IS NULL) AS o_orderpriority FROM {CUSTOMER_ORDERS_SQL}""")
 def null_counts(t: Tables) -> DataFrame:
-    return aggregate.null_counts(customers_1995(t))
+    return aggregate.null_counts(customer_orders(t))
 
 
 @query("""SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey HAVING count(*) >= 12""")
@@ -115,10 +114,12 @@ def pivot_sum_values(t: Tables) -> DataFrame:
             coalesce(round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 2), 0.0) AS "F_total",
             count(*) FILTER (WHERE o_orderstatus = 'F') AS "F_n",
             coalesce(round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 2), 0.0) AS "O_total",
-            count(*) FILTER (WHERE o_orderstatus = 'O') AS "O_n"
+            count(*) FILTER (WHERE o_orderstatus = 'O') AS "O_n",
+            coalesce(round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 2), 0.0) AS "P_total",
+            count(*) FILTER (WHERE o_orderstatus = 'P') AS "P_n"
           FROM orders GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""")
 def pivot_multi_agg(t: Tables) -> DataFrame:
-    wide = aggregate.pivot_agg(t.orders, ["o_custkey", "o_orderpriority"], "o_orderstatus", ["F", "O"],
+    wide = aggregate.pivot_agg(t.orders, ["o_custkey", "o_orderpriority"], "o_orderstatus", ["F", "O", "P"],
                                [F.round(F.sum("o_totalprice"), 2).alias("total"), F.count(F.lit(1)).alias("n")],
                                fill=0)
     return wide.orderBy("o_custkey", "o_orderpriority")

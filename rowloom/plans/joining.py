@@ -5,13 +5,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowloom.operators import joins
 from rowloom.plans.registry import Tables, query
 from rowloom.sources.generators import skew_lookup, skewed_key
-from rowloom.sources.tables import staged
 
 SKEWED_SQL = """(SELECT event_id, CASE WHEN event_id < 1 THEN 'A' WHEN event_id < 10 THEN 'B'
     WHEN event_id < 100 THEN 'C' WHEN event_id < 1000 THEN 'D' ELSE 'E' END AS skew_key FROM events)"""
 LOOKUP_SQL = "(VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)) AS lookup(skew_key, key_value)"
 SKEW_JOIN_SQL = f"SELECT event_id, skew_key, key_value FROM {SKEWED_SQL} LEFT JOIN {LOOKUP_SQL} USING (skew_key)"
 
+SALTS = 32  # for keys that one task can't hold; more than the hottest key needs costs copies of the right side
+
 
 def skewed_events(t: Tables) -> DataFrame:
     """Events with a key that is E for most of them."""
@@ -28,10 +29,10 @@ def lines_on(t: Tables, name: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
-          LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey""")
+          LEFT JOIN orders ON c_custkey = o_custkey""")
 def join_left(t: Tables) -> DataFrame:
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").withColumnRenamed("o_custkey", "c_custkey")
-    return t.customer.join(urgent, "c_custkey", "left").select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+    orders = t.orders.withColumnRenamed("o_custkey", "c_custkey")
+    return t.customer.join(orders, "c_custkey", "left").select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query("SELECT o_orderkey, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -83,35 +84,17 @@ def join_auto_broadcast(t: Tables) -> DataFrame:
     return _nation_totals(_orders_by_nationkey(t).join(t.nation, "n_nationkey"))
 
 
-@query("""WITH totals AS (SELECT c_nationkey, CAST(year(o_orderdate) AS INTEGER) AS order_year,
-                                 round(sum(o_totalprice), 2) AS total
-                          FROM orders JOIN customer ON o_custkey = c_custkey
-                          WHERE o_totalprice > 400000 AND c_acctbal > 8000 GROUP BY ALL)
-          SELECT c_nationkey, order_year, coalesce(total, 0.0) AS total
-          FROM (SELECT DISTINCT c_nationkey FROM totals) CROSS JOIN (SELECT DISTINCT order_year FROM totals)
-          LEFT JOIN totals USING (c_nationkey, order_year)""")
+@query("""WITH totals AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+                                 round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL),
+               years AS (SELECT o_custkey, unnest(range(min(order_year), max(order_year) + 1)) AS order_year
+                         FROM totals GROUP BY o_custkey)
+          SELECT o_custkey, CAST(order_year AS INTEGER) AS order_year, coalesce(total, 0.0) AS total
+          FROM years LEFT JOIN totals USING (o_custkey, order_year)""")
 def densify(t: Tables) -> DataFrame:
-    """Every nation and year, with 0 where there was no large order.
-
-    The totals are staged, as the grid reads them three times.
-    """
-    totals = (t.orders.filter(F.col("o_totalprice") > 400_000)
-              .join(t.customer.filter(F.col("c_acctbal") > 8_000), F.col("o_custkey") == F.col("c_custkey"))
-              .groupBy("c_nationkey", F.year("o_orderdate").alias("order_year"))
+    """Every customer's years from the first to the last order, with 0 where there was none."""
+    totals = (t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("order_year"))
               .agg(F.round(F.sum("o_totalprice"), 2).alias("total")))
-    return joins.densify(staged(totals, "totals"), ["c_nationkey"], ["order_year"], ["total"], fill=0.0)
-
-
-@query("SELECT r_name, n_name FROM region CROSS JOIN nation")
-def join_cross(t: Tables) -> DataFrame:
-    return joins.all_combinations(t.region.select("r_name"), t.nation.select("n_name"))
-
-
-@query("""SELECT o_orderkey, n_nationkey, n_name FROM orders
-          LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey = 3) ON true""")
-def join_constant_key(t: Tables) -> DataFrame:
-    return joins.constant_key_join(t.orders.select("o_orderkey"), t.nation.select("n_nationkey", "n_name"),
-                                   "n_nationkey", 3)
+    return joins.densify(totals, ["o_custkey"], "order_year", ["total"], fill=0.0)
 
 
 @query("""SELECT l_suppkey, n_left, n_right, n_left * n_right AS n_joined
@@ -130,27 +113,27 @@ def lookup_as_case(t: Tables) -> DataFrame:
 
 @query(SKEW_JOIN_SQL)
 def join_salted(t: Tables) -> DataFrame:
-    return joins.salted_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], salts=10)
+    return joins.salted_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], salts=SALTS)
 
 
 @query("""SELECT s_suppkey, s_name, count(*) AS n_lines FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
           GROUP BY s_suppkey, s_name""")
 def join_salted_supplier(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_partkey", "l_linenumber")
-    joined = joins.salted_join(lines, t.supplier.select("s_suppkey", "s_name"), ["s_suppkey"], 10, "inner")
+    joined = joins.salted_join(lines, t.supplier.select("s_suppkey", "s_name"), ["s_suppkey"], SALTS, "inner")
     return joined.groupBy("s_suppkey", "s_name").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 @query(SKEW_JOIN_SQL)
 def join_salted_hot(t: Tables) -> DataFrame:
     """Only the key known to be hot is salted."""
-    return joins.salted_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], salts=10, hot=["E"])
+    return joins.salted_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], salts=SALTS, hot=["E"])
 
 
 @query(SKEW_JOIN_SQL)
 def join_skew_auto(t: Tables) -> DataFrame:
-    """Hot keys are found from the counts; the low limit makes them hot at test size too."""
-    return joins.skew_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], "left", max_rows=1_000)
+    """Hot keys are found from the counts."""
+    return joins.skew_join(skewed_events(t), skew_lookup(t.spark), ["skew_key"], "left")
 
 
 @query(SKEW_JOIN_SQL)

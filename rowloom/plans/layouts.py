@@ -11,20 +11,20 @@ from rowloom.plans.registry import Tables, query
 from rowloom.sources.tables import staged
 
 
-@query()
+@query("SELECT count(*) AS n_rows FROM lineitem")
 def partition_profile(t: Tables) -> DataFrame:
-    return layout.partition_profile(layout.spread_partitions(t.lineitem, 8, "l_suppkey"))
+    """All rows are in some partition, however they are spread."""
+    profile = layout.partition_profile(layout.spread_partitions(t.lineitem, None, "l_orderkey"))
+    return profile.agg(F.sum("n").alias("n_rows"))
 
 
 @query("""(SELECT 'top' AS report, CAST(o_orderkey AS VARCHAR) AS item, o_totalprice AS value FROM orders
-             WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 10)
-          UNION ALL (SELECT 'mean', o_orderpriority, round(avg(o_totalprice), 4) FROM orders
-             WHERE o_orderstatus = 'F' GROUP BY o_orderpriority)
-          UNION ALL (SELECT 'highest', o_orderpriority, max(o_totalprice) FROM orders
-             WHERE o_orderstatus = 'F' GROUP BY o_orderpriority)""")
+             ORDER BY o_totalprice DESC, o_orderkey LIMIT 10)
+          UNION ALL (SELECT 'mean', o_orderpriority, round(avg(o_totalprice), 4) FROM orders GROUP BY o_orderpriority)
+          UNION ALL (SELECT 'highest', o_orderpriority, max(o_totalprice) FROM orders GROUP BY o_orderpriority)""")
 def reuse_clean_table(t: Tables) -> DataFrame:
     """Three reports read one kept frame; the small result is staged before it is let go."""
-    clean = t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    clean = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
     with layout.reused(clean) as kept:
         best = top_n(kept, ["-o_totalprice", "o_orderkey"], 10).select(
             F.lit("top").alias("report"), F.col("o_orderkey").cast("string").alias("item"),
@@ -66,10 +66,10 @@ def iterative_columns_checkpoint(t: Tables) -> DataFrame:
 
 
 @query("""SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
-          WHERE o_totalprice > 100000 GROUP BY o_orderpriority""")
+          GROUP BY o_orderpriority""")
 def staging_table(t: Tables) -> DataFrame:
     """The report's plan starts at the scan of the staged table."""
-    kept = staged(t.orders.filter(F.col("o_totalprice") > 100_000).select("o_orderpriority", "o_totalprice"))
+    kept = staged(t.orders.select("o_orderpriority", "o_totalprice"))
     return kept.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"),
                                                F.round(F.sum("o_totalprice"), 2).alias("total"))
 
@@ -83,7 +83,7 @@ def skew_group_by(t: Tables) -> DataFrame:
 @query(f"SELECT *, row_number() OVER (PARTITION BY skew_key ORDER BY event_id) AS row_number FROM {SKEWED_SQL}")
 def skew_window(t: Tables) -> DataFrame:
     """A window over a key that holds nearly all rows, cut into slices."""
-    return (windows.ranked(skewed_events(t), ["skew_key"], "event_id", "event_id", descending=False, max_rows=1_000)
+    return (windows.ranked(skewed_events(t), ["skew_key"], "event_id", "event_id", descending=False)
             .drop("rank", "dense_rank"))
 
 
@@ -95,11 +95,17 @@ def udf_scalar_distance(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.round(away, 9).alias("distance"))
 
 
+@query("SELECT event_id, round((value - event_id % 7) / 10.0, 9) AS scaled FROM events")
+def udf_scalar_iterator(t: Tables) -> DataFrame:
+    away = pandas_ops.scaled(F.col("value"), (F.col("event_id") % 7).cast("double"))
+    return t.events.select("event_id", F.round(away, 9).alias("scaled"))
+
+
 @query("""SELECT event_id, event_type, value, round((value - avg(value) OVER w) / avg(value) OVER w * 100, 6) AS deviation
           FROM events WINDOW w AS (PARTITION BY event_type)""")
 def group_pct_deviation(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "event_type", "value")
-    return (pandas_ops.pct_deviation(events, ["event_type"], "value", "deviation", max_rows=500)
+    return (pandas_ops.pct_deviation(events, ["event_type"], "value", "deviation")
             .withColumn("deviation", F.round("deviation", 6)))
 
 
@@ -143,7 +149,7 @@ def cogroup_in_pandas(t: Tables) -> DataFrame:
             ["o_orderkey", "c_custkey", "above_balance"]]
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice")
     return pandas_ops.cogroup_unique(orders, t.customer.select("c_custkey", "c_acctbal"), "c_custkey", compare,
-                                     "o_orderkey long, c_custkey long, above_balance double", max_rows=5_000)
+                                     "o_orderkey long, c_custkey long, above_balance double")
 
 
 @query("""SELECT event_type, round(sum(value) FILTER (WHERE value > 20), 2) AS total FROM events
@@ -152,7 +158,7 @@ def group_apply_sum(t: Tables) -> DataFrame:
     """A filtered sum per group; the threshold is passed in."""
     def large_sums(batch: pd.DataFrame, above: float) -> pd.DataFrame:
         large = batch[batch["value"] > above]
-        return large.groupby("event_type", as_index=False)["value"].sum()
+        return large.groupby("event_type", as_index=False, dropna=False)["value"].sum()
     return pandas_ops.grouped_totals(t.events.select("event_type", "value"), ["event_type"], large_sums,
                                      "event_type string, value double", [F.round(F.sum("value"), 2).alias("total")],
                                      above=20.0)

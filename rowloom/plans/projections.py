@@ -5,15 +5,17 @@ from pyspark.sql import DataFrame, functions as F
 from rowloom.operators import ordering, shape
 from rowloom.plans.registry import Tables, query
 
-# Customers with their orders of 1995, if any: the source of nulls.
-CUSTOMERS_1995_SQL = """(SELECT c_custkey, c_mktsegment, o_orderkey, o_totalprice, o_orderpriority
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE year(o_orderdate) = 1995) ON c_custkey = o_custkey)"""
+# Orders by customer number and segments by part number: customers without orders and numbers
+# without a customer are the source of nulls, and no row of either table is left out.
+CUSTOMER_ORDERS_SQL = """(SELECT coalesce(c_custkey, o_custkey * 2) AS c_custkey, c_mktsegment, o_orderkey, o_totalprice,
+    o_orderpriority FROM customer FULL JOIN orders ON c_custkey = o_custkey * 2)"""
 
 
-def customers_1995(t: Tables) -> DataFrame:
-    early = t.orders.filter(F.year("o_orderdate") == 1995)
-    return t.customer.join(early, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        "c_custkey", "c_mktsegment", "o_orderkey", "o_totalprice", "o_orderpriority")
+def customer_orders(t: Tables) -> DataFrame:
+    """All customers and all orders, an order going to twice the customer number that it has."""
+    orders = t.orders.withColumn("_key", F.col("o_custkey") * 2)
+    return t.customer.join(orders, F.col("c_custkey") == F.col("_key"), "full").select(
+        F.coalesce("c_custkey", "_key").alias("c_custkey"), "c_mktsegment", "o_orderkey", "o_totalprice", "o_orderpriority")
 
 
 @query("""SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price,
@@ -81,21 +83,21 @@ def filter_between(t: Tables) -> DataFrame:
             .select("l_orderkey", "l_partkey", "l_suppkey", "l_discount"))
 
 
-@query(f"SELECT c_custkey, c_mktsegment FROM {CUSTOMERS_1995_SQL} WHERE o_orderkey IS NULL")
+@query(f"SELECT c_custkey, c_mktsegment FROM {CUSTOMER_ORDERS_SQL} WHERE o_orderkey IS NULL")
 def filter_null(t: Tables) -> DataFrame:
-    return customers_1995(t).filter(F.col("o_orderkey").isNull()).select("c_custkey", "c_mktsegment")
+    return customer_orders(t).filter(F.col("o_orderkey").isNull()).select("c_custkey", "c_mktsegment")
 
 
-@query(f"SELECT * FROM {CUSTOMERS_1995_SQL} WHERE o_totalprice IS NOT NULL")
+@query(f"SELECT * FROM {CUSTOMER_ORDERS_SQL} WHERE o_totalprice IS NOT NULL")
 def drop_null_rows(t: Tables) -> DataFrame:
-    return shape.drop_null_rows(customers_1995(t), ["o_totalprice"])
+    return shape.drop_null_rows(customer_orders(t), ["o_totalprice"])
 
 
 @query(f"""SELECT c_custkey, coalesce(o_orderkey, 0) AS o_orderkey, coalesce(o_totalprice, 0.0) AS o_totalprice,
-                  coalesce(o_orderpriority, 'none') AS o_orderpriority FROM {CUSTOMERS_1995_SQL}""")
+                  coalesce(o_orderpriority, 'none') AS o_orderpriority FROM {CUSTOMER_ORDERS_SQL}""")
 def fill_nulls(t: Tables) -> DataFrame:
     """All numeric columns at once, one text column by name."""
-    return (customers_1995(t).fillna(0).fillna({"o_orderpriority": "none"})
+    return (customer_orders(t).fillna(0).fillna({"o_orderpriority": "none"})
             .select("c_custkey", "o_orderkey", "o_totalprice", "o_orderpriority"))
 
 
@@ -188,13 +190,13 @@ def top_n(t: Tables) -> DataFrame:
     return ordering.top_n(t.orders.select("o_orderkey", "o_totalprice"), ["-o_totalprice", "o_orderkey"], 10)
 
 
-@query(f"""(SELECT 'nulls first' AS placing, c_custkey, o_totalprice FROM {CUSTOMERS_1995_SQL}
+@query(f"""(SELECT 'nulls first' AS placing, c_custkey, o_totalprice FROM {CUSTOMER_ORDERS_SQL}
             ORDER BY o_totalprice ASC NULLS FIRST, c_custkey LIMIT 10)
            UNION ALL
-           (SELECT 'nulls last' AS placing, c_custkey, o_totalprice FROM {CUSTOMERS_1995_SQL}
+           (SELECT 'nulls last' AS placing, c_custkey, o_totalprice FROM {CUSTOMER_ORDERS_SQL}
             ORDER BY o_totalprice ASC NULLS LAST, c_custkey LIMIT 10)""")
 def bottom_n_nulls(t: Tables) -> DataFrame:
-    rows = customers_1995(t).select("c_custkey", "o_totalprice")
+    rows = customer_orders(t).select("c_custkey", "o_totalprice")
     first = ordering.bottom_n(rows, "o_totalprice", "c_custkey", 10, nulls_first=True)
     last = ordering.bottom_n(rows, "o_totalprice", "c_custkey", 10)
     return (first.withColumn("placing", F.lit("nulls first"))

@@ -13,24 +13,43 @@ HASH_SQL = f"md5('{SEED}-' || CAST({{key}} AS VARCHAR))"
 UNIFORM_SQL = f"((CAST('0x' || substr({HASH_SQL}, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)"
 
 
-@query()
+def _within(drawn: DataFrame, whole: DataFrame, fraction: float, variance: float) -> DataFrame:
+    """Whether the number of drawn rows lies within six standard deviations of what is expected."""
+    n, got = whole.agg(F.count(F.lit(1)).alias("n")), drawn.agg(F.count(F.lit(1)).alias("got"))
+    return n.select("n", (F.abs(got.scalar() - F.col("n") * fraction) <= 6 * F.sqrt(F.col("n") * variance) + 1).alias("within"))
+
+
+@query("SELECT count(*) AS n, true AS within FROM orders")
 def sample_bernoulli(t: Tables) -> DataFrame:
-    return sampling.bernoulli_sample(t.orders, 0.1, SEED)
+    return _within(sampling.bernoulli_sample(t.orders, 0.1, SEED), t.orders, 0.1, 0.09)
 
 
-@query()
+@query("SELECT count(*) AS n, true AS within FROM orders")
 def sample_replacement(t: Tables) -> DataFrame:
-    return sampling.bernoulli_sample(t.orders, 1.0, SEED, with_replacement=True)
+    return _within(sampling.bernoulli_sample(t.orders, 1.0, SEED, with_replacement=True), t.orders, 1.0, 1.0)
 
 
-@query()
+@query("""SELECT event_type, n_all, true AS within FROM (SELECT event_type, count(*) AS n_all FROM events GROUP BY event_type)
+          WHERE event_type IN ('click', 'view', 'error')""")
 def sample_by(t: Tables) -> DataFrame:
-    return sampling.sample_by(t.events, "event_type", FRACTIONS, SEED)
+    """Drawn rows of each listed type lie within six standard deviations of the expected number."""
+    drawn = sampling.sample_by(t.events, "event_type", FRACTIONS, SEED)
+    return sampling.expected_rows(t.events, drawn, "event_type", FRACTIONS).select(
+        "event_type", "n_all", (F.abs(F.col("n_sample") - F.col("n_expected")) <= 6 * F.sqrt("n_all") + 1).alias("within"))
+
+
+DRAWN_SQL = f"""(SELECT event_type FROM (SELECT event_type, row_number() OVER (ORDER BY {HASH_SQL.format(key='event_id')}) AS place
+                FROM events) WHERE place <= (SELECT round(count(*) * 0.1) FROM events))"""
 
 
-@query()
+@query(f"""SELECT event_type, n_all, n_all * 100.0 / sum(n_all) OVER () AS pct_all, coalesce(n_sample, 0) AS n_sample,
+                  coalesce(n_sample * 100.0 / sum(n_sample) OVER (), 0.0) AS pct_sample
+           FROM (SELECT event_type, CAST(count(*) AS DOUBLE) AS n_all FROM events GROUP BY 1)
+           LEFT JOIN (SELECT event_type, CAST(count(*) AS DOUBLE) AS n_sample FROM {DRAWN_SQL} GROUP BY 1) USING (event_type)""")
 def sample_distribution(t: Tables) -> DataFrame:
-    return sampling.sample_distribution(t.events, sampling.bernoulli_sample(t.events, 0.1, SEED), ["event_type"])
+    drawn = sampling.exact_sample(t.events, "event_id", SEED, fraction=0.1)
+    return (sampling.sample_distribution(t.events, drawn, ["event_type"])
+            .withColumns({c: F.col(c).cast("double") for c in ("n_all", "pct_all", "n_sample", "pct_sample")}))
 
 
 @query("""SELECT event_type, n_all, CAST(fraction AS DOUBLE) AS fraction,
@@ -88,7 +107,19 @@ def sample_weighted(t: Tables) -> DataFrame:
     return sampling.weighted_sample(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", "o_totalprice", 100, SEED)
 
 
-@query()
+def _summary_sql(source: str, tag: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", round(avg({c}), 4) AS mean_{tag}, round(stddev_samp({c}), 4) AS sd_{tag}, "
+        f"CAST(min({c}) AS DOUBLE) AS min_{tag}, CAST(max({c}) AS DOUBLE) AS max_{tag} FROM {source}" for c in columns)
+
+
+CHECKED = ["o_totalprice", "o_custkey"]
+FIFTH_SQL = f"""(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {HASH_SQL.format(key='o_orderkey')}) AS place FROM orders)
+                WHERE place <= (SELECT round(count(*) * 0.2) FROM orders))"""
+
+
+@query(f"""SELECT * FROM ({_summary_sql('orders', 'all', CHECKED)}) JOIN ({_summary_sql(FIFTH_SQL, 'sample', CHECKED)}) USING ("column")""")
 def sample_validate(t: Tables) -> DataFrame:
     drawn = sampling.exact_sample(t.orders, "o_orderkey", SEED, fraction=0.2)
-    return sampling.validate_sample(t.orders, drawn, ["o_totalprice", "o_custkey"])
+    summary = sampling.validate_sample(t.orders, drawn, CHECKED).drop("mean_gap")
+    return summary.withColumns({c: F.round(c, 4) for c in summary.columns if c[:4] == "mean" or c[:2] == "sd"})

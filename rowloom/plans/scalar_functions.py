@@ -102,6 +102,15 @@ def date_parts(t: Tables) -> DataFrame:
                            F.month("ts").alias("m"), F.dayofmonth("ts").alias("d"))
 
 
+@query("""SELECT event_id, date_trunc('second', ts) AS at, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds FROM events""")
+def parse_text_timestamps(t: Tables) -> DataFrame:
+    """Text with a pattern, as a timestamp and as seconds."""
+    pattern = "dd/MM/yyyy HH:mm:ss"
+    texts = t.events.select("event_id", F.date_format("ts", pattern).alias("text"))
+    return texts.select("event_id", scalars.parse_timestamp("text", pattern).alias("at"),
+                        scalars.text_epoch_seconds("text", pattern).alias("seconds"))
+
+
 @query("SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events")
 def epoch_seconds(t: Tables) -> DataFrame:
     return t.events.select("event_id", scalars.epoch_seconds(t.events, "ts").alias("seconds"))
@@ -147,12 +156,15 @@ def math_distance(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.round(away, 9).alias("distance"))
 
 
-# Words of a text; German documents have no list at all.
-WORDS_SQL = "(SELECT doc_id, lang, CASE WHEN lang <> 'de' THEN string_split(text, ' ') END AS words FROM documents)"
+# Words of every text, and a row without a list for every item of the benchmark.
+WORDS_SQL = """(SELECT doc_id, lang, string_split(text, ' ') AS words FROM documents
+                UNION ALL SELECT -1 - item_id, NULL, NULL FROM benchmark)"""
 
 
 def _words(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", "lang", F.when(F.col("lang") != "de", F.split("text", " ")).alias("words"))
+    none = t.benchmark.select((-1 - F.col("item_id")).alias("doc_id"), F.lit(None).cast("string").alias("lang"),
+                              F.lit(None).cast("array<string>").alias("words"))
+    return t.documents.select("doc_id", "lang", F.split("text", " ").alias("words")).unionAll(none)
 
 
 @query(f"SELECT doc_id, CAST(coalesce(len(words), -1) AS INTEGER) AS n_words FROM {WORDS_SQL}")

@@ -38,11 +38,12 @@ def csv_roundtrip_ddl(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, "n_nationkey int, n_name string, n_regionkey int")
 
 
-@query("SELECT r_regionkey, r_name FROM region")
-def single_file_csv(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "region_csv")
-    files.write_single_csv(t.region, path)
-    return files.read_csv(t.spark, path, "r_regionkey int, r_name string")
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def sized_csv(t: Tables) -> DataFrame:
+    """Few files of a chosen size instead of one file through one task."""
+    path = scratch_path(t.spark, "customer_csv")
+    files.write_sized_csv(t.customer.select("c_custkey", "c_name", "c_acctbal"), path, rows_per_file=1_000_000)
+    return files.read_csv(t.spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
 @query("SELECT * FROM part UNION ALL SELECT * FROM part")
@@ -119,17 +120,37 @@ def dynamic_partition_overwrite(t: Tables) -> DataFrame:
 @query("""SELECT o_orderpriority, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
           FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderpriority""")
 def bucketed_join(t: Tables) -> DataFrame:
-    """Both tables bucketed on the order key, so the join itself needs no shuffle."""
+    """Both tables bucketed on the order key, so the join itself needs no shuffle; as many buckets as the larger needs."""
     orders, lines = tables.fresh_name("orders_b"), tables.fresh_name("lineitem_b")
-    tables.save_table(t.orders, orders, scratch_path(t.spark, orders), buckets=8,
+    buckets = tables.bucket_count(t.lineitem)
+    tables.save_table(t.orders, orders, scratch_path(t.spark, orders), buckets=buckets,
                       bucket_by=["o_orderkey"], sort_by=["o_orderkey"])
-    tables.save_table(t.lineitem, lines, scratch_path(t.spark, lines), buckets=8,
+    tables.save_table(t.lineitem, lines, scratch_path(t.spark, lines), buckets=buckets,
                       bucket_by=["l_orderkey"], sort_by=["l_orderkey"])
     joined = t.spark.table(orders).join(t.spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
 
 
+@query("""SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey""")
+def partitioned_bucketed_table(t: Tables) -> DataFrame:
+    """One folder per status, bucketed by customer inside: the filter prunes folders, the grouping needs no shuffle."""
+    name = tables.fresh_name("orders_pb")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    kept = tables.save_table(orders, name, scratch_path(t.spark, name), partition_by=["o_orderstatus"],
+                             buckets=tables.bucket_count(orders), bucket_by=["o_custkey"], sort_by=["o_custkey"])
+    return kept.filter(F.col("o_orderstatus") == "F").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def table_overwrite(t: Tables) -> DataFrame:
+    """A managed table written twice: the second write replaces the first, other columns included."""
+    name = tables.fresh_name("suppliers")
+    t.supplier.select("s_suppkey").write.mode("overwrite").saveAsTable(name)
+    t.supplier.select("s_suppkey", "s_name", "s_acctbal").write.mode("overwrite").saveAsTable(name)
+    return t.spark.table(name)
+
+
 @query("""SELECT o_orderpriority, round(avg(o_totalprice), 2) AS mean_price FROM orders
           GROUP BY o_orderpriority ORDER BY o_orderpriority""")
 def sql_view_avg(t: Tables) -> DataFrame:
@@ -138,12 +159,6 @@ def sql_view_avg(t: Tables) -> DataFrame:
         FROM parquet.`{t.path('orders')}` GROUP BY o_orderpriority ORDER BY o_orderpriority""")
 
 
-@query("SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS id")
-def gen_range(t: Tables) -> DataFrame:
-    """As many ids as there are orders."""
-    return generators.id_range(t.spark, t.orders.count(), partitions=4)
-
-
 @query("""SELECT skew_key, count(*) AS n FROM (
             SELECT CASE WHEN event_id < 1 THEN 'A' WHEN event_id < 10 THEN 'B' WHEN event_id < 100 THEN 'C'
                         WHEN event_id < 1000 THEN 'D' ELSE 'E' END AS skew_key FROM events)
@@ -153,14 +168,25 @@ def gen_skewed(t: Tables) -> DataFrame:
             .groupBy("skew_key").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query()
+PICK_SQL = "CAST('0x' || substr(md5('7-' || CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT) % 10"
+
+
+def _odd_text(column: str) -> str:
+    return f"""CASE pick WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || {column} || ' ' WHEN 3 THEN upper({column})
+               ELSE {column} END AS {column}"""
+
+
+@query(f"""SELECT o_orderkey, o_custkey, {_odd_text('o_orderstatus')}, CASE pick WHEN 0 THEN NULL WHEN 1 THEN 0.0
+                  WHEN 2 THEN -o_totalprice WHEN 3 THEN o_totalprice * 1000000.0::DOUBLE ELSE o_totalprice END AS o_totalprice,
+                  {_odd_text('o_orderpriority')} FROM (SELECT *, {PICK_SQL} AS pick FROM orders)""")
 def synthetic_orders(t: Tables) -> DataFrame:
     """Orders with nulls, zeros and extremes put in by a hash of the key."""
     return generators.edge_cases(t.orders.drop("o_orderdate"), "o_orderkey")
 
 
-@query()
+@query("""SELECT o_orderkey, true AS in_range,
+                 CAST('0x' || substr(md5('42-' || CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT) % 12 + 1 AS hashed_int FROM orders""")
 def random_columns(t: Tables) -> DataFrame:
-    """Seeded random integers next to hash-based ones."""
-    return t.orders.select("o_orderkey", generators.random_ints(12, 42).alias("random_int"),
+    """Seeded random integers, of which only the range can be known, next to hash-based ones."""
+    return t.orders.select("o_orderkey", generators.random_ints(12, 42).between(1, 12).alias("in_range"),
                            generators.hashed_ints("o_orderkey", 12, 42).alias("hashed_int"))

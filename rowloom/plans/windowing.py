@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from rowloom.operators import joins, windows
 from rowloom.plans.aggregates import with_year
 from rowloom.plans.registry import Tables, query
-from rowloom.sources.tables import sql_over, staged
+from rowloom.sources.tables import sql_over
 
 DAILY_SQL = """(SELECT event_type, CAST(ts AS DATE) AS on_day, count(*) AS n FROM events GROUP BY ALL)"""
 # Every third day of the month is treated as not reported.
@@ -47,7 +47,7 @@ def window_share(t: Tables) -> DataFrame:
 def window_mean_max(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
     return (windows.partition_totals(orders, ["o_orderpriority"], "o_totalprice", mean="mean_price",
-                                     highest="max_price", max_rows=1_000)
+                                     highest="max_price")
             .withColumn("mean_price", F.round("mean_price", 4)))
 
 
@@ -66,16 +66,15 @@ def window_rank_topn(t: Tables) -> DataFrame:
                  dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE) DESC) AS dense_rank
           FROM orders""")
 def window_rank_compare(t: Tables) -> DataFrame:
-    """The low limit cuts each priority into slices at test size too."""
     orders = t.orders.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("order_day"))
-    return windows.ranked(orders, ["o_orderpriority"], "order_day", "o_orderkey", max_rows=1_000)
+    return windows.ranked(orders, ["o_orderpriority"], "order_day", "o_orderkey")
 
 
 @query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day,
                  row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_number FROM orders""")
 def global_row_number(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
-    return windows.global_row_number(orders, "order_day", "o_orderkey", max_rows=5_000)
+    return windows.global_row_number(orders, "order_day", "o_orderkey")
 
 
 @query(f"""SELECT *, lag(n) OVER w AS n_before, lead(n) OVER w AS n_after FROM {DAILY_SQL}
@@ -92,16 +91,16 @@ def window_lag_default(t: Tables) -> DataFrame:
             .select("event_id", "user_id", "value", "value_before"))
 
 
-@query(f"""WITH thin AS (SELECT * FROM {DAILY_SQL} WHERE n % 4 <> 0)
-           SELECT event_type, on_day, coalesce(n, 0) AS n,
-                  lag(coalesce(n, 0)) OVER (PARTITION BY event_type ORDER BY on_day) AS n_before
-           FROM (SELECT DISTINCT event_type FROM thin) CROSS JOIN (SELECT DISTINCT on_day FROM thin)
-           LEFT JOIN thin USING (event_type, on_day)""")
+@query("""WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS on_day, count(*) AS n FROM events GROUP BY ALL),
+               days AS (SELECT user_id, CAST(unnest(generate_series(min(on_day), max(on_day), INTERVAL 1 DAY)) AS DATE) AS on_day
+                        FROM daily GROUP BY user_id)
+          SELECT user_id, on_day, coalesce(n, 0) AS n, lag(coalesce(n, 0)) OVER (PARTITION BY user_id ORDER BY on_day) AS n_before
+          FROM days LEFT JOIN daily USING (user_id, on_day)""")
 def lag_dense(t: Tables) -> DataFrame:
     """Missing days count 0, so lag means the day before and not the row before."""
-    present = staged(daily(t).filter(F.col("n") % 4 != 0), "daily")
-    grid = joins.densify(present, ["event_type"], ["on_day"], ["n"])
-    return windows.lag_lead(grid, ["event_type"], "on_day", "on_day", "n", "n_before", max_rows=None)
+    daily_users = t.events.groupBy("user_id", F.to_date("ts").alias("on_day")).agg(F.count(F.lit(1)).alias("n"))
+    days = joins.densify(daily_users, ["user_id"], "on_day", ["n"], step=F.expr("INTERVAL 1 DAY"))
+    return windows.lag_lead(days, ["user_id"], "on_day", "on_day", "n", "n_before", max_rows=None)
 
 
 @query("""SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(n AS INTEGER) AS place FROM (
@@ -116,7 +115,7 @@ def topk_per_group(t: Tables) -> DataFrame:
                   first_value(n IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n_backward
            FROM {THINNED_SQL} WINDOW w AS (PARTITION BY event_type ORDER BY on_day)""")
 def fill_forward_backward(t: Tables) -> DataFrame:
-    return windows.fill_gaps(thinned(t), ["event_type"], "on_day", None, "n", "n_forward", "n_backward", max_rows=10)
+    return windows.fill_gaps(thinned(t), ["event_type"], "on_day", None, "n", "n_forward", "n_backward", max_rows=None)
 
 
 @query(f"""SELECT event_type, on_day, n, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS imputed,

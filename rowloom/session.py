@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "rowloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,18 +28,10 @@ def build_session(app: str = "rowloom", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its executor, so a
-    missing setting is an error there.
+    Without it, the warehouse folder, which executors share too.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if root:
-        return root
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="rowloom-"))
-    return context.getCheckpointDir()
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -54,3 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         root = scratch_root(spark)
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Written once to the shared folder and read again, so later uses neither repeat nor differ.
+
+    A lost executor costs only what it was doing.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

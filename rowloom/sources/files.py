@@ -23,9 +23,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One part file, for small results only: a single task writes it."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def write_sized_csv(df: DataFrame, path: str, rows_per_file: int, mode: str = "errorifexists") -> None:
+    """Few files of at most ``rows_per_file`` rows; a small table is one file, and no task writes a large one alone."""
+    (df.hint("rebalance").write.mode(mode).option("header", True).option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",

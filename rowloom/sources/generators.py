@@ -22,7 +22,12 @@ def random_ints(upper: int, seed: int) -> Column:
 
 def hashed_ints(column: str, upper: int, seed: int) -> Column:
     """Integers 1..upper from a hash, the same under any partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(column)), F.lit(upper)) + 1
+    return hashed(column, seed) % upper + 1
+
+
+def hashed(column: str, seed: int) -> Column:
+    """52 bits of the md5 of seed and value, as any engine gives them."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-"), F.col(column).cast("string"))), 1, 13), 16, 10).cast("long")
 
 
 def skewed_key(column: str, scale: float = 1.0) -> Column:
@@ -45,7 +50,7 @@ def edge_cases(df: DataFrame, key: str, every: int = 10, seed: int = 7) -> DataF
     Numeric columns other than the key become null, 0, negative or very large
     in about one row in ``every`` each; strings become empty, padded or null.
     """
-    pick = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(every))
+    pick = hashed(key, seed) % every
     changed = {}
     for name, kind in df.dtypes:
         col = F.col(name)

@@ -39,6 +39,11 @@ def save_table(df: DataFrame, name: str, path: str, *, mode: str = "errorifexist
     return df.sparkSession.table(name)
 
 
+def bucket_count(df: DataFrame, rows_per_bucket: int = 1_000_000) -> int:
+    """Buckets of about so many rows each."""
+    return max(1, -(-df.count() // rows_per_bucket))
+
+
 def _by_bucket(df: DataFrame, buckets: int, bucket_by: Sequence[str]) -> DataFrame:
     """Rows brought together by bucket, so that a bucket gets one file and not one per task.
 
@@ -49,7 +54,7 @@ def _by_bucket(df: DataFrame, buckets: int, bucket_by: Sequence[str]) -> DataFra
         return df.repartition(buckets, bucket)
     salt = F.coalesce(spread_by_hash(df.columns, F.col("_parts")), F.lit(0))
     parts = buckets + hot.agg(F.sum("_parts")).first()[0]
-    return (attach(df, hot, bucket_by, ["_parts"], bounded=True)
+    return (attach(df, hot, bucket_by, ["_parts"])
             .repartition(parts, bucket, salt).drop("_parts"))
 
 
@@ -75,16 +80,7 @@ def insert_positional(df: DataFrame, table: str, overwrite: bool = True) -> None
     if parts:
         ordered = ordered.hint("rebalance", *parts)
     if overwrite and parts:
-        view = fresh_name("incoming")
-        ordered.createOrReplaceTempView(view)
-        key, mode = "spark.sql.sources.partitionOverwriteMode", "dynamic"
-        before = spark.conf.get(key)
-        spark.conf.set(key, mode)
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) SELECT * FROM {view}")
-        finally:
-            spark.conf.set(key, before)
-            spark.catalog.dropTempView(view)
+        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
     else:
         ordered.write.insertInto(table, overwrite=overwrite)
 

@@ -11,9 +11,11 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("rowloom-tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+        "spark.sql.warehouse.dir": f"file://{tmp_path_factory.mktemp('warehouse')}",
         "spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -30,6 +30,7 @@ def test_exact_fraction_and_seed(spark):
 
 def test_one_hash_prefix_is_cut_in_the_middle(spark, monkeypatch):
     monkeypatch.setattr(sampling, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(sampling, "EDGE_ROWS", 3)
     for size in (1, 100, 499, 500):
         assert sampling.exact_sample(spark.range(500), "id", 3, size=size).count() == size
 
@@ -102,3 +103,11 @@ def test_expected_rows_and_distribution(tables):
 def test_validate_sample_of_everything(tables):
     got = sampling.validate_sample(tables.orders, tables.orders, ["o_totalprice"]).first()
     assert got["mean_gap"] == 0 and got["min_all"] == got["min_sample"]
+
+
+def test_null_and_repeated_keys(spark):
+    df = spark.createDataFrame([(i if i % 2 else None,) for i in range(200)], "k long")
+    assert sampling.exact_sample(df.filter("k is not null"), "k", 1, size=50).count() == 50
+    assert sampling.exact_sample(df, "k", 1, size=200).count() == 200
+    with pytest.raises(ValueError, match="must be unique"):
+        sampling.exact_sample(spark.createDataFrame([(1,)] * 10, "k long"), "k", 1, size=5)

@@ -55,9 +55,12 @@ def test_csv_without_inference_is_text(spark, tables, tmp_path):
     assert files.read_csv(spark, str(tmp_path / "n"), header=False).columns[0] == "_c0"
 
 
-def test_single_csv_is_one_file(spark, tmp_path):
-    files.write_single_csv(spark.range(100, numPartitions=5), str(tmp_path / "one"))
+def test_sized_csv(spark, tmp_path):
+    files.write_sized_csv(spark.range(100, numPartitions=5), str(tmp_path / "one"), 1_000)
+    files.write_sized_csv(spark.range(100, numPartitions=5), str(tmp_path / "more"), 30)
     assert len(glob.glob(str(tmp_path / "one" / "part-*"))) == 1
+    assert len(glob.glob(str(tmp_path / "more" / "part-*"))) == 4
+    assert files.read_csv(spark, str(tmp_path / "more"), "id long").count() == 100
 
 
 def test_write_modes(spark, tmp_path):
