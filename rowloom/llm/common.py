@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.session import scratch_path
+from rowloom.session import stored  # noqa: F401
 
 #: A-Z become a-z; every other ASCII character that is no letter or digit becomes a space.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -73,18 +73,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Written once to the shared folder and read again, so later uses neither repeat nor differ.
-
-    A lost executor costs only what it was doing; the files are in the folder
-    that ``spark.checkpoint.dir`` names.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

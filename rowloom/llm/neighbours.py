@@ -10,6 +10,9 @@ the best of all shards are merged by exact scores.
 The measure is the inner product.  Links are made in the space with one more
 coordinate, sqrt(largest norm^2 - norm^2), where the nearest point is the one
 with the largest inner product; the search itself compares inner products.
+
+A task merges what it finds for a block in all its shards, so results grow with
+queries and tasks, not with queries and shards.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ CONSIDERED = 48
 BEAM = 64
 #: Points of the beam that one step expands.
 STEP = 4
+#: Shards whose results a task holds before it merges them.
+MERGED_SHARDS = 8
 
 INDEX = ("dim int, shard long, n int, ids binary, vectors binary, entry int, "
          "links binary, upper array<struct<nodes:binary,links:binary>>")
@@ -222,6 +227,20 @@ def build_index(embeddings: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[Da
     return stored(dealt.groupBy("dim", "shard").applyInPandas(build, INDEX), "neighbour-index"), shards
 
 
+def best_of(found: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best of each query: query ids, point ids and scores, nearest first, ties by smaller id."""
+    q, ids, score = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((ids, -score, q))
+    q, ids, score = q[order], ids[order], score[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], ids[keep], score[keep]
+
+
+def merged(found: list[tuple[np.ndarray, ...]], k: int) -> pa.RecordBatch:
+    q, ids, score = best_of(found, k)
+    return pa.RecordBatch.from_pydict({"query_id": q, "vec_id": ids, "score": score})
+
+
 def nearest(index: DataFrame, shards: int, queries: DataFrame, k: int = 20, beam: int = BEAM,
             query_rows: int = QUERY_ROWS) -> DataFrame:
     """The ``k`` nearest points of each query vector: query_id, rank from 1, vec_id, score.
@@ -239,8 +258,14 @@ def nearest(index: DataFrame, shards: int, queries: DataFrame, k: int = 20, beam
               .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))))
 
     def search(batches):
+        held, found = None, []
         for batch in batches:
             for i in range(batch.num_rows):
+                key = batch["dim"][i].as_py(), batch["block"][i].as_py()
+                if key != held and found:
+                    yield merged(found, k)
+                    found = []
+                held = key
                 row = {c: batch[c][i].as_py() for c in ("n", "ids", "vectors", "entry", "links", "upper")}
                 asked_here = batch["queries"][i].values
                 query_ids = asked_here.field("vec_id").to_numpy()
@@ -248,19 +273,18 @@ def nearest(index: DataFrame, shards: int, queries: DataFrame, k: int = 20, beam
                 ids = np.frombuffer(row["ids"], "<i8")
                 points = search_shard(row, vectors, beam)
                 q, place = np.nonzero(points >= 0)
-                found = points[q, place]
-                own = ids[found] == query_ids[q]
-                q, found = q[~own], found[~own]
+                at = points[q, place]
+                own = ids[at] == query_ids[q]
+                q, at = q[~own], at[~own]
                 exact = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], -1)
-                score = (vectors[q] * exact[found]).sum(1)
-                order = np.lexsort((ids[found], -score, q))
-                q, found, score = q[order], found[order], score[order]
-                rank = np.arange(len(q)) - np.searchsorted(q, q)
-                best = rank < k
-                yield pa.RecordBatch.from_pydict({"query_id": query_ids[q[best]], "vec_id": ids[found[best]],
-                                                  "score": score[best]})
-
-    met = packed.join(index, ["dim", "shard"]).select("queries", "n", "ids", "vectors", "entry", "links", "upper")
+                found.append((query_ids[q], ids[at], (vectors[q] * exact[at]).sum(1)))
+                if len(found) >= MERGED_SHARDS:
+                    found = [best_of(found, k)]
+        if found:
+            yield merged(found, k)
+
+    met = (packed.join(index, ["dim", "shard"]).sortWithinPartitions("dim", "block")
+           .select("dim", "block", "queries", "n", "ids", "vectors", "entry", "links", "upper"))
     found = met.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
