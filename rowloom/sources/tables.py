@@ -80,7 +80,16 @@ def insert_positional(df: DataFrame, table: str, overwrite: bool = True) -> None
     if parts:
         ordered = ordered.hint("rebalance", *parts)
     if overwrite and parts:
-        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        # The insert takes the mode from the session only, so that is changed around it and put back.
+        view, key = fresh_name("incoming"), "spark.sql.sources.partitionOverwriteMode"
+        ordered.createOrReplaceTempView(view)
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) SELECT * FROM {view}")
+        finally:
+            spark.conf.set(key, before)
+            spark.catalog.dropTempView(view)
     else:
         ordered.write.insertInto(table, overwrite=overwrite)
 

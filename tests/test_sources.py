@@ -38,14 +38,10 @@ def test_scratch_follows_the_setting():
     assert spark.sparkContext.checkpoint_dir == "hdfs:///shared/"
 
 
-def test_scratch_without_setting_is_an_error_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(fake_session("yarn"))
-
-
-def test_scratch_without_setting_is_made_once_locally():
-    spark = fake_session("local[2]")
-    assert session.scratch_root(spark) == session.scratch_root(spark)
+def test_scratch_is_the_checkpoint_folder_or_the_warehouse():
+    unset = fake_session("yarn")
+    unset.conf.get = lambda key, *default: {"spark.sql.warehouse.dir": "hdfs://x/warehouse"}.get(key, *default)
+    assert session.scratch_root(unset) == "hdfs://x/warehouse"
 
 
 def test_csv_without_inference_is_text(spark, tables, tmp_path):

@@ -165,16 +165,11 @@ def test_lookup_case_with_null_target(spark):
     assert [r["how"] for r in got.collect()] == ["phone", None, "unknown", "unknown"]
 
 
-def test_constant_key_join(spark):
-    noise = spark.createDataFrame([("Cat", "Meow"), ("Dog", "Woof"), ("Cow", "Moo")], "animal string, noise string")
-    got = joins.constant_key_join(spark.range(5), noise, "animal", "Dog")
-    assert rows(got, "id", "animal", "noise") == [(i, "Dog", "Woof") for i in range(5)]
-
-
-def test_densify_fills_every_combination(spark):
-    df = spark.createDataFrame([("a", 1, 5.0), ("b", 2, 7.0)], "k string, y int, v double")
-    assert rows(joins.densify(df, ["k"], ["y"], ["v"]), "k", "y", "v") == [
-        ("a", 1, 5.0), ("a", 2, 0.0), ("b", 1, 0.0), ("b", 2, 7.0)]
+def test_null_is_a_level_of_its_own(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "null"), (None, "x")], "p string, q string")
+    assert rows(aggregate.contingency(df, "p", "q")) == [(None, "x", 1), ("a", None, 1), ("a", "x", 1), ("b", "null", 1)]
+    with pytest.raises(Exception, match="not listed: y"):
+        aggregate.pivot_agg(spark.createDataFrame([(1, "x"), (1, "y")], "k int, q string"), ["k"], "q", ["x"], [F.count("k")]).collect()
 
 
 def test_cramers_v(spark):
