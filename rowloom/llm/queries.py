@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, shards, suffix_tree,
+from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, shards, sql, suffix_tree,
                          token_files, toxicity)
 from rowloom.llm.common import table
 
@@ -74,4 +74,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ALL)
