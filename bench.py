@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -61,6 +62,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus, runs = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session("rowloom-bench", f"local[{cpus}]", **{
+        "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="rowloom-bench-"),
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
