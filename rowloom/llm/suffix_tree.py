@@ -1,26 +1,32 @@
 """Language-model scores from a probabilistic suffix tree.
 
-The tree's symbols are the bytes of words.  A state is a context: up to ``DEPTH``
-bytes that stand before, not beyond the start of the word.  Contexts are grown
-level by level over the counted words of the whole corpus; one is kept only if
-what follows it diverges from what follows the context without its first byte by
-enough, weighted by how often it occurs.  Next-byte distributions are smoothed
-with those of the shorter context, down to equal chances.  A byte's probability
-comes from the longest kept suffix of what stands before it.
-
-A word that was seen is a state of its own: the probability of a token is
-(c + V * tree) / (N + V), with c its count, N all tokens, V different ones, and
-tree what the suffix tree gives its bytes and its end.
-
-The words of all texts are counted in buckets by hash.  Blocks of documents ask
-each bucket for their own different words only and get counts and scores back,
-so nothing that grows with the corpus is held in one place.  The tree is bounded:
-a context needs ``MIN_SHARE`` of all bytes, so there are at most 1/MIN_SHARE of a
-length.
+A token is a word or the end of a text, and is predicted from the longest state
+that the tree keeps of what stands before it.
+
+* Before words, states are the last frequent word that was read (rarer words in
+  between don't change it), or the empty context.  A frequent word is kept as a
+  state only if what follows it diverges from what follows at large by GAIN nats
+  over all its occurrences.
+* Words that were never seen are spelled by a tree over bytes.  Its states are up to
+  DEPTH bytes before, not beyond the start of the word, grown level by level over
+  the different words of the corpus and kept by the same test.
+
+Distributions are smoothed from the longer to the shorter state: a count c is
+lowered by a discount d = n1 / (n1 + 2 n2), from the numbers of symbols seen once
+and twice there, and what that frees is given out as the shorter state says.  So
+P(x | frequent word) rests on P(x), that on the tree of bytes, that on equal chances.
+
+The words of all texts, with the states before them, are counted in buckets by a
+hash of the word.  Blocks of documents ask each bucket for their own different words
+only and get counts and scores back, so nothing that grows with the corpus is held
+in one place.  States are bounded: a frequent word has CONTEXT_SHARE of all tokens, a
+byte context MIN_SHARE of all places.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,8 +36,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowloom.llm.common import pieces, plain_words, stored, texts
 
-DEPTH = 5
-MIN_SHARE = 1e-4
+DEPTH = 6
+MIN_SHARE = 2e-5
+#: Part of all tokens that a word needs to be a state.
+CONTEXT_SHARE = 3e-3
 #: Nats by which a context must beat the shorter one, over all its occurrences.
 GAIN = 20.0
 BLOCK_ROWS = 2_000
@@ -39,78 +47,181 @@ BLOCK_ROWS = 2_000
 BUCKET_BYTES = 8 << 20
 ANSWERED_BLOCKS = 4_096
 
-EDGE, END = 32, 10  # bytes no word can hold: the word's border, and the end of the text
+EDGE = 32  # the border of words
+END = b"\n"  # the end of a text: no word can be that
 
-BLOCKS = ("block long, bucket int, words binary, trained binary, "
+BLOCKS = ("block long, bucket int, words binary, counts binary, kinds binary, states binary, state_counts binary, "
           "doc_ids array<string>, held_out array<boolean>, lengths binary, tokens binary")
+WORDS = "bucket int, words binary, counts binary, kinds binary, states binary, state_counts binary"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
 
-def blocks_of(docs: DataFrame, buckets: int) -> DataFrame:
-    """Documents in blocks: per block its texts as word numbers, and its different words by bucket."""
+def frequent_words(training: DataFrame, share: float = CONTEXT_SHARE) -> list[bytes]:
+    """Words with ``share`` of all tokens, the most frequent first.
+
+    A batch reports words that have a twentieth of that share in it, so what a
+    word may lose is a twentieth of what it needs.
+    """
+    def count(batches):
+        for batch in pieces(batches, BLOCK_ROWS):
+            found = Counter()
+            for text in texts(batch["text"]):
+                found.update(plain_words(text))
+            total = found.total() + batch.num_rows
+            often = {w: n for w, n in found.items() if n >= share / 20 * total}
+            yield pa.RecordBatch.from_pydict({"word": pa.array([END, *often], pa.binary()),
+                                              "n": pa.array([total, *often.values()], pa.int64())})
+
+    counted = training.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = counted.filter(F.col("word") == F.lit(END)).select("n").scalar()
+    listed = counted.filter((F.col("word") != F.lit(END)) & (F.col("n") >= share * total)).collect()  # 1 / share at most
+    return [bytes(r["word"]) for r in sorted(listed, key=lambda r: (-r["n"], bytes(r["word"])))]
+
+
+def _states(tokens: np.ndarray, lengths: np.ndarray, state_of: np.ndarray) -> np.ndarray:
+    """For each token the last frequent word before it in its text (from 1; 0 if there is none)."""
+    own = state_of[tokens]
+    starts = np.cumsum(lengths) - lengths
+    seen = np.maximum.accumulate(np.where(own > 0, np.arange(len(own)), -1)) if len(own) else own
+    before = np.concatenate(([-1], seen[:-1])) if len(own) else own
+    return np.where(before >= np.repeat(starts, lengths), own[np.maximum(before, 0)], 0)
+
+
+def blocks_of(docs: DataFrame, buckets: int, frequent: list[bytes]) -> DataFrame:
+    """Documents in blocks: per block its texts as numbers of (word, state), and its different words by bucket."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()),
+                        *[(c, pa.binary()) for c in ("words", "counts", "kinds", "states", "state_counts")],
+                        ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
+                        ("lengths", pa.binary()), ("tokens", pa.binary())])
+    width = len(frequent) + 1
+
     def split(batches):
         block = TaskContext.get().partitionId() << 32
         for batch in pieces(batches, BLOCK_ROWS):
-            numbers: dict[bytes, int] = {}
-            held = batch["held_out"].to_pylist()
-            lengths, tokens = [], []
+            numbers = {w: i for i, w in enumerate([*frequent, END])}
+            held, tokens = batch["held_out"].to_pylist(), []
             for text in texts(batch["text"]):
-                words = plain_words(text)
-                lengths.append(len(words))
-                tokens.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64))
-            tokens = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
+                tokens.append(np.array([numbers.setdefault(w, len(numbers)) for w in (*plain_words(text), END)], np.int64))
+            lengths = np.array([len(t) for t in tokens], np.int64)
+            tokens = np.concatenate(tokens)
+            state_of = np.zeros(len(numbers), np.int64)
+            state_of[:len(frequent)] = np.arange(1, width)
+            states = _states(tokens, lengths, state_of)
             training = np.repeat(~np.array(held, bool), lengths)
+            # Words in the order of their buckets; then pairs of word and state in that order.
             words = list(numbers)
-            counts = np.bincount(tokens[training], minlength=len(words))
             bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in words], np.int64)
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(words), np.int64)
             place[order] = np.arange(len(words))
+            pair, number = np.unique(place[tokens] * width + states, return_inverse=True)
+            pair_counts = np.bincount(number[training], minlength=len(pair))
+            counts = np.bincount(place[tokens[training]], minlength=len(words))
+            kinds = np.bincount(pair // width, minlength=len(words))
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out = []
-            for b in range(buckets):
-                inside = order[ends[b]:ends[b + 1]]
-                if len(inside):
-                    out.append({"block": block, "bucket": b, "words": b" ".join([words[i] for i in inside]),
-                                "trained": counts[inside].astype("<u4").tobytes()})
-            out.append({"block": block, "bucket": -1, "doc_ids": batch["doc_id"].cast(pa.string()).to_pylist(), "held_out": held,
-                        "lengths": np.array(lengths, "<i8").tobytes(), "tokens": place[tokens].astype("<u4").tobytes()})
+            pair_ends = np.concatenate(([0], np.cumsum(kinds)))[ends]
+            rows = [{"block": block, "bucket": -1, "doc_ids": batch["doc_id"].cast(pa.string()).to_pylist(), "held_out": held,
+                     "kinds": kinds.astype("<u2").tobytes(), "lengths": lengths.astype("<i8").tobytes(),
+                     "tokens": number.astype("<u4").tobytes()}]
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                own, pairs = slice(ends[b], ends[b + 1]), slice(pair_ends[b], pair_ends[b + 1])
+                rows.append({"block": block, "bucket": b, "words": b" ".join([words[i] for i in order[own]]),
+                             "counts": counts[own].astype("<i8").tobytes(), "kinds": kinds[own].astype("<u2").tobytes(),
+                             "states": (pair[pairs] % width).astype("<u2").tobytes(),
+                             "state_counts": pair_counts[pairs].astype("<i8").tobytes()})
             block += 1
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("trained", pa.binary()),
-                ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())), ("lengths", pa.binary()),
-                ("tokens", pa.binary())]))
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return stored(docs.mapInArrow(split, BLOCKS), "lm-blocks", compression="zstd")
 
 
+def _combined(pdf: pd.DataFrame) -> dict:
+    """Counts of words, and of words after states, added up over rows of one bucket."""
+    number: dict[bytes, int] = {}
+    at = [np.array([number.setdefault(w, len(number)) for w in words.split(b" ")], np.int64) for words in pdf["words"]]
+    counts = np.zeros(len(number), np.int64)
+    for i, raw in zip(at, pdf["counts"]):
+        counts[i] += np.frombuffer(raw, "<i8")  # a word stands once in a row
+    pairs = np.concatenate([np.repeat(i, np.frombuffer(k, "<u2")) << 16 | np.frombuffer(s, "<u2")
+                            for i, k, s in zip(at, pdf["kinds"], pdf["states"])])
+    pair, inverse = np.unique(pairs, return_inverse=True)
+    pair_counts = np.zeros(len(pair), np.int64)
+    np.add.at(pair_counts, inverse, np.frombuffer(b"".join(pdf["state_counts"]), "<i8"))
+    return {"words": list(number), "counts": counts, "pair": pair, "pair_counts": pair_counts}
+
+
+def _row(found: dict) -> dict:
+    return {"words": b" ".join(found["words"]), "counts": found["counts"].tobytes(),
+            "kinds": np.bincount(found["pair"] >> 16, minlength=len(found["words"])).astype("<u2").tobytes(),
+            "states": (found["pair"] & 0xFFFF).astype("<u2").tobytes(), "state_counts": found["pair_counts"].tobytes()}
+
+
 def count_words(blocks: DataFrame) -> DataFrame:
-    """Words of each bucket with their counts in training texts; those of held-out texts alone have 0."""
+    """Words of each bucket with their counts in training texts, alone and after each state; 0 for held-out ones.
+
+    Blocks are added up in 64 groups first, so a bucket's task gets few rows.
+    """
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total: dict[bytes, int] = {}
-        for words, counts in zip(pdf["words"], pdf["trained"]):
-            for w, n in zip(words.split(b" "), np.frombuffer(counts, "<u4").tolist()):
-                total[w] = total.get(w, 0) + n
-        counts = np.fromiter(total.values(), np.int64, len(total))
-        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": pdf["group"].iloc[0], "words": b" ".join(total),
-                              "counts": counts.tobytes(), "n": int(counts.sum()), "distinct": int((counts > 0).sum())}])
-
-    schema = "bucket int, group long, words binary, counts binary, n long, distinct long"
-    asked = blocks.filter("bucket >= 0").select("bucket", (F.col("block") % F.lit(64)).alias("group"),
-                                                "words", F.col("trained"))
-    partly = asked.groupBy("bucket", "group").applyInPandas(add, schema)
+        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": pdf["group"].iloc[0]} | _row(_combined(pdf))])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        total: dict[bytes, int] = {}
-        for words, counts in zip(pdf["words"], pdf["counts"]):
-            for w, n in zip(words.split(b" "), np.frombuffer(counts, "<i8").tolist()):
-                total[w] = total.get(w, 0) + n
-        counts = np.fromiter(total.values(), np.int64, len(total))
-        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": 0, "words": b" ".join(total),
-                              "counts": counts.tobytes(), "n": int(counts.sum()), "distinct": int((counts > 0).sum())}])
+        found = _combined(pdf)
+        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0]} | _row(found)
+                             | {"state_sums": _state_sums(found).tolist()}])
+
+    asked = blocks.filter("bucket >= 0").select("bucket", F.pmod(F.xxhash64("block"), F.lit(64)).alias("group"),
+                                                "words", "counts", "kinds", "states", "state_counts")
+    partly = asked.groupBy("bucket", "group").applyInPandas(add, "group long, " + WORDS)
+    return stored(partly.groupBy("bucket").applyInPandas(merge, WORDS + ", state_sums array<array<double>>"), "lm-words")
+
+
+def _state_sums(found: dict) -> np.ndarray:
+    """Per state the sums that its divergence and its discount need; the last row is for all tokens."""
+    state, n, own = found["pair"] & 0xFFFF, found["pair_counts"], found["counts"]
+    width = int(state.max(initial=0)) + 1
+    seen = n > 0
+    state, n, of = state[seen], n[seen].astype(float), own[found["pair"][seen] >> 16]
+    per_state = [np.bincount(state, v, width) for v in (n, np.ones(len(n)), n == 1, n == 2, n * np.log(n / of))]
+    return np.vstack((np.stack(per_state, axis=1), [own.sum(), (own > 0).sum(), (own == 1).sum(), (own == 2).sum(), 0.0]))
+
+
+class States:
+    """What the counts of all buckets say of each state: tokens, different tokens, discount, and whether it is kept."""
+
+    def __init__(self, sums: np.ndarray, gain: float):
+        self.n, self.kinds, once, twice, log_ratio = sums.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.discount = np.where(once > 0, once / (once + 2 * twice), 0.5)
+            gained = log_ratio[:-1] + self.n[:-1] * np.log(self.n[-1] / self.n[:-1])
+        self.kept = (self.n[:-1] > 0) & (gained >= gain)
+
+    @classmethod
+    def of(cls, words: DataFrame, states: int, gain: float) -> "States":
+        """From the sums of all buckets: as many rows as there are states come to the driver."""
+        last = F.size("state_sums") - 1
+        cells = words.select(F.posexplode("state_sums").alias("state", "v"), last.alias("_last"))
+        rows = (cells.groupBy(F.when(F.col("state") == F.col("_last"), states).otherwise(F.col("state")).alias("state"))
+                .agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(5)]).collect())
+        sums = np.zeros((states + 1, 5))
+        for r in rows:
+            sums[r["state"]] = [r[f"v{i}"] for i in range(5)]
+        return cls(sums, gain)
+
+    def words(self, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Log probability of words in the empty context."""
+        if not self.n[-1]:
+            return spelled
+        with np.errstate(divide="ignore"):
+            kept = np.log(np.maximum(counts - self.discount[-1], 0.0))
+            return np.logaddexp(kept, np.log(self.discount[-1] * self.kinds[-1]) + spelled) - np.log(self.n[-1])
 
-    return stored(partly.groupBy("bucket").applyInPandas(merge, schema).drop("group"), "lm-words")
+    def after(self, state: np.ndarray, counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+        """Log probability of words after states, given the log probabilities in the empty context."""
+        d, kinds, n = self.discount[state], self.kinds[state], self.n[state]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            longer = np.logaddexp(np.log(np.maximum(counts - d, 0.0)), np.log(d * kinds) + shorter) - np.log(n)
+        return np.where(self.kept[state], longer, shorter)
 
 
 def _bytes_of(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,14 +289,11 @@ class SuffixTree:
         # A word has a byte at least: no chance is left for the border at its start.
         return np.add.reduceat(p, starts) - np.log1p(-self._at_start(EDGE))
 
-    def end(self) -> float:
-        return float(np.log(self._at_start(END)) - np.log1p(-self._at_start(EDGE)))
-
     def _at_start(self, symbol: int) -> float:
         return float(self.next_byte(np.array([EDGE, symbol], np.uint8), np.array([1]))[0])
 
 
-def grow_tree(words: DataFrame, texts_trained: int, depth: int = DEPTH, min_share: float = MIN_SHARE,
+def grow_tree(words: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE,
               gain: float = GAIN) -> SuffixTree:
     """Level by level: count what follows the candidates of one more byte, keep those that diverge."""
     tree = SuffixTree()
@@ -195,20 +303,25 @@ def grow_tree(words: DataFrame, texts_trained: int, depth: int = DEPTH, min_shar
         known = candidates
 
         def count(batches, level=level, known=known):
+            pairs, counts_ = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for batch in batches:
                 for blob, raw in zip(batch["words"].to_pylist(), batch["counts"].to_pylist()):
                     counts = np.frombuffer(raw, "<i8")
                     listed = [w for w, n in zip(blob.split(b" "), counts.tolist()) if n]
                     if not listed:
                         continue
-                    joined, since, weight = _bytes_of(listed, counts[counts > 0])
+                    joined, since, _ = _bytes_of(listed, np.ones(len(listed)))
                     context, at = _contexts(joined, level), np.flatnonzero(since >= level)
                     if known is not None and level > 1:
                         shorter = context & ((1 << 8 * (level - 1)) - 1)
                         at = at[np.isin(shorter[at], known)]
-                    pair, inverse = np.unique(context[at] * 256 + joined[1:][at], return_inverse=True)
-                    yield pa.RecordBatch.from_pydict({"pair": pair.astype(np.int64), "n": np.bincount(
-                        inverse, weights=weight[at], minlength=len(pair)).astype(np.int64)})
+                    pair, n = np.unique(context[at] * 256 + joined[1:][at], return_counts=True)
+                    pairs.append(pair.astype(np.int64))
+                    counts_.append(n)
+            # One row per pair and task.
+            pair, inverse = np.unique(np.concatenate(pairs), return_inverse=True)
+            n = np.bincount(inverse, np.concatenate(counts_), len(pair)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"pair": pair, "n": n})
 
         counted = (words.select("words", "counts").mapInArrow(count, "pair long, n long")
                    .groupBy("pair").agg(F.sum("n").alias("n"))
@@ -221,10 +334,6 @@ def grow_tree(words: DataFrame, texts_trained: int, depth: int = DEPTH, min_shar
         order = np.argsort(pair)
         pair, n = pair[order], n[order]
         context, symbol = pair >> 8, pair & 255
-        if level <= 1 and texts_trained:
-            # Texts end at the start of a word, after a border.
-            pair = np.append(pair, (EDGE << 8 if level else 0) | END)
-            context, symbol, n = pair >> 8, pair & 255, np.append(n, float(texts_trained))
         if level == 0:
             total = max(1.0, float(n.sum()))
         if not len(pair):
@@ -255,7 +364,7 @@ def diverging(tree: SuffixTree, level: int, context: np.ndarray, symbol: np.ndar
 
 
 def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_SHARE, gain: float = GAIN,
-          buckets: int | None = None, answered: int = ANSWERED_BLOCKS) -> DataFrame:
+          context_share: float = CONTEXT_SHARE, buckets: int | None = None, answered: int = ANSWERED_BLOCKS) -> DataFrame:
     """Scores of every text of ``docs`` (doc_id, text); learns from rows for which ``held_out`` is false.
 
     Columns as in SCORES: base_score is the add-0.1 unigram score, score the
@@ -265,58 +374,53 @@ def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_
     """
     text = F.col("text").cast("string")
     plain = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
-    size = plain.agg(F.sum(F.octet_length("text")).alias("bytes"),
-                     F.count_if(~F.col("held_out")).alias("trained")).first()
-    buckets = buckets or max(16, (size["bytes"] or 0) // BUCKET_BYTES)
-    trained = size["trained"]
-    blocks = blocks_of(plain, buckets)
+    if buckets is None:
+        size = plain.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"]
+        buckets = max(16, (size or 0) // BUCKET_BYTES)
+    frequent = frequent_words(plain.filter(~F.col("held_out")), context_share)
+    blocks = blocks_of(plain, buckets, frequent)
     words = count_words(blocks)
-    sums = words.agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).first()
-    n_all, n_kinds = (sums["n"] or 0) + trained, (sums["distinct"] or 0) + (trained > 0)
-    tree = grow_tree(words, trained, depth, min_share, gain)
-
-    def log10_mix(counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
-        if not n_all:
-            return logs / np.log(10)
-        with np.errstate(divide="ignore"):
-            return (np.logaddexp(np.log(counts), np.log(n_kinds) + logs) - np.log(n_all + n_kinds)) / np.log(10)
+    states = States.of(words, len(frequent) + 1, gain)
+    n_all, n_kinds = int(states.n[-1]), int(states.kinds[-1])
+    tree = grow_tree(words, depth, min_share, gain)
 
     def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        listed = known["words"].iloc[0].split(b" ")
-        number = {w: i for i, w in enumerate(listed)}
-        counts = np.frombuffer(known["counts"].iloc[0], "<i8")
-        value = log10_mix(counts, tree.words(listed))
+        if not len(asked):
+            return pd.DataFrame(columns=["block", "bucket", "counts", "scores"])
+        found = _combined(known)
+        number = {w: i for i, w in enumerate(found["words"])}
+        single = states.words(found["counts"], tree.words(found["words"]))
         rows = []
-        for block, words in zip(asked["block"], asked["words"]):
-            at = np.array([number[w] for w in words.split(b" ")])
-            rows.append((block, key[0], counts[at].astype("<i8").tobytes(), value[at].astype("<f8").tobytes()))
+        for block, listed, kinds, of in zip(asked["block"], asked["words"], asked["kinds"], asked["states"]):
+            at = np.array([number[w] for w in listed.split(b" ")], np.int64)
+            state, owner = np.frombuffer(of, "<u2").astype(np.int64), np.repeat(at, np.frombuffer(kinds, "<u2"))
+            # The bucket knows every pair that any block holds.
+            pair = np.searchsorted(found["pair"], owner << 16 | state)
+            value = states.after(state, found["pair_counts"][pair], single[owner]) / np.log(10)
+            rows.append((block, key[0], found["counts"][at].tobytes(), value.astype("<f4").tobytes()))
         return pd.DataFrame(rows, columns=["block", "bucket", "counts", "scores"])
 
     groups = max(1, -(-(blocks.filter("bucket < 0").count()) // answered))
-    asked = blocks.filter("bucket >= 0").select("block", "bucket", "words", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group"))
-    known = words.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    answers = (asked.groupBy("bucket", "group").cogroup(known.select("bucket", "group", "words", "counts")
-                                                         .groupBy("bucket", "group"))
-               .applyInPandas(lambda key, a, k: answer(key, a, k) if len(a) else
-                              pd.DataFrame(columns=["block", "bucket", "counts", "scores"]),
-                              "block long, bucket int, counts binary, scores binary"))
-    end_score = float(log10_mix(np.array([float(trained)]), np.array([tree.end()]))[0])
+    asked = blocks.filter("bucket >= 0").select("block", "bucket", "words", "kinds", "states",
+                                                F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group"))
+    known = (words.drop("state_sums")
+             .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))))
+    answers = (asked.groupBy("bucket", "group").cogroup(known.groupBy("bucket", "group"))
+               .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, counts binary, scores binary"))
     smooth = 0.1 * (n_kinds + 1)
 
     def finish(pdf: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, row = [], pdf.iloc[0]
         got = got.sort_values("bucket")
-        counts = np.concatenate([np.frombuffer(c, "<i8") for c in got["counts"]] + [[trained]]).astype(np.int64)
-        value = np.concatenate([np.frombuffer(s, "<f8") for s in got["scores"]] + [[end_score]])
+        counts = np.repeat(np.concatenate([np.frombuffer(c, "<i8") for c in got["counts"]]), np.frombuffer(row["kinds"], "<u2"))
+        value = np.concatenate([np.frombuffer(v, "<f4") for v in got["scores"]]).astype(float)
         base = np.log10((counts + 0.1) / (n_all + smooth))
-        for row in pdf.itertuples(index=False):
-            tokens = np.frombuffer(row.tokens, "<u4")
-            ends = np.cumsum(np.frombuffer(row.lengths, "<i8"))
-            for doc_id, held, start, stop in zip(row.doc_ids, row.held_out, np.concatenate(([0], ends[:-1])), ends):
-                own = np.append(tokens[start:stop], len(counts) - 1)
-                out.append((None if doc_id is None else int(doc_id), held, len(own), int((counts[own] > 0).sum()), n_all,
-                            float(base[own].sum()), float(value[own].sum())))
+        tokens, ends = np.frombuffer(row["tokens"], "<u4"), np.cumsum(np.frombuffer(row["lengths"], "<i8"))
+        for doc_id, held, start, stop in zip(row["doc_ids"], row["held_out"], np.concatenate(([0], ends[:-1])), ends):
+            own = tokens[start:stop]
+            out.append((None if doc_id is None else int(doc_id), held, len(own), int((counts[own] > 0).sum()), n_all,
+                        float(base[own].sum()), float(value[own].sum())))
         return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "lengths", "tokens")
+    texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "kinds", "lengths", "tokens")
     return texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, SCORES)

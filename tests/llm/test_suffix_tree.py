@@ -56,16 +56,15 @@ def test_no_training_rows_and_null_ids(spark):
     assert suffix_tree.score(frame(spark, rows).limit(0), F.col("test")).collect() == []
 
 
-def tree_of(words, min_share=0.0, gain=0.5, depth=3):
+def tree_of(words, gain=0.5, depth=3):
     """A tree grown in this process."""
+    words = {**words, suffix_tree.END: 4}
     tree, listed = suffix_tree.SuffixTree(), list(words)
     for level in range(depth + 1):
         joined, since, weight = suffix_tree._bytes_of(listed, np.array([words[w] for w in listed]))
         at = np.flatnonzero(since >= level)
         pair, inverse = np.unique(suffix_tree._contexts(joined, level)[at] * 256 + joined[1:][at], return_inverse=True)
         n = np.bincount(inverse, weights=weight[at])
-        if level <= 1:
-            pair, n = np.append(pair, (32 << 8 if level else 0) | 10), np.append(n, 4.0)
         keep = suffix_tree.diverging(tree, level, pair >> 8, pair & 255, n, gain) if level > 1 else np.ones(len(pair), bool)
         tree.add(pair[keep] >> 8, pair[keep] & 255, n[keep])
     return tree
@@ -79,7 +78,7 @@ def test_probabilities_of_all_short_words_add_up():
                     for s in range(256))
         assert total == pytest.approx(1)
     words = [bytes(w) for n in (1, 2) for w in itertools.product(b"abc", repeat=n)]
-    assert 0.5 < sum(np.exp(tree.words(words))) + math.exp(tree.end()) < 1
+    assert 0.5 < sum(np.exp(tree.words([*words, suffix_tree.END]))) < 1
 
 
 def test_contexts_that_do_not_diverge_are_left_out():
@@ -88,6 +87,34 @@ def test_contexts_that_do_not_diverge_are_left_out():
     assert len(tree_of(words, gain=40.0).levels[2][0]) < len(tree_of(words, gain=-1e9).levels[2][0])
 
 
+def test_states_carry_the_last_frequent_word():
+    tokens, lengths = np.array([0, 5, 6, 1, 7, 2, 5, 2, 2]), np.array([6, 2, 1])
+    assert suffix_tree._states(tokens, lengths, np.array([1, 2, 0, 0, 0, 0, 0, 0])).tolist() == [0, 1, 1, 1, 2, 2, 0, 0, 0]
+
+
+def test_word_probabilities_add_up_after_every_state(spark):
+    """Over all words that can follow, what the tree spells included."""
+    rows = [(i, ["the cat sat the dog", "le chat le chien sat", "the cat le"][i % 3]) for i in range(1, 90) if i % 3 or i % 2]
+    docs = frame(spark, [(d * 3 + 1, t) for d, t in rows])
+    plain = docs.select("doc_id", "text", F.lit(False).alias("held_out"))
+    frequent = suffix_tree.frequent_words(plain, 0.1)
+    assert {b"the", b"le"} <= set(frequent)
+    words = suffix_tree.count_words(suffix_tree.blocks_of(plain, 3, frequent))
+    states = suffix_tree.States.of(words, len(frequent) + 1, 0.5)
+    assert states.kept.any()
+    found = suffix_tree._combined(words.toPandas())
+    spelled = np.log(np.full(len(found["words"]), 1e-3))  # the rest, 1 - this, is left to other words
+    single = states.words(found["counts"], spelled)
+    rest = np.log(1 - 1e-3 * len(found["words"]))
+    other = states.words(np.array([0]), np.array([rest]))[0]
+    assert np.exp(single).sum() + np.exp(other) == pytest.approx(1)
+    pairs = dict(zip(found["pair"].tolist(), found["pair_counts"].tolist()))
+    for state in np.flatnonzero(states.kept):
+        counts = np.array([pairs.get(w << 16 | int(state), 0) for w in range(len(single))])
+        total = np.exp(states.after(np.full(len(single), state), counts, single)).sum()
+        assert total + np.exp(states.after(np.array([state]), np.array([0]), np.array([other]))[0]) == pytest.approx(1)
+
+
 def test_query_equals_brute_force(spark, tables):
     rows = [tuple(r) for r in tables.documents.select("doc_id", "text").collect()]
     got = op4_suffix_tree(spark, SMALL).collect()
