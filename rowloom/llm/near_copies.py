@@ -7,9 +7,9 @@
 2. What is left is collapsed to one row per set (by a 64-bit hash of it) and put into groups of similar
    sets: equal smallest shared shingle, split where a group is large.  The matrix
    says which group holds which shingle.
-3. Every set asks the matrix with its prefix, the rarest shingles of which a
-   partner must have one; a group that holds one is a candidate.  There the
-   overlap with the union of the group's shingles bounds the overlap with any
+3. The matrix holds the prefixes of sets, the rarest shingles of which a partner
+   must have one.  Two groups that hold the same one are candidates, and the sets of
+   one ask the other.  There the overlap with the union of the group's shingles bounds the overlap with any
    member, and only groups that reach the needed overlap are opened, their members
    of suitable size counted out.
 4. Each group returns links that connect what it found connected, not all pairs.
@@ -243,14 +243,15 @@ def links(sets: DataFrame, share: int, group_rows: int = GROUP_ROWS) -> DataFram
     parts = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("_parts"))
     grouped = stored(placed.join(parts, "home").select(
         "vertex", "prefix", F.xxhash64("home", F.pmod(F.xxhash64("vertex"), F.col("_parts"))).alias("group")), "copies-groups")
-    tokens = grouped.select("vertex", "group", F.explode("prefix").alias("token"))
-    matrix = tokens.groupBy("token", "group").agg(F.count(F.lit(1)).alias("_held")).drop("_held")
+    matrix = grouped.select(F.explode("prefix").alias("token"), "group").distinct()
     # Tokens that only one group holds lead nowhere else.
     wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("_groups")).filter("_groups > 1").select("token")
     matrix = stored(matrix.join(wide, "token", "left_semi"), "copies-matrix")
-    asked = (tokens.withColumnRenamed("group", "_own").join(matrix, "token").filter(F.col("group") != F.col("_own"))
-             .groupBy("vertex", "group").agg(F.count(F.lit(1)).alias("_hits")).select("vertex", "group"))
-    asked = stored(asked, "copies-asked")
+    # Groups are matched, not their members: a group of similar sets has the same tokens many times.
+    met = (matrix.withColumnRenamed("group", "_own").join(matrix, "token").filter(F.col("_own") < F.col("group"))
+           .select("_own", "group").distinct())
+    asked = stored(grouped.select("vertex", F.col("group").alias("_own")).join(met, "_own").select("vertex", "group"),
+                   "copies-asked")
     # A group that many ask meets them in parts.
     parts = asked.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKERS).alias("_parts"))
     content = sets.select("vertex", "n", "tokens")
