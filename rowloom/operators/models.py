@@ -115,6 +115,16 @@ def save_model(fitted: PipelineModel, path: str) -> None:
     fitted.write().overwrite().save(path)
 
 
+def save_chain(stages: Sequence, path: str) -> None:
+    """Write an unfitted chain of stages."""
+    Pipeline(stages=list(stages)).write().overwrite().save(path)
+
+
+def load_chain(path: str) -> Pipeline:
+    """An unfitted chain, to be fitted again."""
+    return Pipeline.load(path)
+
+
 def load_model(path: str) -> PipelineModel:
     """Read a fitted chain back."""
     return PipelineModel.load(path)

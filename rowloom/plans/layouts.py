@@ -18,6 +18,16 @@ def partition_profile(t: Tables) -> DataFrame:
     return profile.agg(F.sum("n").alias("n_rows"))
 
 
+@query("SELECT count(*) AS n, true AS fewer FROM lineitem")
+def shrink_sample(t: Tables) -> DataFrame:
+    """Half the rows need half the partitions; the other half is put back, so all rows are counted."""
+    spread = layout.spread_partitions(t.lineitem.select("l_orderkey", "l_linenumber"), 6)
+    half = layout.shrink_partitions(spread.filter("l_linenumber % 2 = 0"), 0.5)
+    fewer = half.rdd.getNumPartitions() < spread.rdd.getNumPartitions()
+    return (half.union(spread.filter("l_linenumber % 2 <> 0")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("fewer", F.lit(fewer)))
+
+
 @query("""(SELECT 'top' AS report, CAST(o_orderkey AS VARCHAR) AS item, o_totalprice AS value FROM orders
              ORDER BY o_totalprice DESC, o_orderkey LIMIT 10)
           UNION ALL (SELECT 'mean', o_orderpriority, round(avg(o_totalprice), 4) FROM orders GROUP BY o_orderpriority)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowloom.operators import models
 from rowloom.plans.registry import Tables, query
+from rowloom.session import scratch_path
 
 NUMERIC, CATEGORICAL = ["n_chars"], ["lang"]
 REFERENCE = {"lang": "en"}
@@ -40,15 +41,42 @@ def glm_coefficients(t: Tables) -> DataFrame:
     return models.coefficient_table(data, models.fit_glm(data, NUMERIC, CATEGORICAL))
 
 
-@query()
+# At the fitted values the predictions of every category add up to its labels.
+SUMS_SQL = f"""SELECT CASE WHEN lang = 'en' THEN '000_en' ELSE lang END AS lang, count(*) AS n, sum(label) AS labels,
+                      true AS predicted FROM {PREPARED_SQL} GROUP BY lang"""
+
+
+def _sums(scored: DataFrame, prediction: str, part: float) -> DataFrame:
+    gap = F.abs(F.sum("label") - F.sum(prediction))
+    return scored.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("labels"),
+                                      (gap <= F.count(F.lit(1)) * part).alias("predicted"))
+
+
+@query(SUMS_SQL)
 def ml_fit_predict(t: Tables) -> DataFrame:
     data = training(t)
-    return models.score(data, models.fit_glm(data, NUMERIC, CATEGORICAL))
+    return _sums(models.score(data, models.fit_glm(data, NUMERIC, CATEGORICAL)), "prediction", 1e-5)
 
 
-@query()
+@query(SUMS_SQL)
+def ml_save_refit(t: Tables) -> DataFrame:
+    """The unfitted chain is saved, read back and fitted again; so is the fitted one, which then predicts the same."""
+    data, path = training(t), scratch_path(t.spark, "chain")
+    models.save_chain([*models.design_stages(NUMERIC, CATEGORICAL), models.glm_stage()], path)
+    models.save_model(models.load_chain(path).fit(data), f"{path}-fitted")
+    return _sums(models.score(data, models.load_model(f"{path}-fitted")), "prediction", 1e-5)
+
+
+@query(SUMS_SQL)
 def logit_predict(t: Tables) -> DataFrame:
-    return models.logit_predict(training(t), NUMERIC, CATEGORICAL)
+    return _sums(models.logit_predict(training(t), NUMERIC, CATEGORICAL), "probability", 1e-2)
+
+
+@query(f"""SELECT label, n_chars, lang, CAST(place - 1 AS DOUBLE) AS lang_index FROM {PREPARED_SQL} JOIN (
+             SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) AS place FROM {PREPARED_SQL} GROUP BY lang) USING (lang)""")
+def ml_index_frequency(t: Tables) -> DataFrame:
+    """The most frequent category gets index 0."""
+    return models.index_categories(prepared(t), CATEGORICAL, "frequencyDesc")
 
 
 @query("""SELECT 'lang' AS "column", count(DISTINCT lang) AS n_levels, count(DISTINCT lang) >= 2 AS usable FROM documents

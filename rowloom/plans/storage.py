@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rowloom.operators import quality
 from rowloom.plans.registry import Tables, query
 from rowloom.session import scratch_path
 from rowloom.sources import files, generators, tables
@@ -62,6 +63,25 @@ def orc_roundtrip(t: Tables) -> DataFrame:
     return files.read_orc(t.spark, path)
 
 
+@query("SELECT n_nationkey, n_name || ' é' AS n_name FROM nation")
+def json_encoding(t: Tables) -> DataFrame:
+    """Latin-1 files are read by naming their encoding."""
+    path = scratch_path(t.spark, "nation_json")
+    named = t.nation.select("n_nationkey", F.concat("n_name", F.lit(" é")).alias("n_name"))
+    named.write.option("encoding", "ISO-8859-1").json(path)
+    return files.read_json(t.spark, path, "n_nationkey int, n_name string", multi_line=False, encoding="ISO-8859-1")
+
+
+@query("SELECT count(*) AS n, 1 AS missing FROM supplier")
+def safe_read(t: Tables) -> DataFrame:
+    """A path that is there is read, one that isn't gives a clear error."""
+    try:
+        quality.safe_read_parquet(t.spark, t.path("supplier") + "-missing")
+    except FileNotFoundError:
+        return quality.safe_read_parquet(t.spark, t.path("supplier")).agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("missing"))
+    raise AssertionError("a missing path was read")
+
+
 @query("""SELECT event_id, user_id, event_type, value, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k
           FROM events""")
 def json_roundtrip(t: Tables) -> DataFrame:

@@ -65,6 +65,8 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
               multi_line: bool = False, encoding: str = "UTF-8") -> DataFrame:
     """Line-wise JSON splits over tasks; ``multi_line`` reads whole files per task."""
     reader = spark.read.option("multiLine", multi_line).option("encoding", encoding)
+    if encoding != "UTF-8" and not multi_line:
+        reader = reader.option("lineSep", "\n")  # Spark can't tell it from the bytes of any encoding
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
