@@ -16,10 +16,9 @@ of ``BUCKETS`` counts for each of at most ``MAX_LANGUAGES`` languages, is bounde
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.llm.common import Memo, pieces, texts
@@ -45,8 +44,8 @@ SCRIPTS = sorted({s for _, s in SCRIPT_STARTS})
 _STARTS = np.array([c for c, _ in SCRIPT_STARTS])
 _KINDS = np.array([SCRIPTS.index(s) for _, s in SCRIPT_STARTS])
 
-#: Runs of letters: word characters that are neither digits nor the underscore.
-WORDS = re.compile(r"[^\W\d_]+")
+#: Runs of letters, with the marks that belong to them.
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 PREDICTED = "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>"
 

@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowloom.llm.common import stored, texts
+from rowloom.llm.common import pieces, stored, texts
 from rowloom.llm.tokens import word_tokenizer
 
 WINDOW = 2048
 #: Combinations of more than two lengths start from so many second lengths per first.
 SPREAD = 12
 SWEEPS = 60
+BATCH_ROWS = 1_000
 
 TOKENS = "doc_id long, ids binary, n long, rest int, block int, rank long, full long"
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
@@ -186,7 +187,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Data
         words, block = word_tokenizer(tokenizer, end_id), TaskContext.get().partitionId()
         end, width = np.array([end_id], words.kind).tobytes(), words.kind.itemsize
         ranks, full = [0] * window, 0
-        for batch in batches:
+        for batch in pieces(batches, BATCH_ROWS):
             ids = [words.encode(t) + end for t in texts(batch["text"])]
             rows = []
             for coded in ids:
@@ -222,7 +223,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
               .select("rest", "block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("before")))
 
     def place(batches):
-        for batch in batches:
+        for batch in pieces(batches, BATCH_ROWS):
             out = {name: [] for name in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
 
             def put(*values):

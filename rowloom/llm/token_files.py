@@ -22,7 +22,7 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowloom.llm.common import stored, texts
+from rowloom.llm.common import pieces, stored, texts
 from rowloom.llm.tokens import word_tokenizer
 from rowloom.session import scratch_path
 
@@ -31,6 +31,7 @@ HEADER = struct.Struct("<4sHHIQI")
 SAMPLE = 256
 #: A file is closed after the document with which it reaches so many ids.
 FILE_IDS = 1 << 22
+BATCH_ROWS = 1_000
 
 MANIFEST = "part int, number int, file string, first_id long, last_id long, n_docs long, n_ids long, doc_ids array<long>"
 
@@ -133,7 +134,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
                  "n_docs": [len(lengths)], "n_ids": [held],
                  "doc_ids": pa.array([doc_ids], pa.list_(pa.int64()))})
 
-        for batch in batches:
+        for batch in pieces(batches, BATCH_ROWS):
             for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
                 coded = words.encode(text) + end
                 ids.append(coded)

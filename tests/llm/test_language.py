@@ -37,7 +37,7 @@ def frame(spark, extra=()):
 
 def test_spans_scripts_and_odd_texts(spark):
     mixed = "good morning to all of our friends guten morgen an alle unsere freunde und die anderen freunde"
-    extra = [(2_000, None, "en"), (2_001, "", "en"), (2_002, "12 34 !!", "de"), (2_003, "φίλους", None), (2_004, mixed, None),
+    extra = [(2_000, None, "en"), (2_001, "", "en"), (2_002, "12 34² ½ ⅷ !!", "de"), (2_003, "φίλους", None), (2_004, mixed, None),
              (2_005, "日本語", None), (2_006, "the friends " * 20_000, None), (None, "unsere freunde", None), (2_004, mixed, None)]
     got = {}
     for r in language.identify(frame(spark, extra)).collect():
