@@ -43,7 +43,7 @@ ASKERS = 4_096
 SAMPLE_ROWS, SAMPLE_HITS = 4_000, 12
 
 ROWS = ("block long, bucket int, docs binary, tokens binary, ranks binary, doc_ids array<string>, sizes binary, keys binary")
-STATE = "doc_id long, n long, vertex long, alone long, tokens binary, ranks binary"
+STATE = "doc_id long, n long, vertex long, alone long, tokens binary"
 
 
 def shingles(words: list[bytes], width: int = WORDS) -> np.ndarray:
@@ -165,14 +165,14 @@ def shared_shingles(docs: DataFrame, width: int, share: int, buckets: int, commo
                                  for t, b in zip(pdf["tokens"], pdf["bucket"])])
         ranks = np.concatenate([np.frombuffer(r, np.uint8) for r in pdf["ranks"]])
         order = np.lexsort((tokens, ranks, owner))
-        owner, tokens, ranks = owner[order], tokens[order], ranks[order]
+        owner, tokens = owner[order], tokens[order]
         ends = np.searchsorted(owner, np.arange(len(sizes) + 1))
         held = np.diff(ends)
         may = (sizes > 0) & (held >= needed(sizes, share))
         rows = [(None if d is None else int(d), int(n), int(k) if m else None, int(n - h) if m else None,
-                 tokens[a:b].tobytes() if m else None, ranks[a:b].tobytes() if m else None)
+                 tokens[a:b].tobytes() if m else None)
                 for d, n, k, m, h, a, b in zip(head["doc_ids"], sizes, keys, may, held, ends[:-1], ends[1:])]
-        return pd.DataFrame(rows, columns=["doc_id", "n", "vertex", "alone", "tokens", "ranks"]).astype(
+        return pd.DataFrame(rows, columns=["doc_id", "n", "vertex", "alone", "tokens"]).astype(
             {"doc_id": "Int64", "vertex": "Int64", "alone": "Int64"})
 
     counted = docs.mapInArrow(split, ROWS).groupBy("bucket").applyInPandas(shared, ROWS)
