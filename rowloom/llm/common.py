@@ -38,7 +38,7 @@ class Memo(dict):
     again outlive a change of generation, so frequent words stay.
     """
 
-    def __init__(self, fill, limit: int = 300_000):
+    def __init__(self, fill, limit: int = 200_000):
         super().__init__()
         self.fill, self.limit, self.old = fill, limit, {}
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowloom.llm.common import Memo, pieces, texts
+from rowloom.llm.common import pieces, texts
 
 TRAIN_ROWS = 20_000
 MAX_LANGUAGES = 256
@@ -29,7 +29,7 @@ BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 #: What a change of language costs, in nats.
 PENALTY = 8.0
-BATCH_ROWS = 2_000
+BATCH_ROWS = 1_000
 
 # First code points of script ranges, and the scripts; what is between letters doesn't matter.
 SCRIPT_STARTS = [(0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
@@ -98,15 +98,15 @@ class Model:
         # A script that no language writes excludes none.
         self.writes[~self.writes.any(1)] = True
 
-    def score(self, words: list[str]) -> list[np.ndarray]:
-        """Per word its log probability in each language; far below that for languages of other scripts."""
+    def score(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its log probability in each language; far below that for languages of other scripts."""
         bucket, owner = grams_of(words)
         order = np.argsort(owner, kind="stable")
         owner, bucket = owner[order], bucket[order]
         first = np.searchsorted(owner, np.arange(len(words)))
         scores = np.add.reduceat(self.table[bucket], first, axis=0)
         scores = np.where(self.writes[scripts_of(words)], scores, scores.min(1, keepdims=True) - 50.0)
-        return list(scores.astype(np.float32))
+        return scores.astype(np.float32)
 
 
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
@@ -198,16 +198,15 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = PENALTY) -> D
     judged one by one.
     """
     def label(batches):
-        known = Memo(model.score) if model else {}
         for batch in pieces(batches, BATCH_ROWS):
             split = [words_of(t) for t in texts(batch["text"])]
             pred, sure, spans = ["und"] * len(split), [0.0] * len(split), [[] for _ in split]
             used = [i for i, s in enumerate(split) if s and model]
-            scores = []
-            if used:
-                known.learn(w for i in used for w in split[i])
-            for i in used:
-                scores.append(np.stack([known[w] for w in split[i]]))
+            # Each different word of the batch is scored once.
+            number: dict[str, int] = {}
+            at = [np.array([number.setdefault(w, len(number)) for w in split[i]], np.int32) for i in used]
+            table = model.score(list(number)) if used else None
+            scores = [table[rows] for rows in at]
             for i, own, path in zip(used, scores, viterbi(scores, penalty) if used else ()):
                 letters = np.bincount(path, [len(w) for w in split[i]], len(model.languages))
                 best = int(letters.argmax())
