@@ -74,6 +74,7 @@ def frequent_words(training: DataFrame, share: float = CONTEXT_SHARE) -> list[by
                                               "n": pa.array([total, *often.values()], pa.int64())})
 
     counted = training.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "lm-frequent")  # it is read twice
     total = counted.filter(F.col("word") == F.lit(END)).select("n").scalar()
     listed = counted.filter((F.col("word") != F.lit(END)) & (F.col("n") >= share * total)).collect()  # 1 / share at most
     return [bytes(r["word"]) for r in sorted(listed, key=lambda r: (-r["n"], bytes(r["word"])))]
