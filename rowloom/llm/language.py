@@ -30,6 +30,8 @@ GRAMS = (1, 2, 3, 4)
 #: What a change of language costs, in nats.
 PENALTY = 8.0
 BATCH_ROWS = 1_000
+#: Words whose n-grams are in memory at a time.
+SCORED_WORDS = 8_192
 
 # First code points of script ranges, and the scripts; what is between letters doesn't matter.
 SCRIPT_STARTS = [(0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
@@ -161,9 +163,10 @@ def learn(training: DataFrame, limit: int = TRAIN_ROWS) -> Model | None:
                 words = [w for s, l in zip(split, langs) if l == lang for w in s]
                 if not words:
                     continue
-                for kind, values, weights in ((0, grams_of(words)[0], None),
-                                              (1, scripts_of(words), np.array([len(w) for w in words]))):
-                    n = np.bincount(values, weights)
+                grams = sum(np.bincount(grams_of(words[i:i + SCORED_WORDS])[0], minlength=BUCKETS)
+                            for i in range(0, len(words), SCORED_WORDS))
+                letters = np.bincount(scripts_of(words), [len(w) for w in words])
+                for kind, n in ((0, grams), (1, letters)):
                     for i in np.flatnonzero(n).tolist():
                         found[lang, kind, i] = int(n[i])
             keys = list(found)
@@ -205,7 +208,9 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = PENALTY) -> D
             # Each different word of the batch is scored once.
             number: dict[str, int] = {}
             at = [np.array([number.setdefault(w, len(number)) for w in split[i]], np.int32) for i in used]
-            table = model.score(list(number)) if used else None
+            words = list(number)
+            table = np.concatenate([model.score(words[i:i + SCORED_WORDS])
+                                    for i in range(0, len(words), SCORED_WORDS)]) if used else None
             scores = [table[rows] for rows in at]
             for i, own, path in zip(used, scores, viterbi(scores, penalty) if used else ()):
                 letters = np.bincount(path, [len(w) for w in split[i]], len(model.languages))
