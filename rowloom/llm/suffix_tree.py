@@ -7,6 +7,10 @@ that the tree keeps of what stands before it.
   between don't change it), or the empty context.  A frequent word is kept as a
   state only if what follows it diverges from what follows at large by GAIN nats
   over all its occurrences.
+* Longer states are the one, two and three words before, whatever words those are.
+  Such a context needs LEAST occurrences in training texts, at any size of the
+  corpus, and must gain GAIN nats over the shorter state, each occurrence foretold
+  from the others.
 * Words that were never seen are spelled by a tree over bytes.  Its states are up to
   DEPTH bytes before, not beyond the start of the word, grown level by level over
   the different words of the corpus and kept by the same test.
@@ -19,8 +23,13 @@ P(x | frequent word) rests on P(x), that on the tree of bytes, that on equal cha
 The words of all texts, with the states before them, are counted in buckets by a
 hash of the word.  Blocks of documents ask each bucket for their own different words
 only and get counts and scores back, so nothing that grows with the corpus is held
-in one place.  States are bounded: a frequent word has CONTEXT_SHARE of all tokens, a
-byte context MIN_SHARE of all places.
+in one place.  Contexts of one to three words are counted and answered in the same
+way, one length after the other, in buckets by a 64-bit hash of the context; they stay
+there, and there are more of them in a larger corpus.  How often a context of k + 1
+words stands in the corpus is how often its last word follows the k before, which the
+length before has counted, so only contexts that reach LEAST are counted.  States that
+every task gets are bounded: a frequent word has CONTEXT_SHARE of all tokens, a byte
+context MIN_SHARE of all places.
 """
 
 from __future__ import annotations
@@ -34,7 +43,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.llm.common import pieces, plain_words, stored, texts
+from rowloom.llm.common import mixed, pieces, plain_words, stored, texts
 
 DEPTH = 6
 MIN_SHARE = 2e-5
@@ -42,6 +51,9 @@ MIN_SHARE = 2e-5
 CONTEXT_SHARE = 3e-3
 #: Nats by which a context must beat the shorter one, over all its occurrences.
 GAIN = 20.0
+#: Words of the longest context, and training occurrences that a context needs.
+ORDER = 3
+LEAST = 10
 BLOCK_ROWS = 2_000
 #: Text bytes for each bucket of words, and blocks that one task answers.
 BUCKET_BYTES = 8 << 20
@@ -51,8 +63,13 @@ EDGE = 32  # the border of words
 END = b"\n"  # the end of a text: no word can be that
 
 BLOCKS = ("block long, bucket int, words binary, counts binary, kinds binary, states binary, state_counts binary, "
-          "doc_ids array<string>, held_out array<boolean>, lengths binary, tokens binary")
+          "doc_ids array<string>, held_out array<boolean>, lengths binary, tokens binary, hashes binary")
 WORDS = "bucket int, words binary, counts binary, kinds binary, states binary, state_counts binary"
+#: Blocks between two lengths of contexts: of each token its word, log probability, and whether what ends there is a candidate.
+READ = ("block long, doc_ids array<string>, held_out array<boolean>, lengths binary, tokens binary, hashes binary, "
+        "counts binary, value binary, often binary")
+PAIRS = "bucket int, pairs binary, contexts binary, counts binary, shorter binary"
+CONTEXTS = "bucket int, pairs binary, counts binary, contexts binary, taken binary, totals binary, free binary"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
@@ -94,7 +111,7 @@ def blocks_of(docs: DataFrame, buckets: int, frequent: list[bytes]) -> DataFrame
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()),
                         *[(c, pa.binary()) for c in ("words", "counts", "kinds", "states", "state_counts")],
                         ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
-                        ("lengths", pa.binary()), ("tokens", pa.binary())])
+                        ("lengths", pa.binary()), ("tokens", pa.binary()), ("hashes", pa.binary())])
     width = len(frequent) + 1
 
     def split(batches):
@@ -112,7 +129,8 @@ def blocks_of(docs: DataFrame, buckets: int, frequent: list[bytes]) -> DataFrame
             training = np.repeat(~np.array(held, bool), lengths)
             # Words in the order of their buckets; then pairs of word and state in that order.
             words = list(numbers)
-            bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in words], np.int64)
+            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(words), np.int64)
             place[order] = np.arange(len(words))
@@ -124,7 +142,7 @@ def blocks_of(docs: DataFrame, buckets: int, frequent: list[bytes]) -> DataFrame
             pair_ends = np.concatenate(([0], np.cumsum(kinds)))[ends]
             rows = [{"block": block, "bucket": -1, "doc_ids": batch["doc_id"].cast(pa.string()).to_pylist(), "held_out": held,
                      "kinds": kinds.astype("<u2").tobytes(), "lengths": lengths.astype("<i8").tobytes(),
-                     "tokens": number.astype("<u4").tobytes()}]
+                     "tokens": number.astype("<u4").tobytes(), "hashes": hashes[order].astype("<u8").tobytes()}]
             for b in np.flatnonzero(np.diff(ends)).tolist():
                 own, pairs = slice(ends[b], ends[b + 1]), slice(pair_ends[b], pair_ends[b + 1])
                 rows.append({"block": block, "bucket": b, "words": b" ".join([words[i] for i in order[own]]),
@@ -364,8 +382,153 @@ def diverging(tree: SuffixTree, level: int, context: np.ndarray, symbol: np.ndar
     return (own >= gain)[inverse]
 
 
+class Followed:
+    """Of a block, the places whose ``level`` words before are a candidate, and their different pairs of context and word.
+
+    Pairs stand in the order of their contexts' buckets.
+    """
+
+    def __init__(self, row, level: int, buckets: int):
+        lengths = np.frombuffer(row["lengths"], "<i8")
+        words = np.frombuffer(row["hashes"], "<u8")[np.frombuffer(row["tokens"], "<u4")]
+        since = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = np.flatnonzero(since >= level)
+        self.at = at[np.frombuffer(row["often"], np.uint8)[at - 1] > 0]
+        context = np.full(len(self.at), level, np.uint64)
+        for d in range(1, level + 1):
+            context = mixed(context ^ words[self.at - d])
+        pair, first, number = np.unique(mixed(context ^ words[self.at]), return_index=True, return_inverse=True)
+        context = context[first]
+        bucket = (context % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(pair), np.int64)
+        place[order] = np.arange(len(pair))
+        self.number, self.pairs, self.contexts = place[number], pair[order], context[order]
+        self.ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def follow(read: DataFrame, level: int, buckets: int) -> DataFrame:
+    """Pairs of context and word in every block: training occurrences, and their summed log probability after the shorter state."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()),
+                        *[(c, pa.binary()) for c in ("pairs", "contexts", "counts", "shorter")]])
+
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                f = Followed(row, level, buckets)
+                training = np.repeat(~np.array(row["held_out"], bool), np.frombuffer(row["lengths"], "<i8"))[f.at]
+                of, value = f.number[training], np.frombuffer(row["value"], "<f4")[f.at][training]
+                counts, shorter = np.bincount(of, minlength=len(f.pairs)), np.bincount(of, value, len(f.pairs))
+                rows = []
+                for b in np.flatnonzero(np.diff(f.ends)).tolist():
+                    own = slice(f.ends[b], f.ends[b + 1])
+                    rows.append({"block": row["block"], "bucket": b, "pairs": f.pairs[own].tobytes(),
+                                 "contexts": f.contexts[own].tobytes(), "counts": counts[own].astype("<u4").tobytes(),
+                                 "shorter": shorter[own].astype("<f4").tobytes()})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return (read.select("block", "held_out", "lengths", "tokens", "hashes", "value", "often")
+            .mapInArrow(ask, "block long, " + PAIRS))
+
+
+def _added(pdf: pd.DataFrame, count: str, real: str) -> tuple[np.ndarray, ...]:
+    """Training pairs of one bucket in ascending order, their contexts, occurrences and summed shorter log probability."""
+    pair, context, n, shorter = (np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (
+        ("pairs", "<u8"), ("contexts", "<u8"), ("counts", count), ("shorter", real)))
+    seen = n > 0
+    pair, first, number = np.unique(pair[seen], return_index=True, return_inverse=True)
+    return (pair, context[seen][first], np.bincount(number, n[seen], len(pair)).astype(np.int64),
+            np.bincount(number, shorter[seen], len(pair)))
+
+
+def contexts_of(followed: DataFrame, gain: float, least: int) -> DataFrame:
+    """Per bucket the kept contexts, and the counts of pairs that belong to one or are candidates for the next length.
+
+    Of a kept context there is its discount, its occurrences and the share that it leaves to the shorter state.
+    """
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        pair, context, n, shorter = _added(pdf, "<u4", "<f4")
+        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": pdf["group"].iloc[0], "pairs": pair.tobytes(),
+                              "contexts": context.tobytes(), "counts": n.astype("<i8").tobytes(),
+                              "shorter": shorter.astype("<f8").tobytes()}])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pair, context, n, shorter = _added(pdf, "<i8", "<f8")
+        context, of = np.unique(context, return_inverse=True)
+        total, kinds, once, twice = (np.bincount(of, v, len(context)) for v in (n, np.ones(len(n)), n == 1, n == 2))
+        taken = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
+        free = taken * kinds / np.maximum(total, 1)
+        shorter = shorter / np.maximum(n, 1)
+        # Each occurrence is judged by the others, else a context seems to foretell what it merely has seen.
+        others = np.maximum(n - 1 - taken[of], 0.0) + (taken * kinds)[of] * np.exp(shorter) - np.where(
+            n == 1, taken[of] * np.exp(shorter), 0.0)
+        with np.errstate(divide="ignore"):
+            longer = np.log(others) - np.log(np.maximum(total[of] - 1, 1))
+        kept = np.bincount(of, n * (longer - shorter), len(context)) >= gain
+        listed = kept[of] | (n >= least)
+        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "pairs": pair[listed].tobytes(),
+                              "counts": n[listed].astype("<i8").tobytes(), "contexts": context[kept].tobytes(),
+                              "taken": taken[kept].tobytes(), "totals": total[kept].tobytes(), "free": free[kept].tobytes()}])
+
+    grouped = followed.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(64))).drop("block")
+    partly = grouped.groupBy("bucket", "group").applyInPandas(add, "group long, " + PAIRS)
+    return stored(partly.groupBy("bucket").applyInPandas(merge, CONTEXTS), "lm-word-contexts", compression="zstd")
+
+
+def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted numbers are in the ascending known ones, and whether they are there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float, least: int) -> DataFrame:
+    """``read`` with the log probabilities after contexts of ``level`` words, where those are kept."""
+    followed = follow(read, level, buckets)
+    contexts = contexts_of(followed, gain, least)
+
+    def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        names = ("pairs", "<u8"), ("counts", "<i8"), ("contexts", "<u8"), ("taken", "<f8"), ("totals", "<f8"), ("free", "<f8")
+        pairs, counts, listed, taken, totals, free = (
+            np.frombuffer(known[c].iloc[0] if len(known) else b"", kind) for c, kind in names)
+        for block, wanted, of in zip(asked["block"], asked["pairs"], asked["contexts"]):
+            n = np.zeros(len(wanted) // 8)
+            at, there = _found(pairs, np.frombuffer(wanted, "<u8"))
+            n[there] = counts[at[there]]
+            at, there = _found(listed, np.frombuffer(of, "<u8"))
+            # After what isn't kept, the shorter state says it all.
+            own, left = np.zeros(len(n)), np.ones(len(n))
+            at = at[there]
+            own[there], left[there] = np.maximum(n[there] - taken[at], 0.0) / totals[at], free[at]
+            rows.append((block, key[0], own.astype("<f4").tobytes(), left.astype("<f4").tobytes(),
+                         (n >= least).astype(np.uint8).tobytes()))
+        return pd.DataFrame(rows, columns=["block", "bucket", "own", "left", "often"])
+
+    def finish(pdf: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        got, f = got.sort_values("bucket"), Followed(pdf.iloc[0], level, buckets)
+        own, left, often_ = (np.frombuffer(b"".join(got[c]), kind) for c, kind in (
+            ("own", "<f4"), ("left", "<f4"), ("often", np.uint8)))
+        value = np.frombuffer(pdf["value"].iloc[0], "<f4").astype(float)
+        value[f.at] = np.logaddexp(value[f.at] + np.log(left[f.number]),
+                                     np.log(np.maximum(own[f.number], np.finfo("f4").tiny)))
+        often = np.zeros(len(value), np.uint8)
+        often[f.at] = often_[f.number]
+        return pdf.assign(value=[value.astype("<f4").tobytes()], often=[often.tobytes()])
+
+    group = F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")
+    asked = followed.select("block", "bucket", "pairs", "contexts", group)
+    known = contexts.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    answers = (asked.groupBy("bucket", "group").cogroup(known.groupBy("bucket", "group"))
+               .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, own binary, left binary, often binary"))
+    return read.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
+
+
 def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_SHARE, gain: float = GAIN,
-          context_share: float = CONTEXT_SHARE, buckets: int | None = None, answered: int = ANSWERED_BLOCKS) -> DataFrame:
+          context_share: float = CONTEXT_SHARE, buckets: int | None = None, answered: int = ANSWERED_BLOCKS,
+          order: int = ORDER, least: int = LEAST) -> DataFrame:
     """Scores of every text of ``docs`` (doc_id, text); learns from rows for which ``held_out`` is false.
 
     Columns as in SCORES: base_score is the add-0.1 unigram score, score the
@@ -397,7 +560,7 @@ def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_
             state, owner = np.frombuffer(of, "<u2").astype(np.int64), np.repeat(at, np.frombuffer(kinds, "<u2"))
             # The bucket knows every pair that any block holds.
             pair = np.searchsorted(found["pair"], owner << 16 | state)
-            value = states.after(state, found["pair_counts"][pair], single[owner]) / np.log(10)
+            value = states.after(state, found["pair_counts"][pair], single[owner])
             rows.append((block, key[0], found["counts"][at].tobytes(), value.astype("<f4").tobytes()))
         return pd.DataFrame(rows, columns=["block", "bucket", "counts", "scores"])
 
@@ -411,17 +574,36 @@ def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_
     smooth = 0.1 * (n_kinds + 1)
 
     def finish(pdf: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        out, row = [], pdf.iloc[0]
-        got = got.sort_values("bucket")
-        counts = np.repeat(np.concatenate([np.frombuffer(c, "<i8") for c in got["counts"]]), np.frombuffer(row["kinds"], "<u2"))
-        value = np.concatenate([np.frombuffer(v, "<f4") for v in got["scores"]]).astype(float)
-        base = np.log10((counts + 0.1) / (n_all + smooth))
-        tokens, ends = np.frombuffer(row["tokens"], "<u4"), np.cumsum(np.frombuffer(row["lengths"], "<i8"))
-        for doc_id, held, start, stop in zip(row["doc_ids"], row["held_out"], np.concatenate(([0], ends[:-1])), ends):
-            own = tokens[start:stop]
-            out.append((None if doc_id is None else int(doc_id), held, len(own), int((counts[own] > 0).sum()), n_all,
-                        float(base[own].sum()), float(value[own].sum())))
-        return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "kinds", "lengths", "tokens")
-    return texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, SCORES)
+        row, got = pdf.iloc[0], got.sort_values("bucket")
+        kinds, pair = np.frombuffer(row["kinds"], "<u2"), np.frombuffer(row["tokens"], "<u4")
+        counts = np.concatenate([np.frombuffer(c, "<i8") for c in got["counts"]])
+        tokens = np.repeat(np.arange(len(kinds)), kinds)[pair]
+        value = np.concatenate([np.frombuffer(v, "<f4") for v in got["scores"]])[pair]
+        return pd.DataFrame([{
+            "block": row["block"], "doc_ids": row["doc_ids"], "held_out": row["held_out"], "lengths": row["lengths"],
+            "tokens": tokens.astype("<u4").tobytes(), "hashes": row["hashes"], "counts": counts.tobytes(),
+            "value": value.tobytes(), "often": (counts >= least)[tokens].astype(np.uint8).tobytes()}])
+
+    texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "kinds", "lengths", "tokens", "hashes")
+    read = texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
+    for level in range(1, order + 1):
+        read = lengthen(stored(read, "lm-read", compression="zstd"), level, buckets, groups, gain, least)
+
+    def scores(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts, tokens = (np.frombuffer(row[c], kind) for c, kind in (("counts", "<i8"), ("tokens", "<u4")))
+                base = np.log10((counts + 0.1) / (n_all + smooth))
+                value, ends = np.frombuffer(row["value"], "<f4").astype(float), np.cumsum(np.frombuffer(row["lengths"], "<i8"))
+                out = []
+                for doc_id, held, start, stop in zip(row["doc_ids"], row["held_out"], np.concatenate(([0], ends[:-1])), ends):
+                    own = tokens[start:stop]
+                    out.append((None if doc_id is None else int(doc_id), held, len(own), int((counts[own] > 0).sum()), n_all,
+                                float(base[own].sum()), float(value[start:stop].sum() / np.log(10))))
+                columns = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(),
+                                                              pa.float64(), pa.float64()))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return read.mapInArrow(scores, SCORES)

@@ -120,3 +120,50 @@ def test_query_equals_brute_force(spark, tables):
     got = op4_suffix_tree(spark, SMALL).collect()
     assert base_of(got) == brute_base(rows, [zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows])
     assert all(r.score < 0 for r in got)
+
+
+def test_contexts_of_rare_words_and_of_several_words_are_states(spark):
+    """No word of these has a share of all tokens; what follows is settled by one, two or three words before."""
+    draw = np.random.default_rng(5)
+    filler = [f"f{i}" for i in range(400)]
+    pad = lambda: " ".join(draw.choice(filler, 6))
+    rows = []
+    for i in range(1_200):
+        a, b, c = draw.integers(0, 2, 3)
+        # y is told by the word before; z by the second one before and it; v by all three.
+        rows.append((i, f"{pad()} r{i % 40} y{i % 40} {pad()} p{a} q{b} z{a ^ b} {pad()} s{a} t{b} u{c} v{a ^ b ^ c}"))
+    docs = frame(spark, rows)
+
+    def total(order, least):
+        got = suffix_tree.score(docs, F.col("test"), context_share=0.5, order=order, least=least).filter("held_out").collect()
+        return sum(r.score for r in got) / sum(r.held_out for r in got)
+
+    by_order = [total(order, 10) for order in range(4)]
+    # A context of one word settles y; the others settle one bit each.
+    assert by_order[1] - by_order[0] > 1 and by_order[2] - by_order[1] > 0.2 and by_order[3] - by_order[2] > 0.2
+    assert total(3, 10_000) == pytest.approx(by_order[0], abs=1e-3)
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_context_counts_equal_brute_force(spark, buckets):
+    """A context is counted exactly, over all blocks, from its least count on."""
+    rows = [(i, "a b c d " * (i % 3) + f"e{i % 5} b c x{i % 7}") for i in range(1, 120)]
+    want = Counter()
+    for d, t in rows:
+        words = t.split() if d % 3 else []
+        for i in range(3, len(words) + 1):
+            want[tuple(words[i - 3:i])] += 1
+    seen = {}
+
+    def of(followed, gain, least, real=suffix_tree.contexts_of):
+        found = real(followed, -1e9, least)
+        seen[len(seen) + 1] = found.collect()
+        return found
+
+    kept, suffix_tree.contexts_of = suffix_tree.contexts_of, of
+    try:
+        suffix_tree.score(frame(spark, rows), F.col("test"), buckets=buckets, answered=1, least=4).collect()
+    finally:
+        suffix_tree.contexts_of = kept
+    totals = [n for r in seen[3] for n in np.frombuffer(r["totals"], "<f8")]
+    assert sorted(totals) == sorted(n for n in want.values() if n >= 4)
