@@ -26,7 +26,7 @@ ROUNDS = 12
 #: Part by which a shard may be too large between rounds; the end puts that right.
 SLACK = 0.1
 BINS = 32
-#: Rows of a hub; fewer if that is half a shard.
+#: Rows of a hub that look up its shard in one task, about.  Deals out work; what a hub holds is up to half a shard.
 MOST_ROWS = 20_000
 #: Rows that one task numbers at a time, about.
 RANKED_ROWS = 5_000
@@ -70,14 +70,18 @@ def granted(flow: np.ndarray, load: np.ndarray, quota: np.ndarray) -> np.ndarray
 
 
 def propagate(linked: DataFrame, quota: list[int], rounds: int = ROUNDS, bins: int = BINS) -> DataFrame:
-    """Rounds of moves over rows (group, chunk, shard, ...); the same rows with new shards."""
+    """Rounds of moves over rows (group, chunk, slice, shard, ...); the same rows with new shards.
+
+    The slices of a hub, from 0, vote together and look up its shard one by one.
+    """
     spark, shards = linked.sparkSession, len(quota)
     for turn in range(rounds):
-        votes = linked.groupBy("group", "chunk", "shard").agg(F.count(F.lit(1)).alias("_n"))
+        votes = linked.groupBy("group", "chunk", "shard").agg(F.count(F.lit(1)).alias("_n"), F.max("slice").alias("_last"))
         # Ties go to a shard that differs from hub to hub.
         first = F.max_by("shard", F.struct("_n", F.xxhash64("group", "chunk", "shard")))
-        hubs = votes.groupBy("group", "chunk").agg(first.alias("_to"))
-        asking = linked.join(hubs, ["group", "chunk"]).withColumn(
+        hubs = votes.groupBy("group", "chunk").agg(first.alias("_to"), F.max("_last").alias("_last"))
+        hubs = hubs.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))).drop("_last")
+        asking = linked.join(hubs, ["group", "chunk", "slice"]).withColumn(
             "_bin", F.pmod(F.xxhash64("group", "chunk", F.lit(turn)), F.lit(bins)).cast("int"))
         asking = stored(asking, "shard-requests")
         flow = np.zeros((shards, shards, bins), np.int64)
@@ -130,12 +134,15 @@ def place(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
         F.when(text.isNotNull(), F.xxhash64(text, F.octet_length(text))).alias("group")), "shard-rows")
     rows = base.count()
     quota = quotas(rows, shards)
-    room = max(1, min(max(quota[-1] // 2, min(quota[-1], 64)), MOST_ROWS))
+    room = max(1, quota[-1] // 2, min(quota[-1], 64))
     buckets = max(64, rows // RANKED_ROWS)
     same = (base.filter(F.col("group").isNotNull()).groupBy("group").agg(F.count(F.lit(1)).alias("_size"))
             .filter("_size > 1"))
+    chunks = F.ceil(F.col("_size") / room)
     tagged = stored(base.join(same, "group", "left")
-                    .withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.ceil(F.col("_size") / room))), "shard-linked")
+                    .withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), chunks))
+                    .withColumn("slice", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.ceil(F.col("_size") / chunks / MOST_ROWS))),
+                    "shard-linked")
     linked = (tagged.filter(F.col("_size").isNotNull()).drop("_size")
               .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")))
     linked = propagate(linked, quota, rounds)

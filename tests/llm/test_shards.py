@@ -69,3 +69,12 @@ def test_query_keeps_copies_together(spark, tables):
     check(rows, got, 40)
     groups = sum(c > 1 for c in Counter(t for _, t in rows).values())
     assert cut(got) <= 0.2 * groups + 1
+
+
+def test_groups_that_fit_into_half_a_shard_stay_whole(spark, monkeypatch):
+    """However many rows one task looks up: 60 of 480 rows a shard are far from half of it."""
+    monkeypatch.setattr(shards, "MOST_ROWS", 5)
+    rows = [(i, f"text {i // 60}" if i < 960 else f"own {i}") for i in range(3_840)]
+    got = shards.place(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 8).collect()
+    check(rows, got, 8)
+    assert cut(got) <= 2
