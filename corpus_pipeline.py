@@ -2,8 +2,9 @@
 
 Each stage gets the documents that the stage before it kept and returns those
 that it keeps, with the same columns; the last one returns the pieces of packed
-sequences.  Between stages the documents are written and read again.  Rows that
-share a doc_id, null included, stay or go together.
+sequences.  Between stages the documents are written and read again.  A stage
+numbers the rows that it gets and decides on each of them, whatever their doc_ids:
+rows that share one, null included, stay or go one by one.
 """
 
 from __future__ import annotations
@@ -18,28 +19,49 @@ from rowloom.llm.queries import TOKENIZER
 LEAST_SCORE = 0.5
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the doc_ids of ``rejected``."""
-    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_rejected")), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row in ``_key``, written once so that it stays the same."""
+    return stored(docs.withColumn("_key", F.monotonically_increasing_id()), "pipeline-keyed", compression="zstd")
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """The texts, named by the keys of their rows."""
+    return keyed.select(F.col("_key").alias("doc_id"), "text")
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose keys aren't among the doc_ids of ``rejected``, without keys."""
+    return keyed.join(rejected.select(F.col("doc_id").alias("_key")), "_key", "left_anti").drop("_key")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that the classifier chain finds toxic; it learns from the labels of this corpus."""
-    chain = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity.score(docs, chain).filter("rejected"))
+    keyed = _keyed(docs)
+    chain = toxicity.learn(keyed.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return _without(keyed, toxicity.score(_by_key(keyed), chain).filter("rejected")).select(docs.columns)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that have no letter or whose language isn't clear."""
-    found = language.identify(docs)
-    return _without(docs, found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE)))
+    keyed = _keyed(docs)
+    own = keyed.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    model = language.learn(own.filter(~language.held_out(F.col("doc_id"))), language.TRAIN_ROWS)
+    found = language.predict(_by_key(keyed).withColumn("text", F.col("text").cast("string")), model, language.PENALTY)
+    return _without(keyed, found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))).select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, five words a shingle, four fifths in common: the smallest doc_id."""
-    groups = near_copies.group_copies(docs, width=5, share=80)
-    return _without(docs, groups.filter(F.col("doc_id") != F.col("component_id")))
+    """One document of each group of near copies, five words a shingle, four fifths in common: the smallest doc_id.
+
+    Of several rows with that doc_id the first one stays; a null doc_id comes last.
+    """
+    keyed = _keyed(docs)
+    groups = near_copies.group_copies(_by_key(keyed), width=5, share=80).select(F.col("doc_id").alias("_key"), "component_id")
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col("_key"))
+    # Names of components are keys, so nothing is null; the groups are summed up before they meet in a task.
+    kept = (keyed.select("doc_id", "_key").join(groups, "_key").groupBy("component_id").agg(F.min(first).alias("_first"))
+            .select(F.col("_first._key").alias("_key")))
+    return keyed.join(kept, "_key", "left_semi").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from rowloom.llm.common import alnum_words, pieces, texts
+from rowloom.llm.common import alnum_words, pieces, stored, texts
 
 WIDTH = 10
 #: UTF-8 bytes of benchmark texts in a block.
@@ -183,6 +183,7 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` without the documents that hold a window; those with a null doc_id are judged together."""
-    affected = matches(docs, benchmark, width).filter("n_hit > 0").select(F.col("doc_id").alias("_affected")).distinct()
-    return docs.join(affected, docs["doc_id"].eqNullSafe(F.col("_affected")), "left_anti")
+    """``docs`` without the documents that hold a window; rows are judged one by one, whatever their doc_ids."""
+    keyed = stored(docs.withColumn("_key", F.monotonically_increasing_id()), "benchmark-keyed", compression="zstd")
+    affected = matches(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark, width).filter("n_hit > 0")
+    return keyed.join(affected.select(F.col("doc_id").alias("_key")), "_key", "left_anti").select(docs.columns)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from conftest import SMALL
 from rowloom.llm import decontaminate, language, near_copies, toxicity
@@ -39,3 +41,27 @@ def test_empty_and_odd_documents(spark):
 def test_run_ends_in_packed_pieces(spark):
     assert corpus_pipeline.run(spark, SMALL).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "learn", lambda docs, labels: None)
+    monkeypatch.setattr(toxicity, "score", lambda docs, chain: docs.select("doc_id", F.col("text").startswith("bad").alias("rejected")))
+    monkeypatch.setattr(language, "learn", lambda docs, limit: None)
+    monkeypatch.setattr(language, "predict", lambda docs, model, penalty: docs.select(
+        "doc_id", F.lit("en").alias("lang_pred"), F.when(F.col("text").startswith("bad"), 0.0).otherwise(1.0).alias("score")))
+    item = max((r.text for r in table(spark, SMALL, "benchmark").collect() if r.text), key=len)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def kept(stage, rows):
+        docs = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], schema).repartition(3)
+        got = stage(spark, docs, SMALL)
+        assert got.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+
+    for stage, text in ((corpus_pipeline.drop_toxic, "bad words"), (corpus_pipeline.keep_languages, "bad words"),
+                        (corpus_pipeline.drop_leaks, f"bad {item}")):
+        clean = [(None, "good one"), (None, "another good one"), (7, "a third good one")]
+        assert kept(stage, [*clean, (None, text), (7, text), (8, text)]) == sorted(clean, key=str), stage
+    long = "one two three four five six seven eight nine ten"
+    rows = [(5, long), (5, long), (3, long + " eleven"), (None, long), (None, "x y z"), (None, "x y z"), (2, "p q"), (2, "r s")]
+    assert kept(corpus_pipeline.drop_copies, rows) == sorted([(3, long + " eleven"), (None, "x y z"), (2, "p q"), (2, "r s")], key=str)
