@@ -78,7 +78,8 @@ def frequent_words(training: DataFrame, share: float = CONTEXT_SHARE) -> list[by
     """Words with ``share`` of all tokens, the most frequent first.
 
     A batch reports words that have a twentieth of that share in it, so what a
-    word may lose is a twentieth of what it needs.
+    word may lose is less than a twentieth of what it needs.  Words that are as
+    little short of it by the reports are counted again, exactly.
     """
     def count(batches):
         for batch in pieces(batches, BLOCK_ROWS):
@@ -92,9 +93,23 @@ def frequent_words(training: DataFrame, share: float = CONTEXT_SHARE) -> list[by
 
     counted = training.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = stored(counted, "lm-frequent")  # it is read twice
-    total = counted.filter(F.col("word") == F.lit(END)).select("n").scalar()
-    listed = counted.filter((F.col("word") != F.lit(END)) & (F.col("n") >= share * total)).collect()  # 1 / share at most
-    return [bytes(r["word"]) for r in sorted(listed, key=lambda r: (-r["n"], bytes(r["word"])))]
+    total = counted.filter(F.col("word") == F.lit(END)).agg(F.sum("n").alias("n")).first()["n"] or 0
+    listed = counted.filter((F.col("word") != F.lit(END)) & (F.col("n") >= 0.95 * share * total - 1)).collect()
+    found = {bytes(r["word"]): r["n"] for r in listed}
+    unsure = frozenset(w for w, n in found.items() if n < share * total)
+
+    def recount(batches):
+        again = Counter()
+        for batch in pieces(batches, BLOCK_ROWS):
+            for text in texts(batch["text"]):
+                again.update(w for w in plain_words(text) if w in unsure)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(again, pa.binary()), "n": pa.array(again.values(), pa.int64())})
+
+    if unsure:
+        exact = training.select("text").mapInArrow(recount, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        found |= {bytes(r["word"]): r["n"] for r in exact.collect()}
+    found = {w: n for w, n in found.items() if n >= share * total}
+    return sorted(found, key=lambda w: (-found[w], w))
 
 
 def _states(tokens: np.ndarray, lengths: np.ndarray, state_of: np.ndarray) -> np.ndarray:

@@ -167,3 +167,12 @@ def test_context_counts_equal_brute_force(spark, buckets):
         suffix_tree.contexts_of = kept
     totals = [n for r in seen[3] for n in np.frombuffer(r["totals"], "<f8")]
     assert sorted(totals) == sorted(n for n in want.values() if n >= 4)
+
+
+def test_frequent_words_are_counted_exactly(spark):
+    """4 of 1,000 tokens are too few for the second batch to report, and without them the word has 196 of 200."""
+    rows = [(1, "w " * 196 + "a " * 803), (2, "w " * 4 + "b " * 995)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    assert suffix_tree.frequent_words(docs, 0.1) == [b"b", b"a", b"w"]
+    assert suffix_tree.frequent_words(docs, 0.101) == [b"b", b"a"]
+    assert suffix_tree.frequent_words(docs.limit(0), 0.1) == []
