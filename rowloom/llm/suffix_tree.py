@@ -273,7 +273,7 @@ def _contexts(joined: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for d in range(depth):
         before = np.zeros(n, np.int64)
-        before[d:] = joined[:n - d]
+        before[d:] = joined[:max(n - d, 0)]
         key |= before << (8 * d)
     return key
 
