@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, shards, sql, suffix_tree,
-                         token_files, toxicity)
+                         token_counts, token_files, toxicity)
 from rowloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +70,11 @@ def op10_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies.group_copies(table(spark, folder, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text, and whether they are more than 4096."""
+    return token_counts.count_tokens(table(spark, folder, "documents"), PIECES, limit=4096)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
