@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, shards, sql, suffix_tree,
-                         token_counts, token_files, toxicity)
+from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, resampling, shards, sql,
+                         suffix_tree, token_counts, token_files, toxicity)
 from rowloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +75,11 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), PIECES, limit=4096)
 
 
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the documents drawn towards the words of the benchmark; every document's score."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

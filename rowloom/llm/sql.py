@@ -60,4 +60,31 @@ WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN.format(
 SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
 FROM docs d JOIN reach ON reach.a = d.r JOIN docs o ON o.r = reach.b LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r, d.doc_id"""
 
-ALL = {"op5_decontaminate": OP5, "op9_licenses": OP9, "op10_near_copies": OP10}
+OP12 = f"""
+WITH crc_table AS (SELECT list(v ORDER BY n) AS crcs FROM (
+         SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+         FROM (SELECT unnest(range(256)) AS n))),
+     docs AS (SELECT row_number() OVER () AS r, doc_id, {ALNUM.format(TEXT)} AS w FROM documents),
+     own AS (SELECT r, unnest(w) AS f FROM docs),
+     aimed AS (SELECT unnest({ALNUM.format(TEXT)}) AS f FROM benchmark),
+     known AS (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(CAST(strlen(f) AS BIGINT)), lambda i:
+                   16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+                   lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+               FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM own UNION SELECT f FROM aimed)), crc_table),
+     s AS (SELECT bucket, count(*) AS n FROM own JOIN known USING (f) GROUP BY bucket),
+     t AS (SELECT bucket, count(*) AS n FROM aimed JOIN known USING (f) GROUP BY bucket),
+     gains AS (SELECT bucket, CAST(floor(1000 * ln(
+                   (CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (CAST(coalesce((SELECT sum(n) FROM s), 0) AS DOUBLE) + 10000)
+                   / ((CAST(s.n AS DOUBLE) + 1) * (CAST(coalesce((SELECT sum(n) FROM t), 0) AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+               FROM s LEFT JOIN t USING (bucket)),
+     means AS (SELECT r, count(*) AS n, sum(gain) AS total FROM own JOIN known USING (f) JOIN gains USING (bucket) GROUP BY r),
+     noise AS (SELECT r, doc_id, len(w) AS words, CAST(floor(-1000 * ln(-ln((CAST(list_reduce(list_prepend(0, list_transform(range(8), lambda i:
+                   instr('0123456789abcdef', h[i + 1]) - 1)), lambda c, b: 16 * c + b) AS DOUBLE) + 0.5) / 4294967296.0))) AS BIGINT) AS g
+               FROM (SELECT *, sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM docs)),
+     scored AS (SELECT r, doc_id, words, coalesce(n, 0) AS n_features,
+                       CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight, g FROM noise LEFT JOIN means USING (r)),
+     drawn AS (SELECT r, row_number() OVER (ORDER BY weight + g DESC, doc_id NULLS LAST) AS k FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, weight + g AS score, CASE WHEN k <= (SELECT count(*) FROM drawn) * 10 // 100 THEN k END AS rank
+FROM scored LEFT JOIN drawn USING (r)"""
+
+ALL = {"op5_decontaminate": OP5, "op9_licenses": OP9, "op10_near_copies": OP10, "op12_resampling": OP12}
