@@ -31,6 +31,18 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def word_slices(cleaned: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between ASCII white space, those of about ``size`` bytes at a time; words stay whole."""
+    start = 0
+    while len(cleaned) - start > size:
+        end = cleaned.find(b" ", start + size)
+        if end < 0:
+            break
+        yield cleaned[start:end].split()
+        start = end
+    yield cleaned[start:].split()
+
+
 class Memo(dict):
     """A dictionary that fills itself and forgets: at most two generations of ``limit`` entries.
 

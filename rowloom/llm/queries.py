@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import (decontaminate, language, licenses, near_copies, neighbours, packing, resampling, shards, sql,
-                         suffix_tree, token_counts, token_files, toxicity)
+from rowloom.llm import (decontaminate, divergence, language, licenses, near_copies, neighbours, packing, resampling,
+                         shards, sql, suffix_tree, token_counts, token_files, toxicity)
 from rowloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,11 @@ def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the sources of each language differ from each other and from the language."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.llm.common import alnum_words, stored, texts
+from rowloom.llm.common import ALNUM, stored, texts, word_slices
 from rowloom.operators.windows import global_row_number
 
 POLYNOMIAL = 0xEDB88320
@@ -87,9 +87,9 @@ class Shift:
 SHIFT = Shift()
 
 
-def running(words: list[bytes]) -> np.ndarray:
-    """CRC of the words so far, joined by spaces, at the end of each word."""
-    crc, ends = 0, []
+def running(words: list[bytes], before: int = 0) -> np.ndarray:
+    """CRC of the words so far, joined by spaces, at the end of each word; ``before`` is that of the text in front of them."""
+    crc, ends = before, []
     for word in words:
         crc = crc32(word, crc)
         ends.append(crc)
@@ -97,16 +97,27 @@ def running(words: list[bytes]) -> np.ndarray:
     return np.array(ends, np.uint32)
 
 
+def scan_text(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Running CRCs and lengths of all words of a text."""
+    crcs, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    crc = 0
+    for words in word_slices(text.translate(ALNUM)):
+        if words:
+            crcs.append(running(words, crc))
+            sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
+            crc = crc32(b" ", int(crcs[-1][-1]))
+    return np.concatenate(crcs), np.concatenate(sizes)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per row its doc_id, number of words, running CRCs and lengths of words (``SCANNED``)."""
     def read(batches):
         for batch in batches:
             counts, ends, lengths, long = [], [], [], []
             for text in texts(batch["text"]):
-                words = alnum_words(text)
-                size = np.fromiter(map(len, words), np.int64, len(words))
-                counts.append(len(words))
-                ends.append(running(words).tobytes())
+                crcs, size = scan_text(text)
+                counts.append(len(size))
+                ends.append(crcs.tobytes())
                 lengths.append(np.minimum(size, LONG).astype(np.uint8).tobytes())
                 long.append(size[size >= LONG].tolist())
             yield pa.RecordBatch.from_pydict({

@@ -87,4 +87,29 @@ WITH crc_table AS (SELECT list(v ORDER BY n) AS crcs FROM (
 SELECT doc_id, n_features, weight, weight + g AS score, CASE WHEN k <= (SELECT count(*) FROM drawn) * 10 // 100 THEN k END AS rank
 FROM scored LEFT JOIN drawn USING (r)"""
 
-ALL = {"op5_decontaminate": OP5, "op9_licenses": OP9, "op10_near_copies": OP10, "op12_resampling": OP12}
+LETTERS = r"regexp_extract_all(" + LOWER + r", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {LETTERS.format(TEXT)} AS w FROM documents),
+     occ AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+     kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+     langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+     cells AS (SELECT lang, source, term, count(*) AS n FROM occ JOIN kept USING (lang, term) GROUP BY ALL),
+     sides AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs)
+               LEFT JOIN cells USING (lang, source) GROUP BY ALL),
+     prices AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+                       1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.n + v)::HUGEINT AS p,
+                       1 + (1000000000::HUGEINT * (k.n + 1)) // (l.n + v)::HUGEINT AS q
+                FROM sides s JOIN langs l ON s.lang = l.lang JOIN kept k ON k.lang = s.lang
+                     LEFT JOIN cells c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+     met AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+             FROM prices a JOIN prices b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     result AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+                FROM sides a JOIN sides b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN met m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+                UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM prices WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM result)
+WHERE part = 'pair' OR rank <= 200"""
+
+ALL = {"op5_decontaminate": OP5, "op9_licenses": OP9, "op10_near_copies": OP10, "op12_resampling": OP12, "op13_divergence": OP13}

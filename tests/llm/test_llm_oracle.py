@@ -13,4 +13,4 @@ def test_same_as_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries()) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries()) == list(range(1, 14))

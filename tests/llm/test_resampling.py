@@ -41,6 +41,15 @@ def test_runs_from_prefixes(width, chunk):
     assert got == want
 
 
+def test_long_texts_are_scanned_in_slices():
+    text = b"Some words-of a text  " * 120_000
+    crcs, sizes = resampling.scan_text(text)
+    words = alnum_words(text)
+    assert sizes.tolist() == [len(w) for w in words] and len(text) > 2 << 20
+    assert crcs[-1] == crc32(b" ".join(words)) and crcs[300_000] == crc32(b" ".join(words[:300_001]))
+    assert [a.tolist() for a in resampling.scan_text(b" - ")] == [[], []]
+
+
 def plain(docs, target, width, buckets, percent, least):
     def runs(text):
         w = alnum_words((text or "").encode())
