@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from rowloom.session import stored
+from rowloom.session import release, stored
 
 MAX_GROUP_ROWS = 1_000_000
 
@@ -72,7 +72,10 @@ def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROU
     if max_rows is None:
         return None
     hot = stored(hot_groups(df, keys, max_rows), "hot-keys")
-    return None if hot.isEmpty() else hot
+    if hot.isEmpty():
+        release(hot)
+        return None
+    return hot
 
 
 def spread_by_hash(columns: Sequence[str], parts: Column | int) -> Column:
@@ -121,6 +124,7 @@ def range_slices(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: s
     hot = find_hot(df, keys, max_rows)
     if hot is None:
         return df, []
+    release(hot)
     slices = 1 + 2 * df.count() // max_rows
     dealt = df.repartitionByRange(slices, *[F.col(f"`{k}`").asc_nulls_first() for k in keys],
                                   *ordering(order_by, tie_break, descending))

@@ -8,6 +8,7 @@ from rowloom.operators import aggregate, joins, layout, pandas_ops, windows
 from rowloom.operators.ordering import top_n
 from rowloom.plans.joining import SKEWED_SQL, skewed_events
 from rowloom.plans.registry import Tables, query
+from rowloom.session import scratch
 from rowloom.sources.tables import staged
 
 
@@ -84,6 +85,19 @@ def staging_table(t: Tables) -> DataFrame:
                                                F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@query("""SELECT o_orderpriority, count(*) AS n_customers, CAST(sum(n) AS BIGINT) AS n_orders FROM
+          (SELECT o_orderpriority, o_custkey, count(*) AS n FROM orders GROUP BY o_orderpriority, o_custkey)
+          WHERE n > 1 GROUP BY o_orderpriority""")
+def staging_released(t: Tables) -> DataFrame:
+    """A staged table with two readers, dropped as soon as the report is stored."""
+    with scratch(t.spark) as own:
+        kept = staged(t.orders.groupBy("o_orderpriority", "o_custkey").agg(F.count(F.lit(1)).alias("n")))
+        often = kept.filter("n > 1")
+        report = (often.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_customers"))
+                  .join(often.groupBy("o_orderpriority").agg(F.sum("n").alias("n_orders")), "o_orderpriority"))
+        return own.hand_over(report, "report")
+
+
 @query(f"SELECT skew_key, count(*) AS n, max(event_id) AS last_id FROM {SKEWED_SQL} GROUP BY skew_key")
 def skew_group_by(t: Tables) -> DataFrame:
     """Grouping is not hurt by skew: rows are combined before the shuffle."""

@@ -97,7 +97,7 @@ def json_roundtrip(t: Tables) -> DataFrame:
 
 @query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY n_regionkey")
 def table_read_sql(t: Tables) -> DataFrame:
-    name = tables.fresh_name("nation")
+    name = tables.fresh_name("nation", t.spark)
     tables.save_table(t.nation, name, scratch_path(t.spark, "nation"))
     return t.spark.sql(f"SELECT n_regionkey, count(*) AS n FROM {name} GROUP BY n_regionkey")
 
@@ -105,7 +105,7 @@ def table_read_sql(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
 def insert_into_positional(t: Tables) -> DataFrame:
     """The incoming columns are in another order than the table's."""
-    name, path = tables.fresh_name("customer"), scratch_path(t.spark, "customer")
+    name, path = tables.fresh_name("customer", t.spark), scratch_path(t.spark, "customer")
     t.spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_mktsegment STRING, c_acctbal DOUBLE) "
                 f"USING PARQUET LOCATION '{path}'")
     tables.insert_positional(t.customer.select("c_acctbal", "c_custkey", "c_mktsegment"), name)
@@ -130,8 +130,8 @@ def partitioned_write_prune(t: Tables) -> DataFrame:
                  o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""")
 def dynamic_partition_overwrite(t: Tables) -> DataFrame:
     """Only the year that comes in is replaced."""
-    name = tables.fresh_name("orders_by_year")
-    tables.save_table(_by_year(t), name, scratch_path(t.spark, name), partition_by=["o_year"])
+    name = tables.fresh_name("orders_by_year", t.spark)
+    tables.save_table(_by_year(t), name, scratch_path(t.spark, "table"), partition_by=["o_year"])
     incoming = _by_year(t).filter(F.col("o_year") == 1998).withColumn("o_totalprice", F.lit(0.0))
     tables.insert_positional(incoming, name)
     return t.spark.table(name)
@@ -141,11 +141,11 @@ def dynamic_partition_overwrite(t: Tables) -> DataFrame:
           FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderpriority""")
 def bucketed_join(t: Tables) -> DataFrame:
     """Both tables bucketed on the order key, so the join itself needs no shuffle; as many buckets as the larger needs."""
-    orders, lines = tables.fresh_name("orders_b"), tables.fresh_name("lineitem_b")
+    orders, lines = tables.fresh_name("orders_b", t.spark), tables.fresh_name("lineitem_b", t.spark)
     buckets = tables.bucket_count(t.lineitem)
-    tables.save_table(t.orders, orders, scratch_path(t.spark, orders), buckets=buckets,
+    tables.save_table(t.orders, orders, scratch_path(t.spark, "orders_b"), buckets=buckets,
                       bucket_by=["o_orderkey"], sort_by=["o_orderkey"])
-    tables.save_table(t.lineitem, lines, scratch_path(t.spark, lines), buckets=buckets,
+    tables.save_table(t.lineitem, lines, scratch_path(t.spark, "lineitem_b"), buckets=buckets,
                       bucket_by=["l_orderkey"], sort_by=["l_orderkey"])
     joined = t.spark.table(orders).join(t.spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderpriority").agg(
@@ -155,9 +155,9 @@ def bucketed_join(t: Tables) -> DataFrame:
 @query("""SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey""")
 def partitioned_bucketed_table(t: Tables) -> DataFrame:
     """One folder per status, bucketed by customer inside: the filter prunes folders, the grouping needs no shuffle."""
-    name = tables.fresh_name("orders_pb")
+    name = tables.fresh_name("orders_pb", t.spark)
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    kept = tables.save_table(orders, name, scratch_path(t.spark, name), partition_by=["o_orderstatus"],
+    kept = tables.save_table(orders, name, scratch_path(t.spark, "table"), partition_by=["o_orderstatus"],
                              buckets=tables.bucket_count(orders), bucket_by=["o_custkey"], sort_by=["o_custkey"])
     return kept.filter(F.col("o_orderstatus") == "F").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
@@ -165,7 +165,7 @@ def partitioned_bucketed_table(t: Tables) -> DataFrame:
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def table_overwrite(t: Tables) -> DataFrame:
     """A managed table written twice: the second write replaces the first, other columns included."""
-    name = tables.fresh_name("suppliers")
+    name = tables.fresh_name("suppliers", t.spark)
     t.supplier.select("s_suppkey").write.mode("overwrite").saveAsTable(name)
     t.supplier.select("s_suppkey", "s_name", "s_acctbal").write.mode("overwrite").saveAsTable(name)
     return t.spark.table(name)
@@ -174,7 +174,7 @@ def table_overwrite(t: Tables) -> DataFrame:
 @query("""SELECT o_orderpriority, round(avg(o_totalprice), 2) AS mean_price FROM orders
           GROUP BY o_orderpriority ORDER BY o_orderpriority""")
 def sql_view_avg(t: Tables) -> DataFrame:
-    return tables.create_view(t.spark, tables.fresh_name("mean_price"), f"""
+    return tables.create_view(t.spark, tables.fresh_name("mean_price", t.spark), f"""
         SELECT o_orderpriority, round(avg(o_totalprice), 2) AS mean_price
         FROM parquet.`{t.path('orders')}` GROUP BY o_orderpriority ORDER BY o_orderpriority""")
 

@@ -1,7 +1,7 @@
 """Catalog tables and views.
 
-Tables are created with an explicit path, so their files lie in the shared
-folder and not in a warehouse directory of the driver's machine.
+Tables that are not to last have names and paths in the current scratch (see
+``rowloom.session``), so they and their files go with it.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowloom.operators.skew import attach, find_hot, spread_by_hash
-from rowloom.session import scratch_path
+from rowloom.session import current_scratch, stored
 
 
-def fresh_name(prefix: str) -> str:
-    """A table or view name that no other run uses."""
-    return f"{prefix}_{uuid.uuid4().hex}"
+def fresh_name(prefix: str, spark: SparkSession | None = None) -> str:
+    """A table or view name that no other run uses; with a session it lies in the current scratch."""
+    return f"{prefix}_{uuid.uuid4().hex}" if spark is None else current_scratch(spark).table_name(prefix)
 
 
 def save_table(df: DataFrame, name: str, path: str, *, mode: str = "errorifexists",
@@ -59,9 +59,11 @@ def _by_bucket(df: DataFrame, buckets: int, bucket_by: Sequence[str]) -> DataFra
 
 
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
-    """Write the frame and go on from the written table; its plan starts at a scan."""
-    table = fresh_name(name)
-    return save_table(df, table, scratch_path(df.sparkSession, name))
+    """Write the frame and go on from the written table; its plan starts at a scan.
+
+    The table goes with the current scratch, or by ``session.release`` as soon as its last reader has run.
+    """
+    return stored(df, name)
 
 
 def insert_positional(df: DataFrame, table: str, overwrite: bool = True) -> None:

@@ -1,6 +1,7 @@
 """Files, tables and the scratch folder."""
 
 import glob
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -16,7 +17,7 @@ class FakeContext:
     """As much of a SparkContext as the scratch folder asks for."""
 
     def __init__(self, master, checkpoint_dir=None):
-        self.master, self.checkpoint_dir = master, checkpoint_dir
+        self.master, self.checkpoint_dir, self.applicationId = master, checkpoint_dir, "fake"
 
     def getCheckpointDir(self):
         return self.checkpoint_dir
@@ -27,13 +28,13 @@ class FakeContext:
 
 def fake_session(master, setting=None):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting or default),
-                           sparkContext=FakeContext(master))
+                           sparkContext=FakeContext(master), sql=lambda text: None)
 
 
 def test_scratch_follows_the_setting():
     spark = fake_session("spark://cluster", "hdfs:///shared/")
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
-    assert a.startswith("hdfs:///shared/rowloom/x-") and a != b
+    assert re.match("hdfs:///shared/rowloom/[0-9a-f]{32}/x-", a) and a != b
     session.ensure_checkpoint_dir(spark)
     assert spark.sparkContext.checkpoint_dir == "hdfs:///shared/"
 
@@ -89,7 +90,7 @@ def test_avro_says_what_is_missing(spark, tmp_path):
 
 
 def test_insert_by_position(spark):
-    name, path = catalog.fresh_name("t"), session.scratch_path(spark, "t")
+    name, path = catalog.fresh_name("t", spark), session.scratch_path(spark, "t")
     spark.sql(f"CREATE TABLE {name} (a INT, b INT) USING PARQUET LOCATION '{path}'")
     catalog.insert_positional(spark.createDataFrame([(2, 1)], "b int, a int"), name)
     assert rows(spark.table(name)) == [(1, 2)]
@@ -102,9 +103,9 @@ def test_insert_by_position(spark):
 def test_dynamic_overwrite_leaves_the_setting(spark):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    name = catalog.fresh_name("d")
+    name = catalog.fresh_name("d", spark)
     catalog.save_table(spark.createDataFrame([(1, 1), (2, 2)], "v int, p int"), name,
-                       session.scratch_path(spark, name), partition_by=["p"])
+                       session.scratch_path(spark, "table"), partition_by=["p"])
     catalog.insert_positional(spark.createDataFrame([(2, 20)], "p int, v int"), name)
     assert rows(spark.table(name), "p", "v") == [(1, 1), (2, 20)]
     assert spark.conf.get(key) == before
@@ -117,10 +118,10 @@ def test_staged_plan_starts_at_a_scan(spark):
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, tables):
-    a, b = catalog.fresh_name("a"), catalog.fresh_name("b")
-    x = catalog.save_table(tables.orders, a, session.scratch_path(spark, a), buckets=4,
+    a, b = catalog.fresh_name("a", spark), catalog.fresh_name("b", spark)
+    x = catalog.save_table(tables.orders, a, session.scratch_path(spark, "table"), buckets=4,
                            bucket_by=["o_orderkey"], sort_by=["o_orderkey"])
-    y = catalog.save_table(tables.lineitem, b, session.scratch_path(spark, b), buckets=4,
+    y = catalog.save_table(tables.lineitem, b, session.scratch_path(spark, "table"), buckets=4,
                            bucket_by=["l_orderkey"], sort_by=["l_orderkey"])
     joined = x.join(y.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
     assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
@@ -131,14 +132,14 @@ def test_hot_bucket_key_is_written_by_several_tasks(spark, monkeypatch):
     df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
     real = catalog.find_hot
     monkeypatch.setattr(catalog, "find_hot", lambda frame, keys: real(frame, keys, 500))
-    name, path = catalog.fresh_name("hot"), session.scratch_path(spark, "hot")
+    name, path = catalog.fresh_name("hot", spark), session.scratch_path(spark, "hot")
     table = catalog.save_table(df, name, path, buckets=4, bucket_by=["k"])
     assert setops.frames_equal(table, df)
     files_of_key = table.filter("k = 7").select(F.input_file_name()).distinct().count()
     assert files_of_key > 3
-    cold = catalog.fresh_name("cold")
+    cold = catalog.fresh_name("cold", spark)
     monkeypatch.setattr(catalog, "find_hot", real)
-    catalog.save_table(df, cold, session.scratch_path(spark, cold), buckets=4, bucket_by=["k"])
+    catalog.save_table(df, cold, session.scratch_path(spark, "table"), buckets=4, bucket_by=["k"])
     assert spark.table(cold).select(F.input_file_name()).distinct().count() == 4
 
 
