@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.operators.joins import join_back
-from rowloom.operators.skew import MAX_GROUP_ROWS, attach
+from rowloom.operators.narrowing import elements_at
+from rowloom.operators.skew import MAX_GROUP_ROWS, attach, frequent_hashes, position, with_keys
 from rowloom.operators.windows import running_total
 
 
@@ -114,29 +115,29 @@ def cramers_v(df: DataFrame, rows: str, columns: str, name: str = "cramers_v") -
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probabilities: Mapping[str, float],
                     max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Quantiles that are elements of the data, exact, one named column each.
+    """Quantiles that are elements of the data, one named column each: the element at ceil(p * n).
 
-    Values are counted first, and a running count over them, in slices where a
-    group has very many, finds the element at ceil(p * n).
+    Groups of up to ``max_rows`` rows are sorted; larger ones are narrowed down by sketches and proving counts
+    (``rowloom.operators.narrowing``), and their rows are not moved.  For text and
+    other columns without a position on a line values are counted, and a running count finds the element.
     """
-    known = df.filter(F.col(column).isNotNull())
-    return _placed_values(known, keys, column, max_rows).groupBy(*keys).agg(*[
-        F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.lit(p) * F.col("_n")), F.lit(1)),
-                     F.col(column))).alias(name)
-        for name, p in probabilities.items()])
+    def place(p: float):
+        return lambda n: F.greatest(F.ceil(F.lit(p) * n), F.lit(1))
+
+    if position(df, column) is None and max_rows is not None:
+        known = df.filter(F.col(column).isNotNull())
+        return _placed_values(known, keys, column, max_rows).groupBy(*keys).agg(*[
+            F.min(F.when(F.col("_upto") >= place(p)(F.col("_n")), F.col(column))).alias(name)
+            for name, p in probabilities.items()])
+    return elements_at(df, keys, column, {name: place(p) for name, p in probabilities.items()}, max_rows)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median",
                  max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Median per key, the mean of the middle two for an even count; found as G17."""
-    known = df.filter(F.col(column).isNotNull())
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-
-    def element(place: Column) -> Column:
-        return F.min(F.when(F.col("_upto") >= place, F.col(column)))
-
-    return (_placed_values(known, keys, column, max_rows).groupBy(*keys)
-            .agg(((element(lower) + element(upper)) / 2.0).alias(name)))
+    middle = {"_lower": lambda n: F.floor((n + 1) / 2), "_upper": lambda n: F.floor((n + 2) / 2)}
+    return (elements_at(df, keys, column, middle, max_rows)
+            .select(*keys, ((F.col("_lower") + F.col("_upper")) / 2.0).alias(name)))
 
 
 def _placed_values(df: DataFrame, keys: Sequence[str], column: str, max_rows: int | None) -> DataFrame:
@@ -176,3 +177,16 @@ def key_skew(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .withColumn("pct", F.col("n") * 100.0 / F.col("total"))
             .withColumn("to_mean", F.col("n") * F.col("keys") / F.col("total"))
             .drop("total", "keys"))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """The keys that hold more than ``share`` of all rows, with their rows and percentage.
+
+    A sketch names the candidates, which one more narrow pass counts exactly; other keys are not shuffled.
+    """
+    if share < 1 / 5_000:
+        raise ValueError("a sketch finds only keys that hold more than a 5,000th of the rows")
+    rows = df.count()
+    likely = frequent_hashes(df, keys).filter(F.col("n") > share * rows).select("key")  # fewer than 5,000 longs
+    counts = with_keys(df, keys, likely).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > share * rows).withColumn("pct", F.col("n") * 100.0 / rows)

@@ -4,16 +4,22 @@ A window or join sends all rows of one key to one task.  When a key may hold a
 third of the table that task never ends, so every operator that groups raw rows
 goes through this module:
 
-* ``find_hot`` counts rows per key (partial aggregation, so skew-proof) and
-  keeps the keys above a limit in a written table.  There may be any number of
-  them; the table is joined to what needs it and never comes to the driver, and
+* ``likely_hot`` keeps a summary of frequent keys per task (Spark's frequent-items
+  sketch of key hashes) and merges these in two steps.  No key is shuffled but those that a
+  summary holds, so looking costs one narrow pass.
+* ``find_hot`` counts the rows of these few keys exactly and keeps the keys above a
+  limit in a written table.  It is joined to what needs it and never comes to the driver, and
   whether it is broadcast is decided by Spark's own check of its size.
 * ``range_slices`` deals the rows out by Spark's range partitioning over the keys,
   the order column and the tie-break, and freezes the result in a written table,
   so that an ordered window runs per (key, slice) and only a small per-slice
   summary has to be combined per key.  Any type that can be sorted will do.
 
-The count is one job when the operator is applied, so operators with a
+A sketch holds ``TRACKED`` keys.  With no more different keys than that it is exact; else a key
+with more than about 1 / 5,000 of all rows is always found, and one with fewer may be missed.  A miss never changes a
+result: the key's rows then meet in one task, which takes its time.
+
+The look is one job when the operator is applied, so operators with a
 ``max_rows`` are not lazy.  Without hot keys, the usual case, nothing else is added
 and the plan is the plain window or join.  ``max_rows=None`` leaves out the count
 where groups are known to be small, as the groups of an aggregated table are.
@@ -28,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from rowloom.session import release, stored
 
 MAX_GROUP_ROWS = 1_000_000
+#: Keys in a sketch of frequent ones, and tasks that merge those of all tasks.
+TRACKED, MERGING_TASKS = 32_768, 64
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -63,15 +71,46 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROW
             .withColumn("_parts", F.ceil(2 * F.col("_n") / max_rows).cast("int")))
 
 
+def key_hash(keys: Sequence[str]) -> Column:
+    """A long that is the same for equal keys, null ones too."""
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+def frequent_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key, n): hashes of frequent keys and upper bounds of their rows, at most ``TRACKED`` rows; lazy."""
+    hashed = df.select(key_hash(keys).alias("_key"), (F.spark_partition_id() % MERGING_TASKS).alias("_task"))
+    sketches = hashed.groupBy("_task").agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED})").alias("_sketch"))
+    merged = sketches.groupBy((F.col("_task") * 0).alias("_all")).agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"))
+    found = F.expr(f"approx_top_k_estimate(_sketch, {TRACKED})")
+    return merged.select(F.inline(found)).toDF("key", "n")
+
+
+def likely_hot(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
+    """(key): hashes of keys that may hold more than ``max_rows`` rows, at most ``TRACKED`` longs, or None.
+
+    They come to the driver and go back as a local table, so it may be broadcast at any size of the data.
+    """
+    found = [(r["key"],) for r in frequent_hashes(df, keys).filter(F.col("n") > max_rows).collect()]
+    return df.sparkSession.createDataFrame(found, "key long") if found else None
+
+
+def with_keys(df: DataFrame, keys: Sequence[str], hashes: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose key hash is (``left_semi``) or isn't (``left_anti``) among ``hashes``; narrow."""
+    return df.join(F.broadcast(hashes), key_hash(keys) == F.col("key"), how)
+
+
 def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame | None:
-    """``hot_groups`` as a written table, or None if there are none.
+    """``hot_groups`` of the frequent keys as a written table, or None if there are none.
 
     Written, so the counts are not computed again by each use and all uses see
     the same hot keys.
     """
     if max_rows is None:
         return None
-    hot = stored(hot_groups(df, keys, max_rows), "hot-keys")
+    likely = likely_hot(df, keys, max_rows) if keys else None
+    if keys and likely is None:
+        return None
+    hot = stored(hot_groups(with_keys(df, keys, likely) if keys else df, keys, max_rows), "hot-keys")
     if hot.isEmpty():
         release(hot)
         return None

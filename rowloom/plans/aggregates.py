@@ -173,8 +173,7 @@ def quantiles(t: Tables) -> DataFrame:
 @query("""SELECT c_nationkey, quantile_disc(c_acctbal, 0.25) AS q1, quantile_disc(c_acctbal, 0.5) AS q2,
                  quantile_disc(c_acctbal, 0.75) AS q3 FROM customer GROUP BY c_nationkey""")
 def group_quantiles(t: Tables) -> DataFrame:
-    """The low limit makes nations hot at test size too."""
-    return aggregate.exact_quantiles(t.customer, ["c_nationkey"], "c_acctbal", QUARTERS, max_rows=50)
+    return aggregate.exact_quantiles(t.customer, ["c_nationkey"], "c_acctbal", QUARTERS)
 
 
 @query("SELECT quantile_disc(o_totalprice, 0.5) AS exact, true AS near FROM orders")
@@ -208,3 +207,10 @@ def yearly_counts(t: Tables) -> DataFrame:
           FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)""")
 def key_skew(t: Tables) -> DataFrame:
     return aggregate.key_skew(t.lineitem, ["l_suppkey"])
+
+
+@query("""SELECT lang, source, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents) AS pct
+          FROM documents GROUP BY lang, source HAVING count(*) > 0.05::DOUBLE * (SELECT count(*) FROM documents)""")
+def heavy_keys(t: Tables) -> DataFrame:
+    """Groups of documents that hold more than a twentieth of the table, found without shuffling the others."""
+    return aggregate.heavy_keys(t.documents, ["lang", "source"], 0.05)

@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from helpers import rows
-from rowloom.operators import aggregate, joins, setops, skew, windows
+from helpers import plan, rows
+from rowloom.operators import aggregate, joins, narrowing, setops, skew, windows
 
 
 def awkward_rows():
@@ -130,7 +130,7 @@ def test_top_ranked_keeps_all_ties(frame):
     assert rows(windows.top_ranked(frame, ["k"], "o", 3), "id", "rank") == rows(want)
 
 
-@pytest.mark.parametrize("max_rows", [3, 1_000_000])
+@pytest.mark.parametrize("max_rows", [50, 1_000_000])
 def test_exact_median_and_quantiles(frame, max_rows):
     want = frame.filter("v is not null").groupBy("k").agg(F.median("v"))
     assert rows(aggregate.exact_median(frame, ["k"], "v", max_rows=max_rows)) == rows(want)
@@ -139,6 +139,66 @@ def test_exact_median_and_quantiles(frame, max_rows):
     assert list(got.first()) == frame.approxQuantile("id", at, 0.0)
 
 
+def heavy_values(kind):
+    """Values with heavy ties at the ends of what lies between, extremes, and a few of everything."""
+    r = random.Random(9)
+    values = [0.0] * 700 + [1.0] * 900 + [r.random() for _ in range(400)] + [-1e308, 1e308, float("inf"), float("-inf")] + [float("nan")] * 60
+    values += [r.gauss(0, 1e6) for _ in range(500)] + [None] * 50
+    if kind == "long":
+        values = [None if v is None or v != v or abs(v) > 1e9 else int(v * 1000) for v in values] + [2**62 + i % 7 for i in range(300)]
+    r.shuffle(values)
+    return [(("a", "b", None)[i % 3] if i % 5 else f"k{i % 50}", v) for i, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("kind, max_rows, tracked", [("double", 5, 32_768), ("long", 100, 32_768), ("long", 40, 16)])
+def test_elements_are_found_by_narrowing(spark, monkeypatch, kind, max_rows, tracked):
+    monkeypatch.setattr(narrowing, "KLL", 30)
+    monkeypatch.setattr(narrowing, "GRID", 20)
+    monkeypatch.setattr(skew, "TRACKED", tracked)
+    df = spark.createDataFrame(heavy_values(kind), f"k string, v {kind}").repartition(4)
+    at = {f"p{i}": (lambda n, p=p: F.greatest(F.ceil(F.lit(p) * n), F.lit(1))) for i, p in enumerate((0.0, 0.3, 0.5, 0.97, 1.0))}
+    for keys in (["k"], []):
+        assert str(rows(narrowing.elements_at(df, keys, "v", at, max_rows))) == str(rows(narrowing.elements_at(df, keys, "v", at, None)))
+
+
+@pytest.mark.parametrize("kind", ["decimal(30,2)", "date", "timestamp", "string"])
+def test_quantiles_of_other_types(spark, kind):
+    numbers = spark.range(500).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 503).alias("n"))
+    made = {"date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("n").cast("int")),
+            "timestamp": F.timestamp_seconds(F.col("n") * 1_000_000), "string": F.format_string("t%04d", F.col("n"))}
+    df = numbers.select("k", made.get(kind, F.col("n").cast(kind)).alias("v"))
+    want = aggregate.exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.5}, None)
+    assert rows(aggregate.exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.5}, 20)) == rows(want)
+    assert want.schema["a"].dataType == df.schema["v"].dataType
+
+
+def test_looking_for_hot_keys_shuffles_no_keys(spark):
+    df = spark.range(5_000).withColumn("k", F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")))
+    text = plan(skew.frequent_hashes(df, ["k"]))
+    assert "hashpartitioning(_task" in text or "hashpartitioning(_groupingexpression" in text
+    assert "hashpartitioning(k" not in text and "hashpartitioning(_key" not in text
+    hot = skew.find_hot(df, ["k"], 1_000)
+    assert rows(hot, "k", "_n") == [(-1, 2_500)]
+    assert skew.find_hot(df.limit(0), ["k"], 10) is None
+
+
+def test_missed_hot_keys_cost_no_result(spark, monkeypatch):
+    """More hot keys than a sketch holds: some are missed, all results stay."""
+    monkeypatch.setattr(skew, "TRACKED", 16)
+    df = spark.range(4_000).select((F.col("id") % 200).alias("k"), "id")
+    want = rows(df.select("id", F.row_number().over(Window.partitionBy("k").orderBy("id"))))
+    assert rows(windows.ranked(df, ["k"], "id", "id", False, max_rows=10), "id", "row_number") == want
+    totals = df.select("id", F.sum("id").over(Window.partitionBy("k")))
+    assert rows(windows.partition_totals(df, ["k"], "id", total="t", max_rows=10), "id", "t") == rows(totals)
+
+
+def test_heavy_keys_are_exact(spark):
+    df = spark.range(10_000).select(F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 10 == 1, "x").otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows(aggregate.heavy_keys(df, ["k"], 0.05)) == [(None, 2_500, 25.0), ("x", 1_000, 10.0)]
+    with pytest.raises(ValueError):
+        aggregate.heavy_keys(df, ["k"], 1e-6)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_forms_equal_plain_join(spark, frame, how):
     right = spark.createDataFrame([("ties", 1), ("ties", 2), ("k1", 3), (None, 4)], "k string, x int")
