@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.session import stored  # noqa: F401
+from rowloom.session import release, scratch, stored  # noqa: F401
 
 #: A-Z become a-z; every other ASCII character that is no letter or digit becomes a space.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -89,6 +89,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def free_name(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def passing(docs: DataFrame, compute: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+            passes: Callable[[pa.RecordBatch], np.ndarray], rows: int) -> DataFrame:
+    """The rows of ``docs`` that pass, all columns as they are: judged in the pass that reads them.
+
+    ``compute`` gets batches of (doc_id, text), doc_ids null, and returns one row for each, in their order;
+    ``passes`` says which of these pass.
+    """
+    place = [c.lower() for c in docs.columns].index("text")
+
+    def choose(batches):
+        for batch in pieces(batches, rows):
+            text = batch.column(place).cast(pa.string())
+            plain = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], names=["doc_id", "text"])
+            good = [passes(found) for found in compute(iter([plain])) if found.num_rows]
+            yield batch.filter(pa.array(np.concatenate(good), pa.bool_())) if good else batch
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in batches:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from rowloom.llm.common import alnum_words, pieces, stored, texts
+from rowloom.llm.common import alnum_words, passing, pieces, texts
 
 WIDTH = 10
 #: UTF-8 bytes of benchmark texts in a block.
@@ -135,7 +135,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_byt
     wordless items match nothing; rows with equal ids are documents or items of
     their own; an empty benchmark leaves all documents clean.
     """
-    context = docs.sparkSession.sparkContext
+    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return plain.mapInArrow(searcher(benchmark, width, block_bytes), HITS)
+
+
+def searcher(benchmark: DataFrame, width: int, block_bytes: int = BLOCK_BYTES):
+    """What ``matches`` does with batches of (doc_id, text)."""
+    context = benchmark.sparkSession.sparkContext
     blocks = [context.broadcast(b) for b in benchmark_blocks(benchmark, width, block_bytes)]
 
     def search(batches):
@@ -170,8 +176,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_byt
                 "items": pa.array([sorted(found_items.get(d, ()), key=str) for d in range(n)], pa.list_(pa.int64())),
                 "matches": pa.array([found.get(d, []) for d in range(n)], MATCHES)})
 
-    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(search, HITS)
+    return search
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -183,7 +188,8 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` without the documents that hold a window; rows are judged one by one, whatever their doc_ids."""
-    keyed = stored(docs.withColumn("_key", F.monotonically_increasing_id()), "benchmark-keyed", compression="zstd")
-    affected = matches(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark, width).filter("n_hit > 0")
-    return keyed.join(affected.select(F.col("doc_id").alias("_key")), "_key", "left_anti").select(docs.columns)
+    """``docs`` without the documents that hold a window, all columns as they are, whatever their names.
+
+    Rows are judged one by one in the pass that reads them, whatever their doc_ids.
+    """
+    return passing(docs, searcher(benchmark, width), lambda found: found["n_hit"].to_numpy() == 0, SHARD_ROWS)

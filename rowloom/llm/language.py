@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowloom.llm.common import pieces, texts
+from rowloom.llm.common import passing, pieces, texts
 
 TRAIN_ROWS = 20_000
 MAX_LANGUAGES = 256
@@ -49,7 +49,7 @@ _KINDS = np.array([SCRIPTS.index(s) for _, s in SCRIPT_STARTS])
 #: Runs of letters, with the marks that belong to them.
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
-PREDICTED = "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>"
+PREDICTED = "doc_id long, lang_pred string, score double, certainty double, spans array<struct<lang:string,first_word:long,words:long>>"
 
 
 def words_of(text: bytes) -> list[str]:
@@ -198,12 +198,28 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = PENALTY) -> D
     times how sure the words of these spans are of it: the logistic function of
     their lead over the next best language, over the square root of their number.  Texts that are null or have no
     letter, and all texts if nothing was learned, get ``und`` and 0.  Rows are
-    judged one by one.
+    judged one by one.  ``certainty`` is the mean over all letters of how sure the words of
+    their language are, whatever the parts of the languages.
     """
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(labeler(model, penalty), PREDICTED)
+
+
+def clear_texts(docs: DataFrame, model: Model | None, least: float, penalty: float = PENALTY) -> DataFrame:
+    """The rows of ``docs`` with a language and a certainty of at least ``least``, all columns as they are."""
+    def clear(found: pa.RecordBatch) -> np.ndarray:
+        named = np.array([lang != "und" for lang in found["lang_pred"].to_pylist()], bool)
+        return named & (found["certainty"].to_numpy() >= least)
+
+    return passing(docs, labeler(model, penalty), clear, BATCH_ROWS)
+
+
+def labeler(model: Model | None, penalty: float = PENALTY):
+    """What ``predict`` does with batches of (doc_id, text)."""
     def label(batches):
         for batch in pieces(batches, BATCH_ROWS):
             split = [words_of(t) for t in texts(batch["text"])]
             pred, sure, spans = ["und"] * len(split), [0.0] * len(split), [[] for _ in split]
+            certain = [0.0] * len(split)
             used = [i for i, s in enumerate(split) if s and model]
             # Each different word of the batch is scored once.
             number: dict[str, int] = {}
@@ -215,19 +231,23 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = PENALTY) -> D
             for i, own, path in zip(used, scores, viterbi(scores, penalty) if used else ()):
                 letters = np.bincount(path, [len(w) for w in split[i]], len(model.languages))
                 best = int(letters.argmax())
-                sums = own[path == best].sum(0, dtype=np.float64)
-                margin = (sums[best] - np.delete(sums, best).max(initial=-np.inf)) / np.sqrt((path == best).sum())
-                pred[i] = model.languages[best]
-                sure[i] = float(letters[best] / letters.sum() / (1 + np.exp(-np.clip(margin, -50, 50))))
+                for lang in np.flatnonzero(letters).tolist():
+                    sums = own[path == lang].sum(0, dtype=np.float64)
+                    margin = (sums[lang] - np.delete(sums, lang).max(initial=-np.inf)) / np.sqrt((path == lang).sum())
+                    part = float(letters[lang] / letters.sum() / (1 + np.exp(-np.clip(margin, -50, 50))))
+                    certain[i] += part
+                    if lang == best:
+                        pred[i], sure[i] = model.languages[best], part
                 edges = np.flatnonzero(np.diff(path, prepend=-1)).tolist() + [len(path)]
                 spans[i] = [{"lang": model.languages[path[a]], "first_word": a, "words": b - a}
                             for a, b in zip(edges, edges[1:])]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"], "lang_pred": pred, "score": pa.array(sure, pa.float64()),
+                "certainty": pa.array(certain, pa.float64()),
                 "spans": pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()),
                                                              ("words", pa.int64())])))})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(label, PREDICTED)
+    return label
 
 
 def held_out(doc_id: Column) -> Column:

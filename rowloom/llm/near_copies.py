@@ -29,7 +29,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.llm.common import mixed, pieces, plain_words, stored, texts
+from rowloom.llm.common import mixed, pieces, plain_words, release, scratch, stored, texts
 
 WORDS = 4
 SHARE = 85  # hundredths
@@ -279,6 +279,7 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(edges.select(F.col("a").alias("vertex"), F.col("b").alias("other"))
                   .unionByName(edges.select(F.col("b").alias("vertex"), F.col("a").alias("other"))).distinct(), "copies-both")
     top = stored(both.groupBy("vertex").agg(F.least(F.col("vertex"), F.min("other")).alias("top")), "copies-tops")
+    used = top
     while True:
         seen = both.join(top.withColumnsRenamed({"vertex": "other", "top": "_near"}), "other")
         near = seen.groupBy("vertex").agg(F.min("_near").alias("_near"))
@@ -287,7 +288,8 @@ def components(edges: DataFrame) -> DataFrame:
         higher = top.select(F.col("vertex").alias("top"), F.col("top").alias("_higher"))
         after = stored(moved.join(higher, "top", "left").select(
             "vertex", "_before", F.least("top", F.coalesce("_higher", "top")).alias("top")), "copies-tops")
-        top = after.select("vertex", "top")
+        release(used)
+        top, used = after.select("vertex", "top"), after
         if after.filter(F.col("top") != F.col("_before")).isEmpty():
             return top
 
@@ -302,6 +304,11 @@ def group_copies(docs: DataFrame, width: int = WORDS, share: int = SHARE, group_
     linked with nothing.  Repeated rows are documents of their own, linked by
     their equal texts.  A component whose doc_ids are all null has a null name.
     """
+    with scratch(docs.sparkSession) as own:
+        return own.hand_over(_grouped(docs, width, share, group_rows, buckets), "copies-components")
+
+
+def _grouped(docs: DataFrame, width: int, share: int, group_rows: int, buckets: int | None) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     size = plain.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     buckets = buckets or min(60_000, max(64, (size["bytes"] or 0) // BUCKET_BYTES))

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.llm.common import alnum_words, pieces, stored, texts
+from rowloom.llm.common import alnum_words, passing, pieces, scratch, stored, texts
 
 #: Categories in the order of the chain: columns of the labels, 0 or 1.
 CATEGORIES = ("quality", "toxic")
@@ -203,6 +203,11 @@ def learn(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATE
     null texts and null doc_ids are left out.  Without any training rows all
     probabilities are one half and nothing reaches the threshold.
     """
+    with scratch(docs.sparkSession):
+        return _learned(docs, labels, categories, limit, folds, sigmas)
+
+
+def _learned(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], limit: int, folds: int, sigmas: float) -> Chain:
     wanted = (labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(*[F.max(F.col(c).cast("int")).alias(f"_y{i}") for i, c in enumerate(categories)])
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
@@ -267,6 +272,17 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     Null and empty texts hold no words and are never rejected; rows are judged one
     by one.
     """
+    schema = "doc_id long, " + ", ".join(f"p_{c} double" for c in chain.categories) + ", rejected boolean"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(predictor(chain), schema)
+
+
+def without_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
+    """``docs`` without the rows that the chain rejects, all columns as they are; judged in the pass that reads them."""
+    return passing(docs, predictor(chain), lambda found: ~found["rejected"].to_numpy(zero_copy_only=False), BATCH_ROWS)
+
+
+def predictor(chain: Chain):
+    """What ``score`` does with batches of (doc_id, text)."""
     names = [f"p_{c}" for c in chain.categories]
 
     def predict(batches):
@@ -278,5 +294,4 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
                 [batch["doc_id"], *[pa.array(c) for c in p.T], pa.array((p[:, -1] >= chain.thresholds[-1]) & worded)],
                 names=["doc_id", *names, "rejected"])
 
-    schema = "doc_id long, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(predict, schema)
+    return predict
