@@ -43,7 +43,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.llm.common import mixed, pieces, plain_words, stored, texts
+from rowloom.llm.common import mixed, pieces, plain_words, release, scratch, stored, texts
 
 DEPTH = 6
 MIN_SHARE = 2e-5
@@ -499,8 +499,8 @@ def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, known[at] == wanted
 
 
-def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float, least: int) -> DataFrame:
-    """``read`` with the log probabilities after contexts of ``level`` words, where those are kept."""
+def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float, least: int) -> tuple[DataFrame, DataFrame]:
+    """``read`` with the log probabilities after contexts of ``level`` words, where those are kept; and the stored contexts."""
     followed = follow(read, level, buckets)
     contexts = contexts_of(followed, gain, least)
 
@@ -538,7 +538,7 @@ def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float
     known = contexts.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     answers = (asked.groupBy("bucket", "group").cogroup(known.groupBy("bucket", "group"))
                .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, own binary, left binary, often binary"))
-    return read.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
+    return read.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ), contexts
 
 
 def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_SHARE, gain: float = GAIN,
@@ -551,6 +551,12 @@ def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_
     scored one by one, repeated or not; a null ``held_out`` counts as true.
     Without training rows all tokens are unknown.  No rows, no scores.
     """
+    with scratch(docs.sparkSession) as own:
+        return own.hand_over(_scored(docs, held_out, depth, min_share, gain, context_share, buckets, answered, order, least), "lm-scores")
+
+
+def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float, context_share: float,
+            buckets: int | None, answered: int, order: int, least: int) -> DataFrame:
     text = F.col("text").cast("string")
     plain = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
     if buckets is None:
@@ -601,8 +607,12 @@ def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_
 
     texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "kinds", "lengths", "tokens", "hashes")
     read = texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
+    used = [blocks, words]
     for level in range(1, order + 1):
-        read = lengthen(stored(read, "lm-read", compression="zstd"), level, buckets, groups, gain, least)
+        kept = stored(read, "lm-read", compression="zstd")
+        release(*used)  # nothing later reads them
+        read, contexts = lengthen(kept, level, buckets, groups, gain, least)
+        used = [kept, contexts]
 
     def scores(batches):
         for batch in batches:
