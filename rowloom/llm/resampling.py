@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.llm.common import ALNUM, stored, texts, word_slices
+from rowloom.llm.common import ALNUM, scratch, stored, texts, word_slices
 from rowloom.operators.windows import global_row_number
 
 POLYNOMIAL = 0xEDB88320
@@ -228,12 +228,15 @@ def resample(docs: DataFrame, target: DataFrame, width: int = 1, buckets: int =
     those with equal doc_ids have equal noise and may be drawn together.  Without
     target texts all gains come from the documents alone; no rows give no rows.
     """
-    scanned = stored(scan(docs), "resampling-crcs")
-    aimed = scan(target.select(F.lit(None).cast("long").alias("doc_id"), "text"))
-    gains = bucket_gains(bucket_counts(scanned, width, buckets), bucket_counts(aimed, width, buckets), buckets)
-    weighed = weigh(scanned, gains, width, buckets)
-    scores = stored(weighed.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
-                    .withColumn("_row", F.monotonically_increasing_id()), "resampling-scores")
+    spark = docs.sparkSession
+    with scratch(spark) as own:
+        scanned = stored(scan(docs), "resampling-crcs")
+        aimed = scan(target.select(F.lit(None).cast("long").alias("doc_id"), "text"))
+        # ``buckets`` rows each; every total is taken from them too.
+        counts = [stored(bucket_counts(of, width, buckets), "resampling-counts") for of in (scanned, aimed)]
+        weighed = weigh(scanned, bucket_gains(*counts, buckets), width, buckets)
+        scores = own.hand_over(weighed.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
+                               .withColumn("_row", F.monotonically_increasing_id()), "resampling-scores")
     enough = F.col("n_words") >= least_words
     take, cut = lowest_drawn(scores.filter(enough).select("score"), percent)
     shown = ["doc_id", "n_features", "weight", "score"]
