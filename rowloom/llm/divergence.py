@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.llm.common import pieces, stored, texts, word_slices
+from rowloom.llm.common import pieces, scratch, stored, texts, word_slices
 from rowloom.operators.joins import salted_join
 from rowloom.operators.skew import attach
 
@@ -201,6 +201,11 @@ def audit(docs: DataFrame, least_docs: int = 3, top: int = 200) -> DataFrame:
     other columns are not looked at; no rows give no rows.
     """
     plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    with scratch(docs.sparkSession) as own:
+        return own.hand_over(_audited(plain, least_docs, top), "divergence")
+
+
+def _audited(plain: DataFrame, least_docs: int, top: int) -> DataFrame:
     terms = stored(term_table(count_terms(plain), least_docs), "divergence-terms")
     cells = terms.select("lang", "term", F.col("n").alias("lang_n"), F.inline("cells")).withColumnRenamed("n", "own_n")
     langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("lang_total"))
