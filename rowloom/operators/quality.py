@@ -7,13 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowloom.operators.setops import frame_diff
+from rowloom.operators.setops import frame_diff, frames_equal
 
 
 def assert_same_frame(left: DataFrame, right: DataFrame, show: int = 10) -> None:
     """Q1: same columns in the same order and the same bag of rows, or an error with examples."""
     if left.columns != right.columns:
         raise AssertionError(f"columns differ: {left.columns} and {right.columns}")
+    if frames_equal(left, right):
+        return
     examples = frame_diff(left, right).take(show)
     if examples:
         raise AssertionError("rows differ, for example:\n" + "\n".join(map(str, examples)))

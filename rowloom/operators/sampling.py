@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowloom.operators.skew import attach
+
 #: Hash digits by which a stratum's rows are counted at first; and rows of a bucket that are looked at one by one.
 PREFIX_DIGITS, EDGE_ROWS = 4, 100_000
 
@@ -143,23 +145,29 @@ def modulo_split(df: DataFrame, key: str, parts: int, name: str = "part") -> Dat
 
 
 def sample_distribution(df: DataFrame, sample: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows and share per key before and after sampling."""
+    """Rows and share per key before and after sampling; a null key is a key and stays null."""
     def shares(frame: DataFrame, tag: str) -> DataFrame:
         counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{tag}"))
         total = counts.agg(F.sum(f"n_{tag}")).scalar()
         return counts.withColumn(f"pct_{tag}", F.col(f"n_{tag}") * 100.0 / total)
-    return shares(df, "all").join(shares(sample, "sample"), list(keys), "left").fillna(0)
+    added = ["n_sample", "pct_sample"]
+    return attach(shares(df, "all"), shares(sample, "sample"), keys, added).fillna(0, subset=added)
 
 
 def expected_rows(df: DataFrame, sample: DataFrame, column: str, fractions: Mapping[str, float]) -> DataFrame:
-    """Per stratum the expected (count * fraction) and the sampled number of rows."""
-    lookup = _literal_map(fractions)
+    """Per stratum the expected (count * fraction) and the sampled number of rows.
+
+    ``None`` among the fractions is that of the null stratum.
+    """
+    listed = {s: f for s, f in fractions.items() if s is not None}
+    found = F.try_element_at(_literal_map(listed), F.col(column)) if listed else F.lit(None).cast("double")
+    lookup = F.when(F.col(column).isNull(), F.lit(fractions.get(None)).cast("double")).otherwise(found)
     expected = (df.groupBy(column).agg(F.count(F.lit(1)).alias("n_all"))
-                .withColumn("fraction", F.try_element_at(lookup, F.col(column)))
+                .withColumn("fraction", lookup)
                 .filter(F.col("fraction").isNotNull())
                 .withColumn("n_expected", F.round(F.col("n_all") * F.col("fraction")).cast("long")))
     actual = sample.groupBy(column).agg(F.count(F.lit(1)).alias("n_sample"))
-    return expected.join(actual, [column], "left").fillna(0, subset=["n_sample"])
+    return attach(expected, actual, [column], ["n_sample"]).fillna(0, subset=["n_sample"])
 
 
 def validate_sample(df: DataFrame, sample: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from rowloom.operators import sampling, setops
+from rowloom.operators import quality, sampling, setops
 
 
 @pytest.mark.parametrize("size", [0, 1, 37, 999, 1000, 5000])
@@ -111,3 +111,27 @@ def test_null_and_repeated_keys(spark):
     assert sampling.exact_sample(df, "k", 1, size=200).count() == 200
     with pytest.raises(ValueError, match="must be unique"):
         sampling.exact_sample(spark.createDataFrame([(1,)] * 10, "k long"), "k", 1, size=5)
+
+
+def test_null_strata_are_counted(spark):
+    df = spark.createDataFrame([(None, i) for i in range(6)] + [(0, i) for i in range(2)], "k int, v int")
+    got = sampling.sample_distribution(df, df, ["k"])
+    assert rows(got, "k", "n_all", "n_sample", "pct_sample") == [(None, 6, 6, 75.0), (0, 2, 2, 25.0)]
+    got = sampling.sample_distribution(df, df.filter("k = 0"), ["k"])
+    assert rows(got, "k", "n_all", "n_sample") == [(None, 6, 0), (0, 2, 2)]
+    got = sampling.expected_rows(df, df.filter("k is null and v < 3"), "k", {None: 0.5, 0: 0.5})
+    assert rows(got, "k", "n_all", "n_expected", "n_sample") == [(None, 6, 3, 3), (0, 2, 1, 0)]
+    assert rows(sampling.expected_rows(df, df, "k", {0: 1.0}), "k", "n_sample") == [(0, 2)]
+
+
+def test_checksums_tell_bags_of_rows_apart(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (None, "b")], "k int, v string")
+    same = spark.createDataFrame([(None, "b"), (1, None), (2, "a"), (1, None)], "k int, v string").repartition(3)
+    assert setops.frames_equal(df, same) and setops.frames_equal(df.limit(0), same.limit(0))
+    quality.assert_same_frame(df, same)
+    for other in (df.distinct(), df.withColumn("v", F.coalesce("v", F.lit(""))), df.select(F.col("k") + 1, "v").toDF("k", "v"),
+                  df.union(df), df.limit(0)):
+        assert not setops.frames_equal(df, other)
+        with pytest.raises(AssertionError):
+            quality.assert_same_frame(df, other)
+    assert setops.frames_equal(df, df.withColumn("k", F.col("k").cast("long")))
