@@ -11,7 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowloom.operators.skew import attach
+from rowloom.operators.narrowing import elements_at
+from rowloom.operators.skew import MAX_GROUP_ROWS, attach
 
 #: Hash digits by which a stratum's rows are counted at first; and rows of a bucket that are looked at one by one.
 PREFIX_DIGITS, EDGE_ROWS = 4, 100_000
@@ -113,16 +114,31 @@ def exact_stratified_sample(df: DataFrame, column: str, sizes: Mapping[str, int]
     return named.filter(cut.isNull() | (hash_order(key, seed) <= cut))
 
 
-def weighted_sample(df: DataFrame, key: str, weight: str, size: int, seed: int) -> DataFrame:
+def weighted_sample(df: DataFrame, key: str, weight: str, size: int, seed: int,
+                    max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """``size`` rows without replacement, chance in proportion to the weight.
 
     Each row draws -ln(u) / weight from its key's hash; the smallest draws win
-    (Efraimidis and Spirakis).  Rows without a positive weight cannot be drawn.
+    (Efraimidis and Spirakis).  Rows without a positive weight cannot be drawn;
+    all others are taken if there are no more than ``size``.
+
+    The draw that cuts off ``size`` rows is found by sketches and proving counts
+    (``rowloom.operators.narrowing``), so the sample is a narrow filter for any size.  Rows whose draw equals
+    the cut, of which unique keys have hardly ever two, are taken by key.
     """
+    if size <= 0:
+        return df.limit(0)
     draws = (df.filter(F.col(weight) > 0)
              .withColumn("_draw", -F.log(hash_uniform(key, seed)) / F.col(weight)))
-    # Each task keeps its ``size`` smallest draws.
-    return draws.orderBy("_draw", key).limit(size).select(*df.columns)
+    cut = elements_at(draws, [], "_draw", {"cut": lambda n: F.least(F.lit(size), n)}, max_rows).first()
+    if cut is None or cut["cut"] is None:
+        return draws.select(*df.columns)
+    draw, edge = F.col("_draw"), F.lit(cut["cut"])
+    below, ties = draws.agg(F.count_if(draw < edge), F.count_if(draw == edge)).first()
+    if below + ties <= size:
+        return draws.filter(draw <= edge).select(*df.columns)
+    taken = draws.filter(draw == edge).orderBy(key).limit(size - below)
+    return draws.filter(draw < edge).unionByName(taken).select(*df.columns)
 
 
 def random_split(df: DataFrame, weights: Mapping[str, float], key: str, seed: int, name: str = "part") -> DataFrame:

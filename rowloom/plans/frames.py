@@ -8,12 +8,11 @@ from rowloom.session import scratch_path
 from rowloom.sources import files
 
 
-@query("""SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
-          UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 300000""")
+@query("""SELECT o_orderkey, o_totalprice FROM orders
+          UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem""")
 def union_all(t: Tables) -> DataFrame:
-    return setops.union_all([
-        t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice"),
-        t.orders.filter(F.col("o_totalprice") > 300_000).select("o_orderkey", "o_totalprice")])
+    return setops.union_all([t.orders.select("o_orderkey", "o_totalprice"),
+                             t.lineitem.select("l_orderkey", "l_extendedprice")])
 
 
 @query("""SELECT c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, CAST(NULL AS BIGINT) AS supplier_id
@@ -30,12 +29,9 @@ def union_missing_columns(t: Tables) -> DataFrame:
         t.nation.select(F.col("n_name").alias("name"))])
 
 
-@query("SELECT l_partkey, l_suppkey FROM lineitem WHERE l_quantity > 25 UNION "
-       "SELECT l_partkey, l_suppkey FROM lineitem WHERE l_discount > 0.05")
+@query("SELECT o_custkey AS person FROM orders UNION SELECT user_id FROM events")
 def union_distinct(t: Tables) -> DataFrame:
-    pair = ["l_partkey", "l_suppkey"]
-    return setops.union_distinct([t.lineitem.filter(F.col("l_quantity") > 25).select(pair),
-                                  t.lineitem.filter(F.col("l_discount") > 0.05).select(pair)])
+    return setops.union_distinct([t.orders.select(F.col("o_custkey").alias("person")), t.events.select("user_id")])
 
 
 @query("""SELECT l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag <> 'A' EXCEPT ALL

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.operators import sampling
+from rowloom.operators import layout, sampling
 from rowloom.plans.registry import Tables, query
 
 SEED = 42
@@ -96,6 +96,21 @@ def split_modulo(t: Tables) -> DataFrame:
     return sampling.modulo_split(t.orders.select("o_orderkey"), "o_orderkey", 3)
 
 
+@query("""SELECT CAST(i % 3 AS INTEGER) AS part, count(*) AS n, CAST(sum(i) AS BIGINT) AS id_sum, min(i) AS lowest, max(i) AS highest
+          FROM (SELECT row_number() OVER () - 1 AS i FROM lineitem) GROUP BY 1""")
+def split_generated_ids(t: Tables) -> DataFrame:
+    """Parts of a table without a key, by generated ids; without gaps, they differ by one row at most."""
+    split = sampling.modulo_split(layout.numbered_rows(t.lineitem.select("l_orderkey", "l_linenumber")), "row_id", 3)
+    return split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("id_sum"),
+                                     F.min("row_id").alias("lowest"), F.max("row_id").alias("highest"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS row_id FROM orders")
+def ordered_row_ids(t: Tables) -> DataFrame:
+    """Ids that follow an order: range partitions in order, each numbered where it lies."""
+    return layout.numbered_rows(t.orders.select("o_orderkey", "o_totalprice").orderBy("o_totalprice", "o_orderkey")).drop("o_totalprice")
+
+
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '3-MEDIUM'")
 def sample_by_filter(t: Tables) -> DataFrame:
     return t.orders.filter(F.col("o_orderpriority") == "3-MEDIUM").select("o_orderkey", "o_orderpriority")

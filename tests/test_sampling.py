@@ -5,8 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
-from rowloom.operators import quality, sampling, setops
+from helpers import plan, rows
+from rowloom.operators import layout, quality, sampling, setops
 
 
 @pytest.mark.parametrize("size", [0, 1, 37, 999, 1000, 5000])
@@ -135,3 +135,65 @@ def test_checksums_tell_bags_of_rows_apart(spark):
         with pytest.raises(AssertionError):
             quality.assert_same_frame(df, other)
     assert setops.frames_equal(df, df.withColumn("k", F.col("k").cast("long")))
+
+
+@pytest.mark.parametrize("schema, ours, theirs", [
+    ("a int, b int", (1, None), (None, 1)), ("a int, b int, c int", (None, 2, None), (2, None, None)),
+    ("a array<int>", ([1, None],), ([None, 1],)), ("a struct<x: int, y: int>", ((1, None),), ((None, 1),)),
+    ("a struct<x: string>", (("null",),), ((None,),)), ("a string", ("",), (None,))])
+def test_checksums_see_where_nulls_stand(spark, schema, ours, theirs):
+    """Spark's hashes pass over nulls."""
+    left, right = spark.createDataFrame([ours], schema), spark.createDataFrame([theirs], schema)
+    assert setops.frames_equal(left, left) and not setops.frames_equal(left, right)
+    with pytest.raises(AssertionError, match="rows differ"):
+        quality.assert_same_frame(left, right)
+
+
+def test_equal_values_that_print_differently_are_equal(spark):
+    left, right = (spark.createDataFrame([([x],)], "a array<double>") for x in (0.0, -0.0))
+    assert setops.frames_equal(left, right)
+
+
+def test_generated_ids_have_no_gaps_and_stay(spark):
+    df = spark.range(10_000, numPartitions=7).filter("id % 7 <> 3 and (id < 1500 or id > 4000)").withColumn("_task", F.col("id") * 2)
+    got = layout.numbered_rows(df, first=5)
+    n = df.count()
+    assert got.columns == ["id", "_task", "row_id"]
+    assert [r["row_id"] for r in got.orderBy("row_id").collect()] == list(range(5, n + 5))
+    before = rows(got)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # other splits of the files
+    try:
+        assert rows(got.select("*")) == before
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    # Rows lie as they came: ids follow the order of the frame.
+    assert [r["id"] for r in got.orderBy("row_id").collect()] == sorted(r["id"] for r in df.collect())
+    assert "SortMergeJoin" not in plan(got) and "hashpartitioning" not in plan(got)
+
+
+def test_generated_ids_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(layout, "TASKS_PER_BLOCK", 3)
+    df = spark.range(500, numPartitions=20).filter("id % 25 > 3 or id > 400").repartition(13, "id")
+    got = layout.numbered_rows(df, "n")
+    assert sorted(r["n"] for r in got.collect()) == list(range(df.count()))
+    assert layout.numbered_rows(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="column ID already"):
+        layout.numbered_rows(df, "ID")
+    one = layout.numbered_rows(spark.createDataFrame([(None, "")] * 4, "a int, b string"))
+    assert rows(one, "row_id") == [(i,) for i in range(4)]
+
+
+def test_weighted_sample_is_a_filter_for_any_size(spark):
+    df = spark.range(3_000).withColumn("w", 1.0 + F.col("id") % 9).repartition(5)
+    draw = -F.log(sampling.hash_uniform("id", 7)) / F.col("w")
+    order = [r["id"] for r in df.orderBy(draw, "id").collect()]
+    for size in (1, 40, 1_500, 2_999, 3_000, 5_000):
+        for limit in (100, 10_000):  # narrowed down, and sorted
+            got = sampling.weighted_sample(df, "id", "w", size, 7, max_rows=limit)
+            assert sorted(r["id"] for r in got.collect()) == sorted(order[:size])
+            assert "Exchange" not in plan(got.select("id")).split("Exchange RoundRobin")[0]
+    assert sampling.weighted_sample(df, "id", "w", 0, 7).count() == 0
+    copies = spark.createDataFrame([(1, 2.0)] * 50 + [(2, 2.0)], "id long, w double")
+    for size in (10, 50, 51):
+        assert sampling.weighted_sample(copies, "id", "w", size, 7).count() == size

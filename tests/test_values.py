@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from rowloom.functions import scalars
 from rowloom.operators import aggregate, joins, layout, quality, setops, shape, windows
 from rowloom.sources import generators
@@ -240,6 +240,23 @@ def test_dq_profile(spark):
     assert {r["column"]: r["pass_pct"] for r in got.collect()} == {"n": pytest.approx(200 / 3), "s": None}
 
 
+def test_dq_profile_counts_each_column_by_itself(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0.0, None, "x"), (-0.0, None, "x"), (nan, None, None), (nan, None, "y"), (None, None, "y")],
+                               "`a.b` double, n int, s string")
+    rules = {"a.b": F.col("s") == "x", "n": F.col("n") > 0}
+    exact = quality.dq_profile(df, ["a.b", "n", "s"], rules)
+    assert "Expand" not in plan(exact) and plan(exact).count("Scan") == 3
+    want = [("a.b", 5, 1, 2, "NaN", 50.0), ("n", 5, 5, 0, None, None), ("s", 5, 1, 2, "y", None)]
+    parts = ["column", "n_rows", "n_null", "n_distinct", "highest", "pass_pct"]
+    assert [tuple(r) for r in exact.select(parts).orderBy("column").collect()] == want
+    sketched = quality.dq_profile(df, ["a.b", "n", "s"], rules, approximate=["a.b", "s"])
+    assert [tuple(r) for r in sketched.select(parts).orderBy("column").collect()] == want
+    for approximate in ([], ["s"]):
+        empty = quality.dq_profile(df.limit(0), ["s"], {"s": F.col("s") == "x"}, approximate).first()
+        assert tuple(empty) == ("s", 0, 0, 0, None, None, None)
+
+
 def test_reuse_releases_the_frame(spark):
     with layout.reused(spark.range(10)) as kept:
         assert kept.storageLevel.useMemory and kept.count() == 10
