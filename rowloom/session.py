@@ -16,6 +16,7 @@ scratch, tables go to the session's own one, which stays until ``release_all``.
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 import weakref
 from collections.abc import Iterator
@@ -53,6 +54,36 @@ def scratch_root(spark: SparkSession) -> str:
             or spark.conf.get("spark.sql.warehouse.dir"))
 
 
+#: Whether the shuffle files of a query go when it ends; else they stay until the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleanups = threading.RLock()
+_cleaning: dict[str, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def _shuffles_end_with_the_job(spark: SparkSession) -> Iterator[None]:
+    """What a write shuffled is of no use once its table is there, so it doesn't add up over the steps of an operator.
+
+    The setting is put back when the last of several writes at once has ended.
+    """
+    application = spark.sparkContext.applicationId
+    with _cleanups:
+        writers, before = _cleaning.get(application, (0, spark.conf.get(SHUFFLE_CLEANUP, None)))
+        _cleaning[application] = writers + 1, before
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleanups:
+            writers, before = _cleaning.pop(application)
+            if writers > 1:
+                _cleaning[application] = writers - 1, before
+            elif before is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 class Scratch:
     """A database below the shared folder for what a piece of work writes on its way."""
 
@@ -81,7 +112,8 @@ class Scratch:
     def stored(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         """``df`` as a table of the scratch: written once, so later uses neither repeat nor differ."""
         table = self.table_name(name)
-        df.write.format("parquet").options(**options).saveAsTable(table)
+        with _shuffles_end_with_the_job(self.spark):
+            df.write.format("parquet").options(**options).saveAsTable(table)
         kept = df.sparkSession.table(table)
         _tables[kept] = table
         return kept

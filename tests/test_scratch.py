@@ -1,6 +1,7 @@
 """What operators write on their way must go when their scratch does."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +70,25 @@ def test_no_hot_keys_leave_nothing(spark):
         assert not os.path.exists(folder) or os.listdir(folder) == []
         sliced, names = skew.range_slices(df, [], "id", "id", max_rows=30)
         assert names and len(os.listdir(folder)) == 1  # the slices only
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    def shuffle_files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (found.apply(i) for i in range(found.size())) if f.getName().endswith(".data")}
+
+    before, setting = shuffle_files(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    counts = spark.range(50_000).groupBy((F.col("id") % 1_000).alias("k")).count()
+    kept = session.stored(counts.repartition(3, "count"), "counts")
+    for _ in range(50):  # files are removed in the background
+        left = shuffle_files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    assert kept.count() == 1_000 and counts.count() == 1_000 and counts.count() == 1_000
+
+    fails = spark.range(10).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        session.stored(fails, "fails")
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
