@@ -57,6 +57,8 @@ LEAST = 10
 BLOCK_ROWS = 2_000
 #: Text bytes for each bucket of words, and blocks that one task answers.
 BUCKET_BYTES = 8 << 20
+#: Blocks whose pairs are added up before the others, and sums of that kind per bucket at most.
+ADDED_BLOCKS, ADDED_PARTS = 64, 64
 ANSWERED_BLOCKS = 4_096
 
 EDGE = 32  # the border of words
@@ -68,7 +70,8 @@ WORDS = "bucket int, words binary, counts binary, kinds binary, states binary, s
 #: Blocks between two lengths of contexts: of each token its word, log probability, and whether what ends there is a candidate.
 READ = ("block long, doc_ids array<string>, held_out array<boolean>, lengths binary, tokens binary, hashes binary, "
         "counts binary, value binary, often binary")
-PAIRS = "bucket int, pairs binary, contexts binary, counts binary, shorter binary"
+#: Pairs of context and word, grouped by context: different contexts and how many pairs each has; per pair its occurrences.
+PAIRS = "bucket int, pairs binary, contexts binary, runs binary, counts binary, shorter binary"
 CONTEXTS = "bucket int, pairs binary, counts binary, contexts binary, taken binary, totals binary, free binary"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
@@ -400,7 +403,7 @@ def diverging(tree: SuffixTree, level: int, context: np.ndarray, symbol: np.ndar
 class Followed:
     """Of a block, the places whose ``level`` words before are a candidate, and their different pairs of context and word.
 
-    Pairs stand in the order of their contexts' buckets.
+    Pairs stand in the order of their contexts' buckets, those of a context together.
     """
 
     def __init__(self, row, level: int, buckets: int):
@@ -415,7 +418,7 @@ class Followed:
         pair, first, number = np.unique(mixed(context ^ words[self.at]), return_index=True, return_inverse=True)
         context = context[first]
         bucket = (context % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((context, bucket))
         place = np.empty(len(pair), np.int64)
         place[order] = np.arange(len(pair))
         self.number, self.pairs, self.contexts = place[number], pair[order], context[order]
@@ -425,7 +428,7 @@ class Followed:
 def follow(read: DataFrame, level: int, buckets: int) -> DataFrame:
     """Pairs of context and word in every block: training occurrences, and their summed log probability after the shorter state."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()),
-                        *[(c, pa.binary()) for c in ("pairs", "contexts", "counts", "shorter")]])
+                        *[(c, pa.binary()) for c in ("pairs", "contexts", "runs", "counts", "shorter")]])
 
     def ask(batches):
         for batch in batches:
@@ -437,8 +440,9 @@ def follow(read: DataFrame, level: int, buckets: int) -> DataFrame:
                 rows = []
                 for b in np.flatnonzero(np.diff(f.ends)).tolist():
                     own = slice(f.ends[b], f.ends[b + 1])
+                    contexts, runs = _runs(f.contexts[own])
                     rows.append({"block": row["block"], "bucket": b, "pairs": f.pairs[own].tobytes(),
-                                 "contexts": f.contexts[own].tobytes(), "counts": counts[own].astype("<u4").tobytes(),
+                                 "contexts": contexts, "runs": runs, "counts": counts[own].astype("<u4").tobytes(),
                                  "shorter": shorter[own].astype("<f4").tobytes()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -447,29 +451,52 @@ def follow(read: DataFrame, level: int, buckets: int) -> DataFrame:
             .mapInArrow(ask, "block long, " + PAIRS))
 
 
-def _added(pdf: pd.DataFrame, count: str, real: str) -> tuple[np.ndarray, ...]:
-    """Training pairs of one bucket in ascending order, their contexts, occurrences and summed shorter log probability."""
-    pair, context, n, shorter = (np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (
-        ("pairs", "<u8"), ("contexts", "<u8"), ("counts", count), ("shorter", real)))
+def _runs(contexts: np.ndarray) -> tuple[bytes, bytes]:
+    """Different ones of contexts that stand together, and how often each stands there."""
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(contexts)), bool), contexts[1:] != contexts[:-1])))
+    return contexts[first].tobytes(), np.diff(np.append(first, len(contexts))).astype("<u4").tobytes()
+
+
+def _added(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """Training pairs of one bucket in ascending order, their contexts, occurrences and summed shorter log probability.
+
+    Sums have 64 bits, numbers of a block 32.
+    """
+    pairs, counts = b"".join(pdf["pairs"]), b"".join(pdf["counts"])
+    kinds = ("<i8", "<f8") if len(counts) == len(pairs) else ("<u4", "<f4")
+    pair, n = np.frombuffer(pairs, "<u8"), np.frombuffer(counts, kinds[0])
+    shorter = np.frombuffer(b"".join(pdf["shorter"]), kinds[1])
+    context = np.repeat(*(np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (("contexts", "<u8"), ("runs", "<u4"))))
     seen = n > 0
     pair, first, number = np.unique(pair[seen], return_index=True, return_inverse=True)
     return (pair, context[seen][first], np.bincount(number, n[seen], len(pair)).astype(np.int64),
             np.bincount(number, shorter[seen], len(pair)))
 
 
+def added_up(followed: DataFrame, blocks: int) -> DataFrame:
+    """Pairs of many blocks summed up, so that no task gets those of a frequent context from all blocks."""
+    parts = min(ADDED_PARTS, blocks // ADDED_BLOCKS)
+    if parts < 2:
+        return followed
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        pair, context, n, shorter = _added(pdf)
+        order = np.argsort(context, kind="stable")
+        contexts, runs = _runs(context[order])
+        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "pairs": pair[order].tobytes(), "contexts": contexts, "runs": runs,
+                              "counts": n[order].astype("<i8").tobytes(), "shorter": shorter[order].astype("<f8").tobytes()}])
+
+    part = F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part")
+    return followed.select("*", part).drop("block").groupBy("bucket", "part").applyInPandas(add, PAIRS)
+
+
 def contexts_of(followed: DataFrame, gain: float, least: int) -> DataFrame:
     """Per bucket the kept contexts, and the counts of pairs that belong to one or are candidates for the next length.
 
     Of a kept context there is its discount, its occurrences and the share that it leaves to the shorter state.
     """
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        pair, context, n, shorter = _added(pdf, "<u4", "<f4")
-        return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": pdf["group"].iloc[0], "pairs": pair.tobytes(),
-                              "contexts": context.tobytes(), "counts": n.astype("<i8").tobytes(),
-                              "shorter": shorter.astype("<f8").tobytes()}])
-
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pair, context, n, shorter = _added(pdf, "<i8", "<f8")
+        pair, context, n, shorter = _added(pdf)
         context, of = np.unique(context, return_inverse=True)
         total, kinds, once, twice = (np.bincount(of, v, len(context)) for v in (n, np.ones(len(n)), n == 1, n == 2))
         taken = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
@@ -486,9 +513,8 @@ def contexts_of(followed: DataFrame, gain: float, least: int) -> DataFrame:
                               "counts": n[listed].astype("<i8").tobytes(), "contexts": context[kept].tobytes(),
                               "taken": taken[kept].tobytes(), "totals": total[kept].tobytes(), "free": free[kept].tobytes()}])
 
-    grouped = followed.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(64))).drop("block")
-    partly = grouped.groupBy("bucket", "group").applyInPandas(add, "group long, " + PAIRS)
-    return stored(partly.groupBy("bucket").applyInPandas(merge, CONTEXTS), "lm-word-contexts", compression="zstd")
+    pairs = followed.select(*[c.split()[0] for c in PAIRS.split(", ")])
+    return stored(pairs.groupBy("bucket").applyInPandas(merge, CONTEXTS), "lm-word-contexts", compression="zstd")
 
 
 def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -502,18 +528,18 @@ def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float, least: int) -> tuple[DataFrame, DataFrame]:
     """``read`` with the log probabilities after contexts of ``level`` words, where those are kept; and the stored contexts."""
     followed = follow(read, level, buckets)
-    contexts = contexts_of(followed, gain, least)
+    contexts = contexts_of(added_up(followed, read.count()), gain, least)
 
     def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         rows = []
         names = ("pairs", "<u8"), ("counts", "<i8"), ("contexts", "<u8"), ("taken", "<f8"), ("totals", "<f8"), ("free", "<f8")
         pairs, counts, listed, taken, totals, free = (
             np.frombuffer(known[c].iloc[0] if len(known) else b"", kind) for c, kind in names)
-        for block, wanted, of in zip(asked["block"], asked["pairs"], asked["contexts"]):
+        for block, wanted, of, runs in zip(asked["block"], asked["pairs"], asked["contexts"], asked["runs"]):
             n = np.zeros(len(wanted) // 8)
             at, there = _found(pairs, np.frombuffer(wanted, "<u8"))
             n[there] = counts[at[there]]
-            at, there = _found(listed, np.frombuffer(of, "<u8"))
+            at, there = (np.repeat(v, np.frombuffer(runs, "<u4")) for v in _found(listed, np.frombuffer(of, "<u8")))
             # After what isn't kept, the shorter state says it all.
             own, left = np.zeros(len(n)), np.ones(len(n))
             at = at[there]
@@ -534,7 +560,7 @@ def lengthen(read: DataFrame, level: int, buckets: int, groups: int, gain: float
         return pdf.assign(value=[value.astype("<f4").tobytes()], often=[often.tobytes()])
 
     group = F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")
-    asked = followed.select("block", "bucket", "pairs", "contexts", group)
+    asked = followed.select("block", "bucket", "pairs", "contexts", "runs", group)
     known = contexts.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     answers = (asked.groupBy("bucket", "group").cogroup(known.groupBy("bucket", "group"))
                .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, own binary, left binary, often binary"))
