@@ -176,3 +176,21 @@ def test_frequent_words_are_counted_exactly(spark):
     assert suffix_tree.frequent_words(docs, 0.1) == [b"b", b"a", b"w"]
     assert suffix_tree.frequent_words(docs, 0.101) == [b"b", b"a"]
     assert suffix_tree.frequent_words(docs.limit(0), 0.1) == []
+
+
+def test_adding_up_blocks_first_changes_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for block in range(6):
+        context = np.sort(rng.integers(0, 4, 12 * (block != 3))).astype("<u8")  # one block has no pairs
+        pair = (context * np.uint64(100) + np.arange(len(context)).astype("<u8") % np.uint64(5)).astype("<u8")
+        context, pair = context[np.unique(pair, return_index=True)[1]], np.unique(pair)
+        contexts, runs = suffix_tree._runs(context)
+        counts = rng.integers(0, 9, len(pair)).astype("<u4")
+        rows.append((block, 0, pair.tobytes(), contexts, runs, counts.tobytes(), (counts * -2.0).astype("<f4").tobytes()))
+    followed = spark.createDataFrame(rows, "block long, " + suffix_tree.PAIRS)
+    plain = suffix_tree.contexts_of(suffix_tree.added_up(followed, 6), 0.0, 3).collect()
+    monkeypatch.setattr(suffix_tree, "ADDED_BLOCKS", 2)
+    summed = suffix_tree.added_up(followed, 6)
+    assert summed.count() > 1 and "block" not in summed.columns
+    assert suffix_tree.contexts_of(summed, 0.0, 3).collect() == plain and len(plain[0]["pairs"]) > 0
