@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowloom.operators.measure import fits, heavy_keys, row_bytes
+from rowloom.operators.setops import COPIES_PER_TASK, collapse_copies
 from rowloom.operators.skew import MAX_GROUP_ROWS, attach, find_hot, same_keys, spread_by_hash
+from rowloom.session import stored
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Bytes of rows that one task may hash, and the kinds of join that a hash of parts can answer.
+BUILD_BYTES = 256 * 1024 * 1024
+JOIN_KINDS = {"inner": "inner", "left": "left", "leftouter": "left", "semi": "left_semi", "leftsemi": "left_semi",
+              "anti": "left_anti", "leftanti": "left_anti"}
 
 
 def sort_merge_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -17,16 +25,71 @@ def sort_merge_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(right.hint("merge"), list(on), how)
 
 
-def shuffle_hash_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Shuffle both sides, hash the right one; it must fit per partition."""
-    return left.join(right.hint("shuffle_hash"), list(on), how)
+def shuffle_hash_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+                      max_rows: int | None = MAX_GROUP_ROWS, max_bytes: int = BUILD_BYTES) -> DataFrame:
+    """Shuffle both sides and hash the right one, in parts of about ``max_bytes`` at most.
+
+    The right side is measured.  It gets as many partitions as its bytes need; a key with too many bytes for one
+    task is cut into parts, each of which meets all left rows of the key.  Hot left keys
+    (over ``max_rows``) are spread, with their right rows repeated.  Semi and anti joins hash each key once.
+    Null keys match nothing and are not hashed.  Right and full joins, which must know all
+    left rows of a key in one place, go by a merge join, which spills.
+    """
+    kind = JOIN_KINDS.get(how.lower().replace("_", ""))
+    if kind is None:
+        return sort_merge_join(left, right, on, how)
+    keys = list(on)
+    build = right.filter(reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys]))
+    if kind in ("left_semi", "left_anti"):
+        build = build.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    total, heavy = heavy_keys(build, keys, max_bytes // 4)
+    hot = find_hot(left, keys, max_rows)
+    if heavy is not None:
+        left, build = _split_build(left, build, keys, heavy, max_bytes)
+        keys.append("_build_part")
+    if hot is not None:
+        left, build = salt_sides(left, build, on, hot)
+        keys.append("_salt")
+    tasks = 4 * total // max_bytes + 1
+    if tasks > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        columns = [F.col(f"`{k}`") for k in keys]
+        left, build = left.repartition(tasks, *columns), build.repartition(tasks, *columns)
+    joined = left.join(build.hint("shuffle_hash"), keys, kind)
+    if heavy is not None:
+        # A heavy key matches in one part at least, so rows of its parts without a match are no result.
+        joined = joined.filter(F.col("_build_copies").isNotNull() | ~F.col("_heavy"))
+        chunks = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col("_build_copies"), F.lit(1).cast("long")))
+        joined = joined.withColumn("_build_copies", F.explode(chunks)).drop("_build_copies", "_heavy", "_build_part")
+    return joined.drop("_salt") if hot is not None else joined
+
+
+def _split_build(left: DataFrame, build: DataFrame, keys: Sequence[str], heavy: DataFrame,
+                 max_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_build_part``: right rows of heavy keys dealt out to parts, left rows repeated per part.
+
+    Copies of one row become one row with ``_build_copies``, in chunks, so that copies can be dealt out too.
+    """
+    known = [F.col(f"`{c}`") for c in build.columns]
+    rows = collapse_copies(build.join(heavy, list(keys), "left_semi").select(*known), "_build_copies")
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_build_copies") - 1) / COPIES_PER_TASK)))
+    rest = F.least(F.col("_build_copies") - F.col("_chunk") * COPIES_PER_TASK, F.lit(COPIES_PER_TASK).cast("long"))
+    chunks = stored(rows.withColumn("_chunk", chunk).withColumn("_build_copies", rest), "heavy-rows")
+    parts = stored(chunks.groupBy(*keys).agg(F.sum(row_bytes(chunks)).alias("_bytes"))
+                   .select(*keys, F.ceil(4 * F.col("_bytes") / max_bytes).cast("int").alias("_build_parts")), "heavy-parts")
+    part = spread_by_hash([*build.columns, "_chunk"], F.col("_build_parts"))
+    dealt = (attach(chunks, parts, keys, ["_build_parts"]).withColumn("_build_part", part)
+             .select(*known, "_build_part", "_build_copies"))
+    others = (build.join(heavy, list(keys), "left_anti")
+              .select(*known, F.lit(0).alias("_build_part"), F.lit(1).cast("long").alias("_build_copies")))
+    met = attach(left, parts, keys, ["_build_parts"])
+    repeated = met.withColumn("_heavy", F.col("_build_parts").isNotNull()).withColumn(
+        "_build_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_build_parts"), F.lit(1)) - 1))).drop("_build_parts")
+    return repeated, others.unionByName(dealt)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether a frame is small enough to broadcast, reading at most ``max_rows`` + 1 of its rows."""
-    as_text = F.length(F.to_json(F.struct("*")))
-    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(as_text), F.lit(0)).alias("size")).first()
-    return found["n"] <= max_rows and found["size"] <= max_bytes
+    """Measure whether a frame is small enough to broadcast: one narrow pass, of which only sums are moved."""
+    return fits(df, max_rows, max_bytes)
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

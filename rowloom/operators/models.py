@@ -11,6 +11,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowloom.operators.joins import join_back
+from rowloom.operators.layout import free_name
+from rowloom.operators.skew import MAX_GROUP_ROWS
+from rowloom.operators.windows import ranked
+from rowloom.session import stored
+
 # Prefix that puts a category last in alphabetDesc order, and the
 # normal quantile of the 95 % interval.
 REFERENCE_PREFIX = "000_"
@@ -38,11 +44,76 @@ def set_reference(df: DataFrame, reference: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: named(c, value) for c, value in reference.items()})
 
 
-def index_categories(df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc") -> DataFrame:
-    """M2: ``<column>_index`` with 0 for the first category in the given order."""
-    indexer = StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns],
-                            stringOrderType=order)
-    return indexer.fit(df).transform(df)
+#: How labels are ordered, as ``StringIndexer`` names it: by rows or by label, from which end.
+ORDERS = ("frequencyDesc", "frequencyAsc", "alphabetDesc", "alphabetAsc")
+
+
+def category_dictionary(df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc",
+                        max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """M2: (column, label, n, index): every label of the columns, numbered from 0 per column; a written table.
+
+    Labels are texts, counted in one pass over all columns and combined before the shuffle.  With more
+    than ``max_rows`` labels in a column they are ranked in slices, so no task and not the driver sees all of
+    them.  Labels with equally many rows are in alphabetical order.  Nulls are no labels; an empty frame gives an empty table.
+    """
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {', '.join(ORDERS)}")
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label")) for c in columns])
+    counts = (df.select(F.inline(values)).filter(F.col("label").isNotNull())
+              .groupBy("column", "label").agg(F.count(F.lit(1)).alias("n")))
+    if max_rows is not None:
+        counts = stored(counts, "labels")
+    descending = order.endswith("Desc")
+    if order.startswith("alphabet"):
+        found = ranked(counts, ["column"], "label", "label", descending, max_rows)
+    else:
+        placed = counts.withColumn("_by", -F.col("n") if descending else F.col("n"))
+        found = ranked(placed, ["column"], "_by", "label", False, max_rows)
+    return stored(found.select("column", "label", "n", (F.col("row_number") - 1).cast("double").alias("index")), "dictionary")
+
+
+def encode_categories(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], unknown: str = "error",
+                      max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """M2: ``<column>_index`` by a dictionary, also one of other rows.
+
+    Labels that the dictionary lacks, nulls too, stop the job (``error``), lose their row (``skip``) or get the
+    number of labels as index (``keep``).  The dictionary is joined: Spark broadcasts it if its stored size allows, and hot labels are
+    spread over tasks if it doesn't.
+    """
+    if unknown not in ("error", "skip", "keep"):
+        raise ValueError("unknown must be error, skip or keep")
+    for c in columns:
+        name = f"{c}_index"
+        own = dictionary.filter(F.col("column") == c)
+        label = free_name(df.columns, "_label")
+        texts = own.select(F.col("label").alias(label), F.col("index").alias(name))
+        found = join_back(df.withColumn(label, F.col(f"`{c}`").cast("string")), texts, [label], [name], max_rows)
+        if unknown == "error":
+            bad = F.raise_error(F.concat(F.lit(f"{c} has a label that is not in the dictionary: "), F.coalesce(label, F.lit("null"))))
+            found = found.withColumn(name, F.when(F.col(name).isNull(), bad.cast("double")).otherwise(F.col(name)))
+        elif unknown == "keep":
+            size = own.agg(F.count(F.lit(1)).cast("double")).scalar()
+            found = found.withColumn(name, F.coalesce(F.col(name), size))
+        else:
+            found = found.filter(F.col(name).isNotNull())
+        df = found.drop(label)
+    return df
+
+
+def decode_categories(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
+                      max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """M2: ``<column>_label`` from ``<column>_index``; null for an index that the dictionary lacks."""
+    for c in columns:
+        labels = dictionary.filter(F.col("column") == c).select(
+            F.col("index").alias(f"{c}_index"), F.col("label").alias(f"{c}_label"))
+        df = join_back(df, labels, [f"{c}_index"], [f"{c}_label"], max_rows)
+    return df
+
+
+def index_categories(df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc",
+                     max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """M2: ``<column>_index`` with 0 for the first category in the given order; a null category is an error."""
+    return encode_categories(df, category_dictionary(df, columns, order, max_rows), columns, max_rows=max_rows)
 
 
 def low_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -13,8 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.operators.joins import group_values, join_back
-from rowloom.operators.skew import (MAX_GROUP_ROWS, attach, earlier_slices, later_slices, ordering, position,
-                                    range_slices, spread_by_hash)
+from rowloom.operators.narrowing import elements_at
+from rowloom.operators.skew import (MAX_GROUP_ROWS, attach, earlier_slices, later_slices, likely_hot, ordering, position,
+                                    range_slices, spread_by_hash, with_keys)
+from rowloom.session import stored
 
 #: Up to this many rows a group Spark limits groups before the shuffle; parts of a key beyond.
 GROUP_LIMIT, SALTS = 1_000, 256
@@ -88,22 +90,56 @@ def global_row_number(df: DataFrame, order_by: str, tie_break: str, name: str =
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], k: int,
-                  name: str = "row_number") -> DataFrame:
+                  name: str = "row_number", max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """First ``k`` rows per key; ``order_by`` ends in a unique column.
 
     Catalyst turns the filter into a group limit that also runs before the
     shuffle, so a hot key sends at most ``k`` rows per task.  It does so for small
-    ``k`` only; beyond that, rows are first limited within salted parts of each
-    key, of which a key then has at most ``k`` rows each.
+    ``k`` only.  Beyond that a frame without hot keys is shuffled once; rows of hot keys are first limited within salted parts of
+    the key.  ``top_by_value`` needs no such parts.
     """
     window = Window.partitionBy(*keys).orderBy(*order_by)
-    if k > GROUP_LIMIT:
+    hot = likely_hot(df, keys, max_rows) if k > GROUP_LIMIT and max_rows is not None else None
+    if hot is not None:
+        cold, large = with_keys(df, keys, hot, "left_anti"), with_keys(df, keys, hot)
         parts = Window.partitionBy(*keys, "_part").orderBy(*order_by)
-        df = (df.withColumn("_part", spread_by_hash(df.columns, SALTS))
-              .withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= k).drop("_place", "_part"))
+        limited = (large.withColumn("_part", spread_by_hash(df.columns, SALTS))
+                   .withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= k).drop("_place", "_part"))
+        df = cold.unionByName(limited)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
 
 
+def top_by_value(df: DataFrame, keys: Sequence[str], order_by: str, tie_break: str, k: int, name: str = "row_number",
+                 descending: bool = True, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """First ``k`` rows per key by one column, for any ``k``; the tie-break must be unique within a key.
+
+    Keys up to ``max_rows`` rows are ranked in one shuffle.  In larger keys the k-th value is found by
+    narrowing counts (see ``rowloom.operators.narrowing``) and rows beyond it are filtered out where they lie, so only the
+    best rows and those tied with the last of them are moved, in slices if they are many.  Nulls come lowest, as in
+    ``ranked``.  ``order_by`` must be a number, date or timestamp if keys may be large; else all their rows are sliced.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+
+    def first(rows: DataFrame) -> DataFrame:
+        numbered = ranked(rows, keys, order_by, tie_break, descending, max_rows).drop("rank", "dense_rank")
+        return numbered.filter(F.col("row_number") <= k).withColumnRenamed("row_number", name)
+
+    hot = likely_hot(df, keys, max_rows) if keys and max_rows is not None else None
+    if position(df, order_by) is None or (keys and hot is None) or max_rows is None:
+        return first(df)
+    large = with_keys(df, keys, hot) if keys else df
+    value = F.col(f"`{order_by}`")
+    # Nulls are lowest: with the highest wanted they count only where values run out, with the lowest they come before all.
+    place = (lambda n: F.greatest(n - k + 1, F.lit(1))) if descending else (lambda n: F.least(n, F.lit(k)))
+    values = large.groupBy(*keys).agg(F.count(value).alias("_values"))
+    cuts = attach(values, elements_at(large, keys, order_by, {"_cut": place}, max_rows), keys, ["_cut"])
+    met = attach(large, stored(cuts, "cuts"), keys, ["_values", "_cut"])
+    wanted = (value >= F.col("_cut")) | (value.isNull() & (F.col("_values") < k)) if descending else value.isNull() | (value <= F.col("_cut"))
+    best = first(met.filter(wanted).select(*[F.col(f"`{c}`") for c in df.columns]))
+    return first(with_keys(df, keys, hot, "left_anti")).unionByName(best) if keys else best
+
+
 def top_ranked(df: DataFrame, keys: Sequence[str], order_by: str, k: int, name: str = "rank") -> DataFrame:
     """Rows with rank <= k by descending value, all ties kept.
 

@@ -79,6 +79,28 @@ def ml_index_frequency(t: Tables) -> DataFrame:
     return models.index_categories(prepared(t), CATEGORICAL, "frequencyDesc")
 
 
+@query("""WITH labels AS (SELECT 'lang' AS "column", lang AS label FROM documents
+                          UNION ALL SELECT 'source', source FROM documents)
+          SELECT "column", label, count(*) AS n,
+                 CAST(row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, label) - 1 AS DOUBLE) AS "index"
+          FROM labels WHERE label IS NOT NULL GROUP BY "column", label""")
+def ml_dictionary(t: Tables) -> DataFrame:
+    return models.category_dictionary(t.documents, ["lang", "source"], "frequencyDesc")
+
+
+@query("""WITH known AS (SELECT source AS label, dense_rank() OVER (ORDER BY source) - 1 AS place FROM
+                         (SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE source IS NOT NULL))
+          SELECT doc_id, source, CAST(coalesce(place, (SELECT count(*) FROM known)) AS DOUBLE) AS source_index, label AS source_label
+          FROM documents LEFT JOIN known ON source = label""")
+def ml_encode_decode(t: Tables) -> DataFrame:
+    """The dictionary comes from labelled documents and is applied to all; others' sources are kept as unknown."""
+    documents = t.documents.select("doc_id", "source")
+    labelled = documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    dictionary = models.category_dictionary(labelled, ["source"], "alphabetAsc")
+    encoded = models.encode_categories(documents, dictionary, ["source"], "keep")
+    return models.decode_categories(encoded, dictionary, ["source"])
+
+
 @query("""SELECT 'lang' AS "column", count(DISTINCT lang) AS n_levels, count(DISTINCT lang) >= 2 AS usable FROM documents
           UNION ALL SELECT 'kind', CAST(1 AS BIGINT), false""")
 def ml_low_cardinality(t: Tables) -> DataFrame:

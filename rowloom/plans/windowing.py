@@ -111,6 +111,14 @@ def topk_per_group(t: Tables) -> DataFrame:
     return windows.top_per_group(orders, ["o_orderpriority"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3, "place")
 
 
+@query("""SELECT event_type, event_id, value, n AS place FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id) AS n
+            FROM events) WHERE n <= 1500""")
+def topk_by_value(t: Tables) -> DataFrame:
+    """More rows per key than Spark limits before the shuffle."""
+    return windows.top_by_value(t.events.select("event_type", "event_id", "value"), ["event_type"], "value", "event_id", 1_500, "place")
+
+
 @query(f"""SELECT *, last_value(n IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_forward,
                   first_value(n IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n_backward
            FROM {THINNED_SQL} WINDOW w AS (PARTITION BY event_type ORDER BY on_day)""")

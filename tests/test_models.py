@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from helpers import rows
 from rowloom.operators import models, setops
 from rowloom.plans.modelling import CATEGORICAL, NUMERIC, training
 
@@ -78,6 +80,51 @@ def test_frequency_order(spark):
     assert {r["k"]: r["k_index"] for r in indexed} == {"y": 0.0, "x": 1.0}
 
 
+@pytest.mark.parametrize("order", models.ORDERS)
+@pytest.mark.parametrize("max_rows", [2, 1_000])
+def test_dictionary_orders_as_the_indexer_of_spark(spark, order, max_rows):
+    df = spark.createDataFrame([(c,) for c in "bbbccaad"], "k string")
+    got = models.index_categories(df, ["k"], order, max_rows)
+    want = StringIndexer(inputCol="k", outputCol="k_index", stringOrderType=order).fit(df).transform(df)
+    assert rows(got) == rows(want)
+    table = models.category_dictionary(df, ["k"], order, max_rows).orderBy("index").collect()
+    assert [r["label"] for r in table] == sorted(set("abcd"), key=lambda c: dict(rows(want))[c])
+
+
+def test_dictionary_with_more_labels_than_a_task_holds(spark):
+    """10,000 labels with at most 500 in a slice, one label with a third of the rows."""
+    df = spark.range(15_000).select(F.when(F.col("id") < 10_000, F.format_string("label %05d", "id")).otherwise("hot").alias("k"),
+                                    (F.col("id") % 3).alias("j"))
+    dictionary = models.category_dictionary(df, ["k", "j"], "alphabetAsc", max_rows=500)
+    found = {(r["column"], r["label"]): (r["n"], r["index"]) for r in dictionary.collect()}
+    assert len(found) == 10_004 and found["k", "hot"] == (5_000, 0.0) and found["k", "label 09999"] == (1, 10_000.0)
+    assert [found["j", str(i)] for i in range(3)] == [(5_000, 0.0), (5_000, 1.0), (5_000, 2.0)]
+    encoded = models.encode_categories(df, dictionary, ["k", "j"], max_rows=500)
+    decoded = models.decode_categories(encoded, dictionary, ["k", "j"], max_rows=500)
+    assert decoded.count() == 15_000
+    assert decoded.filter((F.col("k") != F.col("k_label")) | (F.col("j").cast("string") != F.col("j_label"))
+                          | F.col("k_label").isNull() | F.col("j_label").isNull()).isEmpty()
+
+
+def test_unknown_labels(spark):
+    dictionary = models.category_dictionary(spark.createDataFrame([("x",), ("y",), (None,)], "k string"), ["k"])
+    df = spark.createDataFrame([("x", 1), ("z", 2), (None, 3)], "k string, _label int")
+    kept = models.encode_categories(df, dictionary, ["k"], "keep")
+    assert rows(kept, "_label", "k_index") == [(1, 1.0), (2, 2.0), (3, 2.0)]
+    assert rows(models.encode_categories(df, dictionary, ["k"], "skip"), "_label", "k_index") == [(1, 1.0)]
+    with pytest.raises(Exception, match="not in the dictionary: z"):
+        models.encode_categories(df.filter("k = 'z'"), dictionary, ["k"]).collect()
+    decoded = models.decode_categories(kept, dictionary, ["k"])
+    assert rows(decoded, "_label", "k_label") == [(1, "x"), (2, None), (3, None)]
+    with pytest.raises(ValueError):
+        models.category_dictionary(df, ["k"], "byLength")
+
+
+def test_dictionary_of_nothing(spark):
+    df = spark.createDataFrame([], "k string")
+    assert models.index_categories(df, ["k"]).collect() == []
+
+
 def test_low_cardinality(spark):
     df = spark.createDataFrame([("x", "a"), ("x", "b")], "one string, two string")
     got = {r["column"]: (r["n_levels"], r["usable"]) for r in models.low_cardinality(df, ["one", "two"]).collect()}

@@ -84,6 +84,39 @@ def test_top_k_beyond_the_group_limit(spark):
     assert rows(got, "id", "row_number") == sorted((i, i // 2 + 1) for i in range(3_000))
 
 
+@pytest.mark.parametrize("hot", [10**6, 4_000])
+def test_top_k_beyond_the_group_limit_is_one_shuffle_or_equal(spark, hot):
+    df = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").alias("k"), "id")
+    got = windows.top_per_group(df, ["k"], [F.col("id").desc()], 1_001, max_rows=hot)
+    w = Window.partitionBy("k").orderBy(F.col("id").desc())
+    want = df.withColumn("row_number", F.row_number().over(w)).filter("row_number <= 1001")
+    assert rows(got) == rows(want)
+    if hot == 10**6:
+        assert plan(got).count("Exchange") == 1
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("k, max_rows", [(1, 10), (7, 10), (60, 10), (149, 10), (1_000, 10), (7, None), (7, 10_000)])
+def test_top_by_value_equals_plain_window(frame, descending, k, max_rows):
+    """Ties, nulls, clumps, keys of nulls only and a null key, with the cut in each of them."""
+    got = windows.top_by_value(frame, ["k"], "o", "id", k, "n", descending, max_rows)
+    want = frame.withColumn("n", F.row_number().over(ordered(descending)).cast("long")).filter(F.col("n") <= k)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_top_by_value_of_a_whole_table(frame):
+    w = Window.orderBy(F.col("o").desc_nulls_last(), "id")
+    want = frame.withColumn("n", F.row_number().over(w).cast("long")).filter("n <= 40")
+    assert rows(windows.top_by_value(frame, [], "o", "id", 40, "n", max_rows=50)) == rows(want)
+
+
+def test_top_by_value_of_text(frame):
+    df = frame.withColumn("o", F.col("o").cast("string"))
+    w = Window.partitionBy("k").orderBy(F.col("o").desc_nulls_last(), "id")
+    want = df.withColumn("n", F.row_number().over(w).cast("long")).filter("n <= 5")
+    assert rows(windows.top_by_value(df, ["k"], "o", "id", 5, "n", max_rows=10)) == rows(want)
+
+
 def test_no_hot_group_no_slices(frame):
     assert skew.range_slices(frame, ["k"], "o", "id")[1] == []
 
