@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from rowloom.operators.setops import frame_diff, frames_equal, union_all
 
@@ -44,6 +45,8 @@ def dq_profile(df: DataFrame, columns: Sequence[str], rules: Mapping[str, Column
     tasks and only these are shuffled, and a file that is stored by columns is
     read once in all.  Store a frame that is costly to derive first, as each column derives it again.
     Columns named in ``approximate`` get a distinct count from a sketch (about 1 % off) and no shuffle of values.
+
+    Zeros of both signs are one value; ``lowest`` and ``highest`` show the sign, -0.0 below 0.0.
     """
     rules = rules or {}
     return union_all([_column_profile(df, c, rules.get(c), c in approximate) for c in columns])
@@ -54,11 +57,20 @@ def _column_profile(df: DataFrame, column: str, rule: Column | None, approximate
     one = df.select(value.alias("_v"), (F.lit(None).cast("boolean") if rule is None else rule).alias("_ok"))
     counts = [F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("_known"),
               F.count_if(F.col("_v").isNotNull() & F.col("_ok")).alias("_valid")]
-    ends = [F.min("_v").cast("string").alias("lowest"), F.max("_v").cast("string").alias("highest")]
+    least, most = F.min("_v").cast("string"), F.max("_v").cast("string")
+    if isinstance(one.schema["_v"].dataType, (FloatType, DoubleType)):
+        # Grouping makes -0.0 and 0.0 one value, so the signs are kept as texts, which sort like them.
+        zero = F.when(F.col("_v") == 0, F.col("_v").cast("string"))
+        signs = [F.min(zero).alias("_zero_low"), F.max(zero).alias("_zero_high")]
+        least = F.when(F.min("_v") == 0, F.min(zero if approximate else F.col("_zero_low"))).otherwise(least)
+        most = F.when(F.max("_v") == 0, F.max(zero if approximate else F.col("_zero_high"))).otherwise(most)
+    else:
+        signs = []
+    ends = [least.alias("lowest"), most.alias("highest")]
     if approximate:
         summed = one.agg(*counts, F.approx_count_distinct("_v", 0.01).alias("n_distinct"), *ends)
     else:
-        by_value = one.groupBy("_v").agg(*counts)
+        by_value = one.groupBy("_v").agg(*counts, *signs)
         summed = by_value.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", "_known", "_valid")],
                               F.count("_v").alias("n_distinct"), *ends)
     share = F.lit(None).cast("double") if rule is None else F.try_divide(F.col("_valid") * 100.0, F.col("_known"))

@@ -257,6 +257,15 @@ def test_dq_profile_counts_each_column_by_itself(spark):
         assert tuple(empty) == ("s", 0, 0, 0, None, None, None)
 
 
+def test_dq_profile_keeps_the_sign_of_zero(spark):
+    for kind in ("double", "float"):
+        for approximate in ([], ["x"]):
+            for values, want in ([(-0.0, 2.5), ("-0.0", "2.5")], [(0.0, 2.5), ("0.0", "2.5")], [(-1.0, -0.0), ("-1.0", "-0.0")],
+                                 [(0.0, -0.0, None), ("-0.0", "0.0")], [(None,), (None, None)]):
+                df = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+                assert tuple(quality.dq_profile(df, ["x"], approximate=approximate).select("lowest", "highest").first()) == want
+
+
 def test_reuse_releases_the_frame(spark):
     with layout.reused(spark.range(10)) as kept:
         assert kept.storageLevel.useMemory and kept.count() == 10
