@@ -135,10 +135,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
                  "doc_ids": pa.array([doc_ids], pa.list_(pa.int64()))})
 
         for batch in pieces(batches, BATCH_ROWS):
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
-                coded = words.encode(text) + end
-                ids.append(coded)
-                lengths.append(len(coded) // width)
+            for doc_id, coded in zip(batch["doc_id"].to_pylist(), words.encode_all(texts(batch["text"]))):
+                ids.append(coded + end)
+                lengths.append(len(coded) // width + 1)
                 doc_ids.append(doc_id)
                 held += lengths[-1]
                 if held >= file_ids:

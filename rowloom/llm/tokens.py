@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 
 import numpy as np
@@ -15,9 +16,18 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: How byte-level tokenizers write bytes: printable ones as they are, the others as characters from 256 on.
 PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
-#: Ends of words that are no letters and stay together.
-MARKS = b".,;:!?"
-PROBES = ["the", "Rerethin", "thonst.", "eaux?!", "éireeau", "größe,", "x", "niño;", "MIXEDcase:"]
+#: Punctuation between a letter or digit and white space is a piece of its own; no part of a special token.
+MARKS = rb"!\"#$%&'()*+,\-./:;=?@\[\\\]\^_`{}~"
+MARK = re.compile(rb"[" + MARKS + rb"]")
+ENDS = re.compile(rb"([" + MARKS + rb"](?<=[A-Za-z0-9].)[" + MARKS + rb"]*)(?=[ \n])")
+#: Bytes of characters below U+0180: among these normalization composes nothing, so A-Z may be lowered first.
+PLAIN = bytes(range(0xC6))
+#: Words of letters up to U+017F, whose kind and lower case no version of Unicode changed; not the Turkish capital I.
+STEADY = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
+PROBES = ["the", "Rerethin", "thonst. ", "eaux?! x", "éireeau", "größe, ", "x", "niño; a", "MIXEDcase: b", "Inst$$$ ", "ÉTÉ& ",
+          "don't' l'eau", "a-b-\nc", "4.5. 6", "Œuvre", "ĦĲ", "supercalifragilistique", "... a", "Ǆa", "mI\u0307", "H\u0331. ", "ЖУК жук."]
+#: Texts are encoded together up to so many bytes.
+GROUP_BYTES = 1 << 18
 
 
 class WordTokenizer:
@@ -28,56 +38,92 @@ class WordTokenizer:
     space only is enough; other white space stays inside a word and is left to
     the tokenizer.  ``kind`` is the narrowest unsigned type that holds all ids.
 
-    Words of letters, perhaps with punctuation behind, go to the tokenizer's
-    model directly if that gives the same as the whole tokenizer for some probes:
-    such a word needs no normalization but lower case and is one piece.
+    If that gives the same as the whole tokenizer for some probes, words of letters
+    go to the tokenizer's model directly, many in one call, and punctuation behind words is cut off before: such a word
+    needs no normalization but lower case and is one piece.  The model marks the
+    last id of a piece, which tells the words' ids apart.
     """
 
     def __init__(self, path: str, extra_id: int = 0):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
         largest = max(self._tokenizer.get_vocab_size(with_added_tokens=True) - 1, extra_id)
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
-        self._marks: dict[bytes, list[int]] = {b"": []}
-        self._direct = all(self._letters(p.encode()) == self._plain([p.encode()])[0] for p in PROBES)
-        self._known = Memo(self._encode)
-
-    def _plain(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words],
-                                                                 add_special_tokens=False)]
-
-    def _letters(self, word: bytes) -> list[int] | None:
-        """Ids of letters and marks; None for any other word."""
-        letters = word.rstrip(MARKS)
-        marks = word[len(letters):]
-        if marks not in self._marks:
-            if len(self._marks) > 10_000:
-                return None
-            self._marks[marks] = self._plain([marks])[0]
-        if letters.isalpha():  # of bytes: ASCII letters only
-            return [t.id for t in self._model.tokenize(letters.lower().decode())] + self._marks[marks]
-        text = letters.decode("utf-8", "replace")
-        if not (text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text)):
-            return None
-        spelled = letters.decode("latin-1").translate(BYTE_CHARACTERS)
-        return [t.id for t in self._model.tokenize(spelled)] + self._marks[marks]
+        self._model = Tokenizer(self._tokenizer.model)
+        self._model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        self._last = np.zeros(largest + 1, bool)
+        self._last[[i for token, i in self._tokenizer.get_vocab(False).items() if suffix and token.endswith(suffix)]] = True
+        # Neither lower case nor cutting may touch an added token: each has a "<" and none of the marks.
+        added = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
+        clear = all(b"<" in a and not MARK.search(a) for a in added)
+        self._known, self._direct = Memo(self._encode), bool(suffix) and clear
+        probes = [p.encode() for p in PROBES]
+        if self._direct and [self.encode(p) for p in probes] != self._plain(probes):
+            self._known, self._direct = Memo(self._encode), False
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _spelled(self, letters: list[bytes]) -> list[bytes]:
+        """Ids of words of lower-case letters, by the model alone."""
+        text = " ".join([w.decode() if w.isascii() else w.decode("latin-1").translate(BYTE_CHARACTERS) for w in letters])
+        ids = np.array(self._model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        ends = ((np.flatnonzero(self._last[ids]) + 1) * self.kind.itemsize).tolist()
+        if len(ends) != len(letters):  # a letter that the model doesn't know
+            return self._plain(letters)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = [self._letters(w) if self._direct else None for w in words]
-        others = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(others, self._plain([words[i] for i in others])):
-            found[i] = ids
-        return [np.array(ids, self.kind).tobytes() for ids in found]
+        """Ids of all words, those of letters by the model alone."""
+        if not self._direct:
+            return self._plain(words)
+        letters, others = {}, []
+        for word in words:
+            if word.isalpha():  # of bytes: ASCII letters only
+                letters[word] = word.lower()
+            elif STEADY.fullmatch(word):
+                letters[word] = word.decode().lower().encode()
+            else:
+                text = word.decode("utf-8", "replace")
+                if text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text):
+                    letters[word] = word
+                else:
+                    others.append(word)
+        found = dict(zip(letters, self._spelled(list(letters.values()))))
+        found.update(zip(others, self._plain(others)))
+        return [found[w] for w in words]
+
+    def _words(self, text: bytes) -> list[bytes]:
+        if self._direct:
+            if b"<" not in text and not text.translate(None, PLAIN):
+                text = text.lower()
+            text = b" ".join(ENDS.split(text))
+        return text.split()
 
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian numbers of ``kind``."""
-        words = text.split()
-        found = list(map(self._known.get, words))
-        if None in found:
-            self._known.learn({w for w, ids in zip(words, found) if ids is None})
-            found = [self._known[w] if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The same for each text; what is new in texts of GROUP_BYTES goes to the tokenizer at once."""
+        out, waiting, new, held, known = [], [], set(), 0, self._known
+        for text in texts:
+            words = self._words(text)
+            found = list(map(known.get, words))
+            if None in found:
+                new.update([w for w, ids in zip(words, found) if ids is None])
+                waiting.append((len(out), words, found))
+            out.append(b"" if None in found else b"".join(found))
+            held += len(text)
+            if held >= GROUP_BYTES or len(out) == len(texts):
+                known.learn(new)
+                for at, words, found in waiting:
+                    out[at] = b"".join([known[w] if ids is None else ids for w, ids in zip(words, found)])
+                waiting, new, held = [], set(), 0
+        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from conftest import SMALL
 from rowloom.llm import queries, token_files
-from rowloom.llm.tokens import word_tokenizer
+from rowloom.llm.tokens import WordTokenizer, word_tokenizer
 from rowloom.llm.queries import TOKENIZER, op8_token_files
 
 ODD = ["", None, "  \n", "á b c ̸x", "It's 12 o'clock!?", "\x1c\x1d x", "word " * 30_000, "ΣΑΣ Ẋ İ",
@@ -26,6 +26,28 @@ def test_words_give_the_ids_of_the_text(text):
     assert np.frombuffer(words.encode(text.encode("utf-8", "replace")), words.kind).tolist() == whole
 
 
+@given(st.lists(st.text("aBzÉßŉİſǄµª1 .,'-\"<|>]$\n\u0331\u0307…¿жΣ", max_size=30) | st.sampled_from(
+    ["<|endoftext|>", "<|ENDOFTEXT|>", " the. ", "it's", "'S ", "...", "x<|endoftext|>. ", "H\u0331. "]), max_size=8))
+@settings(max_examples=500, deadline=None)
+def test_capitals_and_marks_give_the_ids_of_the_text(parts):
+    whole = Tokenizer.from_file(TOKENIZER).encode("".join(parts), add_special_tokens=False).ids
+    words = word_tokenizer(TOKENIZER, 2)
+    assert words._direct
+    each = words.encode_all([p.encode() for p in parts] + ["".join(parts).encode()])
+    assert np.frombuffer(each[-1], words.kind).tolist() == whole
+    assert each[:-1] == [words.encode(p.encode()) for p in parts]
+
+
+def test_a_word_is_encoded_once_whatever_its_capitals_and_marks(monkeypatch):
+    words, sent = WordTokenizer(TOKENIZER, 2), []
+    fill = words._known.fill
+    monkeypatch.setattr(words._known, "fill", lambda new: sent.extend(new) or fill(new))
+    text = "Zorblix zorblix. ZORBLIX, zorblix!? Ézorb ézorb; (zorblix)\n" * 3
+    whole = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.encode(text.encode()), words.kind).tolist() == whole
+    assert sum(b"zorblix" in w.lower() for w in sent) == 2  # on its own and in brackets
+
+
 @given(st.lists(st.integers(0, 5_000), max_size=700))
 @settings(max_examples=100, deadline=None)
 def test_select_returns_every_boundary(gaps):
