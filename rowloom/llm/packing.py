@@ -188,7 +188,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Data
         end, width = np.array([end_id], words.kind).tobytes(), words.kind.itemsize
         ranks, full = [0] * window, 0
         for batch in pieces(batches, BATCH_ROWS):
-            ids = [words.encode(t) + end for t in texts(batch["text"])]
+            ids = [coded + end for coded in words.encode_all(texts(batch["text"]))]
             rows = []
             for coded in ids:
                 n = len(coded) // width
@@ -249,11 +249,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
 
 
 def digests(pieces: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """The pieces with a checksum of their ids as 32-bit numbers instead of the ids."""
+    """The pieces with a checksum of their ids as 32-bit numbers instead of the ids.
+
+    Length and bytes of a piece say how wide its ids are, so no task loads the tokenizer.
+    """
     def digest(batches):
-        kind = word_tokenizer(tokenizer, end_id).kind
         for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(i, kind).astype("<u4").tobytes()) for i in batch["ids"].to_pylist()]
+            sums = [zlib.crc32(np.frombuffer(i, f"<u{len(i) // n}").astype("<u4").tobytes())
+                    for i, n in zip(batch["ids"].to_pylist(), batch["length"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in batch.schema.names[:3]] + [pa.array(sums, pa.int64())]
                 + [batch[c] for c in batch.schema.names[4:]],

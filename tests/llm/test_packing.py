@@ -106,6 +106,14 @@ def op3(spark, docs):
     return packing.digests(packing.pack(docs, TOKENIZER, 1), TOKENIZER, 1).collect()
 
 
+def test_digests_load_no_tokenizer(spark):
+    ids = np.array([5, 1], "<u2")
+    for kind in ("<u2", "<u4"):
+        piece = spark.createDataFrame([(7, 0, 2, bytearray(ids.astype(kind).tobytes()), 2, 0, 0)], packing.PIECES)
+        row = packing.digests(piece, "/no/such/tokenizer", 1).first()
+        assert row["ids_crc32"] == zlib.crc32(ids.astype("<u4").tobytes()) and row["length"] == 2
+
+
 def test_query_holds_every_id_once(spark, tables):
     texts = dict(map(tuple, tables.documents.select("doc_id", "text").collect()))
     tokenizer = Tokenizer.from_file(TOKENIZER)
