@@ -57,7 +57,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All ids of the documents in windows."""
-    return packing.digests(packing.pack(docs, TOKENIZER, end_id=1), TOKENIZER, end_id=1)
+    return packing.pack(docs, TOKENIZER, end_id=1, then=packing.digested, columns=packing.DIGESTS)
 
 
 STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near_copies", drop_copies),

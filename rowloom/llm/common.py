@@ -56,20 +56,29 @@ class Memo(dict):
 
     def learn(self, keys: Iterable) -> None:
         """Afterwards all ``keys`` are there."""
-        keys = set(keys)
-        missing = [k for k in keys if k not in self]
-        if len(self) + len(missing) > self.limit:
-            self.old = dict(self)
-            self.clear()
-            missing = keys
-        fresh = []
-        for key in missing:
-            if key in self.old:
-                self[key] = self.old[key]
+        self.values_of(set(keys))
+
+    def values_of(self, keys: Iterable) -> dict:
+        """Learn different ``keys``; they and their values, as a small dictionary of its own."""
+        found, missing = {}, []
+        for key in keys:
+            value = self.get(key)
+            if value is None:
+                missing.append(key)
             else:
-                fresh.append(key)
-        if fresh:
-            self.update(zip(fresh, self.fill(fresh)))
+                found[key] = value
+        if missing:
+            if len(self) + len(missing) > self.limit:
+                self.old = dict(self)
+                self.clear()
+                self.update(found)
+            known = {k: v for k in missing if (v := self.old.get(k)) is not None}
+            new = [k for k in missing if k not in known]
+            if new:
+                known.update(zip(new, self.fill(new)))
+            self.update(known)
+            found.update(known)
+        return found
 
 
 def word_hashes(words: list[bytes]) -> list[int]:

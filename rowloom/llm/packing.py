@@ -21,6 +21,7 @@ import bisect
 import itertools
 import zlib
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ BATCH_ROWS = 1_000
 
 TOKENS = "doc_id long, ids binary, n long, rest int, block int, rank long, full long"
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+DIGESTS = PIECES.replace("ids binary", "ids_crc32 long")
 
 
 def combinations(lengths: list[int], window: int, spread: int = SPREAD) -> list[tuple[int, ...]]:
@@ -206,7 +208,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> Data
     return stored(plain.mapInArrow(encode, TOKENS), "packing-tokens", compression="zstd")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW,
+         then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, columns: str = PIECES) -> DataFrame:
     """Cut and place all ids of ``docs`` (doc_id, text): one row per piece, with its ids.
 
     ``start`` is the piece's first id in its document, ``sequence_id`` and
@@ -214,6 +217,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
     the one that is filled last.  Ids are 16 bits wide if all fit, else 32.  A
     null text is an empty document, which still has its end id; repeated rows
     are documents of their own; no rows, no pieces.
+
+    ``then`` gets the batches of pieces where they are made and returns what is
+    wanted of them, with these ``columns``: no second pass through Python.
     """
     tokens = tokenized(docs, tokenizer, end_id, window)
     counts = {r["rest"]: r["count"] for r in tokens.filter("rest > 0").groupBy("rest").count().collect()}
@@ -245,24 +251,26 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
 
     numbered = tokens.join(starts, ["rest", "block"]).select(
         "doc_id", "ids", "n", "rest", "block", "rank", "full", "before")
-    return numbered.mapInArrow(place, PIECES)
+    return numbered.mapInArrow(place if then is None else lambda batches: then(place(batches)), columns)
 
 
-def digests(pieces: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """The pieces with a checksum of their ids as 32-bit numbers instead of the ids.
+def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces with a checksum of their ids as 32-bit numbers instead of the ids.
 
     Length and bytes of a piece say how wide its ids are, so no task loads the tokenizer.
     """
-    def digest(batches):
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(i, f"<u{len(i) // n}").astype("<u4").tobytes())
-                    for i, n in zip(batch["ids"].to_pylist(), batch["length"].to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in batch.schema.names[:3]] + [pa.array(sums, pa.int64())]
-                + [batch[c] for c in batch.schema.names[4:]],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    return pieces.mapInArrow(digest, PIECES.replace("ids binary", "ids_crc32 long"))
+    for batch in batches:
+        sums = [zlib.crc32(np.frombuffer(i, f"<u{len(i) // n}").astype("<u4").tobytes())
+                for i, n in zip(batch["ids"].to_pylist(), batch["length"].to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch[c] for c in batch.schema.names[:3]] + [pa.array(sums, pa.int64())]
+            + [batch[c] for c in batch.schema.names[4:]],
+            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+
+
+def digests(pieces: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """The same for pieces that are there already."""
+    return pieces.mapInArrow(digested, DIGESTS)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

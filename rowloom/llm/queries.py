@@ -29,7 +29,8 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of 2048 ids."""
-    return packing.digests(packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=1), TOKENIZER, end_id=1)
+    return packing.pack(table(spark, folder, "documents"), TOKENIZER, end_id=1, then=packing.digested,
+                        columns=packing.DIGESTS)
 
 
 def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:

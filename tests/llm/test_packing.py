@@ -114,6 +114,14 @@ def test_digests_load_no_tokenizer(spark):
         assert row["ids_crc32"] == zlib.crc32(ids.astype("<u4").tobytes()) and row["length"] == 2
 
 
+def test_digests_are_made_where_the_pieces_are(spark, capsys):
+    docs = spark.createDataFrame([(i, "one two three " * i) for i in range(40)], "doc_id long, text string").repartition(2)
+    own = packing.pack(docs, TOKENIZER, 1, 32, then=packing.digested, columns=packing.DIGESTS)
+    assert sorted(own.collect()) == sorted(packing.digests(packing.pack(docs, TOKENIZER, 1, 32), TOKENIZER, 1).collect())
+    op3_packing(spark, SMALL).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1  # so a task needs one Python worker
+
+
 def test_query_holds_every_id_once(spark, tables):
     texts = dict(map(tuple, tables.documents.select("doc_id", "text").collect()))
     tokenizer = Tokenizer.from_file(TOKENIZER)

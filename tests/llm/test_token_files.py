@@ -48,6 +48,18 @@ def test_a_word_is_encoded_once_whatever_its_capitals_and_marks(monkeypatch):
     assert sum(b"zorblix" in w.lower() for w in sent) == 2  # on its own and in brackets
 
 
+def test_a_word_is_looked_up_once_in_a_group_of_texts(monkeypatch):
+    words, asked = WordTokenizer(TOKENIZER, 2), []
+    look_up = words._known.values_of
+    monkeypatch.setattr(words._known, "values_of", lambda keys: asked.extend(keys) or look_up(keys))
+    texts = ["", "one two one. Two", "  ", "\x1c one\x00 two\x0bone \u00a0 ", "two"] * 50
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    got = words.encode_all([t.encode() for t in texts])
+    assert [np.frombuffer(g, words.kind).tolist() for g in got] == [brute(tokenizer, t, 2)[:-1] for t in texts]
+    assert len(asked) == len(set(asked)) and b"one" in asked
+    assert words.encode_all([]) == []
+
+
 @given(st.lists(st.integers(0, 5_000), max_size=700))
 @settings(max_examples=100, deadline=None)
 def test_select_returns_every_boundary(gaps):
