@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -70,3 +71,20 @@ def test_query_follows_the_labels(spark, tables):
     labels = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/labels.parquet").collect()
     toxic, clean = [got[r.doc_id] for r in labels if r.toxic], [got[r.doc_id] for r in labels if not r.toxic]
     assert sum(toxic) >= 0.6 * len(toxic) and sum(clean) <= 0.05 * len(clean)
+
+
+def test_rare_features_take_no_room():
+    draw = np.random.default_rng(3)
+    features = [np.unique(np.r_[draw.integers(-40, 40, 20), draw.integers(-2**62, 2**62, 5_000)]) for _ in range(200)]
+    features += [np.empty(0, np.int64)]
+    known, count = np.unique(np.concatenate(features), return_counts=True)
+    known = known[count >= toxicity.LEAST_TEXTS]
+    tracemalloc.start()
+    x = toxicity.numbered(features, toxicity.frequent(features))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert toxicity.frequent(features).tolist() == known.tolist() and (x.rows, x.features) == (201, len(known))
+    got = [known[x.feature[x.row == r]].tolist() for r in range(201)]
+    assert got == [f[np.isin(f, known)].tolist() for f in features]
+    assert peak < 4 * sum(f.nbytes for f in features)
+    assert toxicity.frequent([]).tolist() == [] and toxicity.fit_chain([], np.empty((0, 2)), np.empty(0))[0].tolist() == []
