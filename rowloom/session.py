@@ -109,11 +109,15 @@ class Scratch:
         self._make()
         return f"spark_catalog.{self.database}." + re.sub(r"\W", "_", name) + f"_{uuid.uuid4().hex}"
 
-    def stored(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """``df`` as a table of the scratch: written once, so later uses neither repeat nor differ."""
+    def stored(self, df: DataFrame, name: str, bucketed: tuple[int, str] | None = None, **options: str) -> DataFrame:
+        """``df`` as a table of the scratch: written once, so later uses neither repeat nor differ.
+
+        ``bucketed`` by so many buckets of a column, groups by that column need no shuffle.
+        """
         table = self.table_name(name)
         with _shuffles_end_with_the_job(self.spark):
-            df.write.format("parquet").options(**options).saveAsTable(table)
+            writer = df.write.format("parquet").options(**options)
+            (writer.bucketBy(*bucketed) if bucketed else writer).saveAsTable(table)
         kept = df.sparkSession.table(table)
         _tables[kept] = table
         return kept
@@ -193,9 +197,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             spark.sparkContext.setCheckpointDir(root)
 
 
-def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+def stored(df: DataFrame, name: str, bucketed: tuple[int, str] | None = None, **options: str) -> DataFrame:
     """Written once to the shared folder, in the current scratch, and read again.
 
     A lost executor costs only what it was doing.
     """
-    return current_scratch(df.sparkSession).stored(df, name, **options)
+    return current_scratch(df.sparkSession).stored(df, name, bucketed, **options)
