@@ -215,10 +215,10 @@ def _row(found: dict) -> dict:
             "states": (found["pair"] & 0xFFFF).astype("<u2").tobytes(), "state_counts": found["pair_counts"].tobytes()}
 
 
-def count_words(blocks: DataFrame) -> DataFrame:
+def count_words(blocks: DataFrame, size: int | None = None) -> DataFrame:
     """Words of each bucket with their counts in training texts, alone and after each state; 0 for held-out ones.
 
-    Blocks are added up in 64 groups first, so a bucket's task gets few rows.
+    Many blocks (``size``) are added up in groups first, so a bucket's task gets few rows.
     """
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "group": pdf["group"].iloc[0]} | _row(_combined(pdf))])
@@ -228,9 +228,11 @@ def count_words(blocks: DataFrame) -> DataFrame:
         return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0]} | _row(found)
                              | {"state_sums": _state_sums(found).tolist()}])
 
-    asked = blocks.filter("bucket >= 0").select("bucket", F.pmod(F.xxhash64("block"), F.lit(64)).alias("group"),
-                                                "words", "counts", "kinds", "states", "state_counts")
-    partly = asked.groupBy("bucket", "group").applyInPandas(add, "group long, " + WORDS)
+    parts = min(ADDED_PARTS, (blocks.filter("bucket < 0").count() if size is None else size) // ADDED_BLOCKS)
+    partly = blocks.filter("bucket >= 0").select("bucket", F.pmod(F.xxhash64("block"), F.lit(max(1, parts))).alias("group"),
+                                                 "words", "counts", "kinds", "states", "state_counts")
+    if parts > 1:
+        partly = partly.groupBy("bucket", "group").applyInPandas(add, "group long, " + WORDS)
     return stored(partly.groupBy("bucket").applyInPandas(merge, WORDS + ", state_sums array<array<double>>"), "lm-words")
 
 
@@ -372,7 +374,7 @@ def grow_tree(words: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE
                     context, at = _contexts(joined, level), np.flatnonzero(since >= level)
                     if known is not None and level > 1:
                         shorter = context & ((1 << 8 * (level - 1)) - 1)
-                        at = at[np.isin(shorter[at], known)]
+                        at = at[_found(known, shorter[at])[1]]
                     pair, n = np.unique(context[at] * 256 + joined[1:][at], return_counts=True)
                     pairs.append(pair.astype(np.int64))
                     counts_.append(n)
@@ -627,10 +629,20 @@ def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, known[at] == wanted
 
 
-def lengthen(read: DataFrame, buckets: int, blocks: int, groups: int, gain: float, least: int, base) -> tuple[DataFrame, DataFrame]:
+def _scores(row, places: Places, n_all: int) -> pd.DataFrame:
+    """The result for the texts of a block."""
+    return pd.DataFrame({"doc_id": pd.array([None if d is None else int(d) for d in row["doc_ids"]], "Int64"),
+                         "held_out": np.array(row["held_out"], bool), "n_tokens": places.lengths, "n_known": places.known,
+                         "train_tokens": n_all, "base_score": places.base, "score": places.scores() / np.log(10)})
+
+
+def lengthen(read: DataFrame, buckets: int, blocks: int, groups: int, gain: float, least: int, base,
+             n_all: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The places of ``read`` that a context of one word more may follow, what such contexts say added to the others; and the stored answers.
 
     ``read`` lies in buckets by block, so only questions and answers are shuffled, and not both at once.
+    With ``n_all``, the number of training tokens, it is the last length: scores come instead of places, in the same pass,
+    for a pass behind it would need another Python worker in each task.
     """
     followed = follow(read, least, buckets)
     contexts = contexts_of(added_up(followed, blocks), gain, least)
@@ -674,6 +686,8 @@ def lengthen(read: DataFrame, buckets: int, blocks: int, groups: int, gain: floa
         of = f.number[at]
         with np.errstate(divide="ignore"):
             p.value[at] = np.logaddexp(p.value[at] + np.log(left[of]), np.log(own[of]))
+        if n_all is not None:
+            return _scores(row, p, n_all)
         return pd.DataFrame([{"block": row["block"], "doc_ids": row["doc_ids"], "held_out": row["held_out"], **p.lengthened(f, often > 0)}])
 
     group = F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")
@@ -683,7 +697,7 @@ def lengthen(read: DataFrame, buckets: int, blocks: int, groups: int, gain: floa
                .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, own binary, left binary, often binary"))
     answers = stored(answers, "lm-answers", compression="zstd")
     release(contexts)
-    return read.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, LIVE), answers
+    return read.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, LIVE if n_all is None else SCORES), answers
 
 
 def score(docs: DataFrame, held_out, depth: int = DEPTH, min_share: float = MIN_SHARE, gain: float = GAIN,
@@ -709,7 +723,8 @@ def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float
         buckets = max(16, (total or 0) // BUCKET_BYTES)
     frequent = frequent_words(plain.filter(~F.col("held_out")), context_share)
     blocks = blocks_of(plain, buckets, frequent)
-    words = count_words(blocks)
+    size = blocks.filter("bucket < 0").count()
+    words = count_words(blocks, size)
     states = States.of(words, len(frequent) + 1, gain)
     n_all, n_kinds = int(states.n[-1]), int(states.kinds[-1])
     tree = grow_tree(words, depth, min_share, gain)
@@ -730,7 +745,6 @@ def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float
             rows.append((block, key[0], found["counts"][at].tobytes(), value.astype("<f4").tobytes()))
         return pd.DataFrame(rows, columns=["block", "bucket", "counts", "scores"])
 
-    size = blocks.filter("bucket < 0").count()
     groups = max(1, -(-size // answered))
     asked = blocks.filter("bucket >= 0").select("block", "bucket", "words", "kinds", "states",
                                                 F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group"))
@@ -750,21 +764,17 @@ def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float
     texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "lengths", "tokens", "kinds", "hashes")
     read = texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
     used = [blocks, words]
-    for _ in range(order):
+    for level in range(1, order + 1):
         kept = stored(read, "lm-read", (buckets, "block"), compression="zstd")
         release(*used)  # nothing later reads them
-        read, answers = lengthen(kept, buckets, size, groups, gain, least, base)
+        read, answers = lengthen(kept, buckets, size, groups, gain, least, base, n_all if level == order else None)
         used = [kept, answers]
+    if order:
+        return read
 
     def scores(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                p = Places(row, least, base)
-                ids = [None if d is None else int(d) for d in row["doc_ids"]]
-                columns = ids, row["held_out"], p.lengths, p.known, np.full(len(ids), n_all), p.base, p.scores() / np.log(10)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(),
-                                                              pa.float64(), pa.float64()))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                yield pa.RecordBatch.from_pandas(_scores(row, Places(row, least, base), n_all), preserve_index=False)
 
     return read.mapInArrow(scores, SCORES)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from rowloom.llm import suffix_tree
 from rowloom.llm.queries import op4_suffix_tree
+from rowloom.session import Scratch
 
 
 def tokens_of(text):
@@ -194,3 +195,39 @@ def test_adding_up_blocks_first_changes_nothing(spark, monkeypatch):
     summed = suffix_tree.added_up(followed, 6)
     assert summed.count() > 1 and "block" not in summed.columns
     assert suffix_tree.contexts_of(summed, 0.0, 3).collect() == plain and len(plain[0]["pairs"]) > 0
+
+
+def test_only_questions_and_answers_are_shuffled(spark, monkeypatch):
+    """Blocks lie in buckets by block: of all that is grouped by block only the answers move, with one Python worker a task at the end."""
+    plans = []
+
+    def seen(self, df, name, *more, real=Scratch.stored, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(self, df, name, *more, **options)
+
+    monkeypatch.setattr(Scratch, "stored", seen)
+    want = suffix_tree.score(frame(spark, ROWS), F.col("test"), buckets=7, least=4).collect()
+    final = [plan for name, plan in plans if name in ("lm-read", "lm-scores")]
+    assert len(final) == 4 and len(want) == len(ROWS)
+    assert [len(re.findall(r"Exchange hashpartitioning\(block", plan)) for plan in final] == [1] * 4
+    assert "MapInArrow" not in final[-1]
+
+
+def test_contexts_that_are_not_kept_change_nothing(spark):
+    """Not even for a word that no state foretells with more than 1e-38."""
+    rows = [(i, "the cat sat " * 12) for i in range(1, 30)] + [(99, "the " + "q" * 3_000 + " cat")]
+    by_order = [{r.doc_id: r.score for r in suffix_tree.score(frame(spark, rows), F.col("test"), gain=1e9, order=order).collect()}
+                for order in (0, 3)]
+    assert by_order[0][99] < -1_000
+    assert by_order[1] == pytest.approx(by_order[0], rel=1e-5)
+
+
+@pytest.mark.parametrize("size", [None, 1_000])
+def test_words_of_many_blocks_are_added_up_first(spark, size):
+    plain = frame(spark, ROWS).select("doc_id", "text", F.lit(False).alias("held_out"))
+    blocks = suffix_tree.blocks_of(plain, 2, [b"the"])
+    counts = Counter()
+    for r in suffix_tree.count_words(blocks, size).collect():
+        counts.update(dict(zip(bytes(r["words"]).split(b" "), np.frombuffer(r["counts"], "<i8").tolist())))
+    want = Counter(w for _, t in ROWS for w in tokens_of(t))
+    assert counts == {suffix_tree.END if w is None else w.encode(): n for w, n in want.items()}
