@@ -561,7 +561,7 @@ def _keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 def _added(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
     """Contexts of one bucket and its training pairs in ascending order (``_keys``), occurrences and summed shorter log probability.
 
-    Sums have 64 bits, numbers of a block 32.
+    Numbers have 32 bits, sums that need it 64.
     """
     runs = np.frombuffer(b"".join(pdf["runs"]), "<u4")
     size, counts = int(runs.sum()), b"".join(pdf["counts"])
@@ -575,7 +575,10 @@ def _added(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
 
 
 def added_up(followed: DataFrame, blocks: int) -> DataFrame:
-    """Pairs of many blocks summed up, so that no task gets those of a frequent context from all blocks."""
+    """Pairs of many blocks summed up, so that no task gets those of a frequent context from all blocks.
+
+    The sums are stored: the pairs of the blocks are gone before these are shuffled.
+    """
     parts = min(ADDED_PARTS, blocks // ADDED_BLOCKS)
     if parts < 2:
         return followed
@@ -583,11 +586,13 @@ def added_up(followed: DataFrame, blocks: int) -> DataFrame:
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         known, pair, n, shorter = _added(pdf)
         contexts, runs = _runs(known[(pair >> np.uint64(WORD_BITS)).astype(np.int64)])
+        kinds = ("<u4", "<f4") if n.max(initial=0) < 1 << 32 else ("<i8", "<f8")
         return pd.DataFrame([{"bucket": pdf["bucket"].iloc[0], "pairs": _bytes(pair), "contexts": contexts, "runs": runs,
-                              "counts": n.astype("<i8").tobytes(), "shorter": shorter.astype("<f8").tobytes()}])
+                              "counts": n.astype(kinds[0]).tobytes(), "shorter": shorter.astype(kinds[1]).tobytes()}])
 
     part = F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part")
-    return followed.select("*", part).drop("block").groupBy("bucket", "part").applyInPandas(add, PAIRS)
+    summed = followed.select("*", part).drop("block").groupBy("bucket", "part").applyInPandas(add, PAIRS)
+    return stored(summed, "lm-sums", compression="zstd")
 
 
 def contexts_of(followed: DataFrame, gain: float, least: int) -> DataFrame:
@@ -645,7 +650,9 @@ def lengthen(read: DataFrame, buckets: int, blocks: int, groups: int, gain: floa
     for a pass behind it would need another Python worker in each task.
     """
     followed = follow(read, least, buckets)
-    contexts = contexts_of(added_up(followed, blocks), gain, least)
+    summed = added_up(followed, blocks)
+    contexts = contexts_of(summed, gain, least)
+    release(summed)
 
     def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -752,6 +759,7 @@ def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float
              .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))))
     answers = (asked.groupBy("bucket", "group").cogroup(known.groupBy("bucket", "group"))
                .applyInPandas(lambda key, a, k: answer(key, a, k), "block long, bucket int, counts binary, scores binary"))
+    answers = stored(answers, "lm-answers", compression="zstd")
     smooth = 0.1 * (n_kinds + 1)
 
     def base(counts: np.ndarray) -> np.ndarray:
@@ -763,7 +771,8 @@ def _scored(docs: DataFrame, held_out, depth: int, min_share: float, gain: float
 
     texts_ = blocks.filter("bucket < 0").select("block", "doc_ids", "held_out", "lengths", "tokens", "kinds", "hashes")
     read = texts_.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, READ)
-    used = [blocks, words]
+    release(words)
+    used = [blocks, answers]
     for level in range(1, order + 1):
         kept = stored(read, "lm-read", (buckets, "block"), compression="zstd")
         release(*used)  # nothing later reads them
